@@ -88,6 +88,7 @@ def stringify(c) -> Column:
 
 
 def stringify_1dp(c) -> Column:
+    """Text with one decimal, ties of the decimal value rounded away from zero."""
     c = col(c)
     return F.when(c.isNotNull(), F.format_string("%.1f", c.cast("double")))
 

@@ -196,4 +196,4 @@ def split_summary(df: DataFrame, *, sort_by: str, name: str = "split") -> DataFr
 
 def seeded_sample(df: DataFrame, *, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows in an order fixed by a hash of the key and the seed; the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)).limit(n)
