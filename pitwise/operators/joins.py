@@ -74,7 +74,7 @@ def block_pairs(df: DataFrame, *, block: str, order_by: str, columns: Sequence[s
     returned as the second frame ``(block, members)`` so that nothing is skipped in silence. Block sizes
     are counted before the join, with partial aggregation, so a huge block is never gathered.
     """
-    members = df.select(block, *columns).where(F.col(block).isNotNull()).groupBy(block, *columns).agg()
+    members = df.select(block, *columns).where(F.col(block).isNotNull()).distinct()
     sizes = members.groupBy(block).agg(F.count(F.lit(1)).alias("members"))
     usable = sizes.where(F.col("members").between(2, max_block))
     kept = members.join(usable.select(block), block, "left_semi")

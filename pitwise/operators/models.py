@@ -13,10 +13,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pitwise.operators.ordering import order_statistic
+from pitwise.operators.ordering import SMALL, order_statistic
 from pitwise.session import materialize
 
 SEED = 42
+ROWS_PER_TASK = 20_000
 MAX_TREE_DEPTH = 30      # limit of Spark ML trees
 
 # The parameter grid per model family.
@@ -75,7 +76,8 @@ def train_grid(train: DataFrame, val: DataFrame, label: str, *, families: Mappin
     Returns ``(model, params, split, metrics…)`` and the fitted models by ``(model, params)``.
     """
     rows = train.count()
-    train, val = train.cache(), val.cache()
+    parts = rows // ROWS_PER_TASK + 1      # small training sets would spend their time on empty tasks
+    train, val = train.coalesce(parts).cache(), val.coalesce(parts).cache()
     results, models = [], {}
     try:
         for family, grid in families.items():
@@ -133,7 +135,7 @@ def _nearest(minority: DataFrame, key: str, features: str, k: int) -> DataFrame:
                 distance = (x ** 2).sum(axis=1)[:, None] + norms[None, :] - 2 * x @ points.T
                 distance[pdf["key"].to_numpy()[:, None] == keys[None, :]] = np.inf
                 width = min(k, rows - 1)
-                near = np.argsort(distance, axis=1, kind="stable")[:, :width]
+                near = np.argpartition(distance, width - 1, axis=1)[:, :width] if width else np.empty((len(x), 0), dtype=int)
                 yield pd.DataFrame({"key": pdf["key"], "x": pdf["x"], "neighbours": [[points[j].tolist() for j in row] for row in near]})
 
         return dense.mapInPandas(search, "key long, x array<double>, neighbours array<array<double>>")
@@ -202,6 +204,7 @@ def _kth(near: DataFrame, position: int) -> tuple[int, int]:
     """Draw and key of the row at ``position`` in (draw, key) order."""
     if not position:
         return (0, 0)
-    value, before = order_statistic(near, "draw", [position])[position]
-    tie, _ = order_statistic(near.where(F.col("draw") == int(value)), "key", [position - int(before)])[position - int(before)]
-    return int(value), int(tie)
+    value, before, n = order_statistic(near, "draw", [position])[position]
+    place = position - int(before)
+    same = near.where(F.col("draw") == int(value))
+    return int(value), int(order_statistic(same, "key", [place], wide=n > SMALL)[place][0])

@@ -119,13 +119,15 @@ def average_ranks(df: DataFrame, columns: Sequence[str], *, small: int = SMALL,
     return placed.select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
-def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, small: int = SMALL, edges: int = EDGES) -> dict[int, tuple[float, int]]:
-    """Value at each zero-based position of the sorted column, and the number of smaller rows."""
-    placed = running_counts(value_counts(df, [column]), bucketed=_wide(df, [column], small), edges=edges)
-    hit = [F.max(F.when((F.col("before") <= p) & (F.lit(p) < F.col("before") + F.col("n")), F.struct("value", "before"))).alias(str(p))
+def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, wide: bool | None = None, small: int = SMALL,
+                    edges: int = EDGES) -> dict[int, tuple[float, int, int]]:
+    """For each zero-based position of the sorted column: the value there, the number of smaller rows, and of equal rows."""
+    wide = _wide(df, [column], small) if wide is None else wide
+    placed = running_counts(value_counts(df, [column]), bucketed=wide, edges=edges)
+    hit = [F.max(F.when((F.col("before") <= p) & (F.lit(p) < F.col("before") + F.col("n")), F.struct("value", "before", "n"))).alias(str(p))
            for p in positions]
     row = placed.agg(*hit).first()
-    return {p: (row[str(p)]["value"], row[str(p)]["before"]) for p in positions}
+    return {p: tuple(row[str(p)]) for p in positions}
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], *, order_by: str, max_missing: float = 0.5,
@@ -168,7 +170,7 @@ def split_bounds(total: int, train_ratio: float = 0.70, val_ratio: float = 0.15)
 
 
 def chronological_split(df: DataFrame, *, sort_by: str, tie_by: str, train_ratio: float = 0.70,
-                        val_ratio: float = 0.15, name: str = "split", **kw) -> DataFrame:
+                        val_ratio: float = 0.15, name: str = "split", small: int = SMALL, edges: int = EDGES) -> DataFrame:
     """Add ``split`` (train, val, test) by position in ``(sort_by, tie_by)`` order; ``tie_by`` is a unique number.
 
     Only the two boundary positions are located: first the sort value they fall on, then the tie value among the
@@ -176,14 +178,13 @@ def chronological_split(df: DataFrame, *, sort_by: str, tie_by: str, train_ratio
     """
     types = {f.name: f.dataType for f in df.schema}
     sortable = df.select(F.coalesce(as_number(sort_by, types[sort_by]), F.lit(float("inf"))).alias("__s"), F.col(tie_by).alias("__t"))
-    total = df.count()
-    positions = split_bounds(total, train_ratio, val_ratio)
+    size = sortable.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("__s").alias("d")).first()
+    positions = split_bounds(size["n"], train_ratio, val_ratio)
     cuts = []
-    on_value = order_statistic(sortable, "__s", positions, **kw)
-    for p in positions:
-        value, before = on_value[p]
-        tie, _ = order_statistic(sortable.where(F.col("__s") == value), "__t", [p - int(before)], **kw)[p - int(before)]
-        cuts.append((value, tie))
+    for p, (value, before, n) in order_statistic(sortable, "__s", positions, wide=size["d"] > small, small=small, edges=edges).items():
+        place = p - int(before)
+        ties = sortable.where(F.col("__s") == value)
+        cuts.append((value, order_statistic(ties, "__t", [place], wide=n > small, small=small, edges=edges)[place][0]))
     s = F.coalesce(as_number(sort_by, types[sort_by]), F.lit(float("inf")))
     t = as_number(tie_by, types[tie_by])
     below = [(s < v) | ((s == v) & (t < k)) for v, k in cuts]
