@@ -5,6 +5,10 @@ All operators here first shrink both inputs to one row per (key, time) with a pa
 equi join on (key, time). A key that owns a third of the rows therefore costs one window over its
 distinct days, while its rows stay spread over (key, day) partitions. For timestamps the timeline is
 cut into days as well, and the last value is carried from day to day.
+
+Every operator reads its anchors twice: for the points in time it must answer, and to join the answers
+back. In a chain, pass the frame the chain started from as ``points``, so that each step asks that frame
+for its points instead of planning everything before it a second time.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ def asof_lookup(
     prefix: str = "",
     order_ties_by: Sequence[str] = (),
     allow_exact: bool = True,
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the last history row at or before the anchor time, per key.
 
@@ -56,7 +61,7 @@ def asof_lookup(
 
     seen = _not_null(history, by + [history_on]).select(
         *by, F.col(history_on).alias("__t"), F.struct(*payload).alias("__row"), F.lit(0).alias("__ask"))
-    asked = _not_null(anchors, by + [anchor_on]).select(
+    asked = _not_null(anchors if points is None else points, by + [anchor_on]).select(
         *by, F.col(anchor_on).cast(row_type[history_on]).alias("__t"),
         F.lit(None).cast(seen.schema["__row"].dataType).alias("__row"), F.lit(1).alias("__ask"))
     # max ignores null structs, so anchor-only points stay null; struct order = (ties, values)
@@ -122,13 +127,14 @@ def lookback_totals(
     metrics: Mapping[str, Column],
     windows: Mapping[str, tuple[int, int]],
     name: str = "{metric}_{window}",
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Sums over fixed day windows relative to the anchor day.
 
     ``windows`` maps a label to inclusive day offsets: the half-open look-back ``(T-180, T-1]`` is
     ``(-179, -1)``. A key without facts in the window gives 0. All windows share one pass.
     """
-    line = _timeline(anchors, facts, by, anchor_on, fact_on, metrics).withColumn("__n", F.unix_date("__t"))
+    line = _timeline(anchors if points is None else points, facts, by, anchor_on, fact_on, metrics).withColumn("__n", F.unix_date("__t"))
     columns = []
     for label, (low, high) in windows.items():
         frame = Window.partitionBy(*by).orderBy("__n").rangeBetween(low, high)
@@ -149,12 +155,14 @@ def interval_totals(
     fact_on: str,
     metrics: Mapping[str, Column],
     prefix: str = "",
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Sums over ``after < day <= until`` for per-row bounds such as calendar months.
 
     Two probes of the running total per distinct interval; no range join. No facts give 0.
     """
-    spans = _not_null(anchors.select(*by, F.to_date(after).alias("__a"), F.to_date(until).alias("__u")).distinct(),
+    source = anchors if points is None else points
+    spans = _not_null(source.select(*by, F.to_date(after).alias("__a"), F.to_date(until).alias("__u")).distinct(),
                       [*by, "__a", "__u"])
     probes = spans.select(*by, "__a", "__u", F.inline(F.array(
         F.struct(F.col("__a").alias("__t"), F.lit(-1).alias("__sign")),
@@ -178,6 +186,7 @@ def interval_aggregate(
     end: str,
     fact_on: str,
     aggregates: Mapping[str, tuple[str, Column]],
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """``sum``/``min``/``max`` over ``start <= day < end``; no facts give null.
 
@@ -194,7 +203,8 @@ def interval_aggregate(
            .groupBy(*by, "__d").agg(*reduce_).withColumn("__m", F.trunc("__d", "month")))
     month = day.groupBy(*by, "__m").agg(*again)
 
-    spans = _not_null(anchors.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")).distinct(),
+    source = anchors if points is None else points
+    spans = _not_null(source.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")).distinct(),
                       [*by, "__s", "__e"]).where("__s < __e")
     touched = spans.withColumn("__m", F.explode(F.sequence(
         F.trunc("__s", "month"), F.trunc(F.date_sub("__e", 1), "month"), F.expr("interval 1 month"))))

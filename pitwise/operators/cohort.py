@@ -64,6 +64,7 @@ def follow_up_label(
     value_ties: Sequence[str] = (),
     reasons_for: Mapping[str, str] | None = None,
     prefix: str = "target_",
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Outcome inside ``[date, date + months]`` with the reasons why a row cannot be judged.
 
@@ -73,13 +74,15 @@ def follow_up_label(
     texts = {
         "baseline": "missing_baseline_value", "end": "missing_follow_up_value",
         "inside": "no_value_inside_follow_up_window", "horizon": "incomplete_follow_up_window", **(reasons_for or {})}
-    work = cohort.withColumns({"follow_up_window_end": F.add_months(F.col(date), months), "__before": F.date_sub(F.col(date), 1)})
+    bounds = {"follow_up_window_end": F.add_months(F.col(date), months), "__before": F.date_sub(F.col(date), 1)}
+    points = (cohort if points is None else points).select(entity, place, date).withColumns(bounds)
+    work = cohort.withColumns(bounds)
     renamed = valuations.select(F.col(entity), F.to_date(value_on).alias("__vd"), F.col(value).alias("__v"), *value_ties)
     work = asof_lookup(work, renamed, by=[entity], anchor_on="follow_up_window_end", history_on="__vd", values=["__v"],
-                       prefix="__end", order_ties_by=value_ties)
+                       prefix="__end", order_ties_by=value_ties, points=points)
     facts = activity.withColumnRenamed(activity_place, place) if activity_place != place else activity
     work = interval_totals(work, facts, by=[entity, place], after="__before", until="follow_up_window_end",
-                           fact_on=activity_on, metrics=metrics, prefix=prefix)
+                           fact_on=activity_on, metrics=metrics, prefix=prefix, points=points)
     end_value, end_date, base = F.col("__end__v"), F.col("__end__vd"), F.col(baseline)
     horizon = F.lit(renamed.where(F.col(entity).isNotNull()).agg(F.max("__vd")).scalar())
     failures = [(texts["baseline"], base.isNull()), (texts["end"], end_value.isNull()),
@@ -123,7 +126,7 @@ def window_scores(
                            aggregates={n: ("sum", e) for n, e in sums.items()})
     b = interval_aggregate(a, valuations.withColumnRenamed(value_place, place) if value_place != place else valuations,
                            by=[entity, place], start=date, end="__end", fact_on=value_on,
-                           aggregates={"new_value": ("max", F.col(value))})
+                           aggregates={"new_value": ("max", F.col(value))}, points=spans)
     keys = [entity, date] if pool_places else [entity, place, date]
     stats = b.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums], F.max("new_value").alias("new_value"))
     stats = stats.select(*[F.col(k).alias(f"__{k}") for k in keys], *sums, "new_value")

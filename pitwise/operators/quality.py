@@ -116,13 +116,14 @@ def run_checks(df: DataFrame, rules: Sequence[Rule], *, table: str, dimension: s
 
 
 def _samples(df: DataFrame, rules: Sequence[tuple[int, Rule]], order_by: Sequence[str]) -> DataFrame:
-    hits = []
+    texts = []
     for i, r in rules:
         applies = F.lit(True) if r.applicable is None else holds(r.applicable)
         shown = F.struct(*[F.col(c) for c in (r.sample or r.columns)])
         text = F.to_json(shown) if r.sample or len(r.columns) != 1 else F.coalesce(F.col(r.columns[0]).cast("string"), F.lit("null"))
-        hits.append(F.struct(F.lit(i).alias("__id"), F.when(applies & holds(r.failed), text).alias("text")))
-    failing = df.select(*order_by, F.inline(F.filter(F.array(*hits), lambda h: h["text"].isNotNull())))
+        texts.append(F.when(applies & holds(r.failed), text).alias(f"__s{i}"))
+    hits = F.array(*[F.struct(F.lit(i).alias("__id"), F.col(f"__s{i}").alias("text")) for i, _ in rules])
+    failing = df.select(*order_by, *texts).select(*order_by, F.inline(F.filter(hits, lambda h: h["text"].isNotNull())))
     first = top_k(failing, by=["__id"], order_by=[*[F.col(c) for c in order_by], F.col("text")], k=SAMPLE, rank="__rank")
     kept = F.array_sort(F.collect_list(F.struct("__rank", "text")))
     return first.groupBy("__id").agg(F.to_json(F.transform(kept, lambda s: s["text"])).alias("sample"))

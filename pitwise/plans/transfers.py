@@ -89,12 +89,13 @@ def enrich(included: DataFrame, players: DataFrame, clubs: DataFrame, competitio
         "is_same_country_move": same_flag("source_country_name", "destination_country_name")})
 
 
-def add_valuations(cohort: DataFrame, valuations: DataFrame, *, order_by: str) -> DataFrame:
+def add_valuations(cohort: DataFrame, valuations: DataFrame, *, order_by: str, points: DataFrame | None = None) -> DataFrame:
     """Value at the transfer and 180 and 365 days earlier, changes, and fee against value."""
+    points = cohort if points is None else points
     history = _dated(valuations, "date").select("player_id", "date", "market_value_in_eur", "current_club_id", "player_club_domestic_competition_id", order_by)
     history = history.withColumnRenamed(order_by, "__order")
     own = cohort.withColumnRenamed("market_value_in_eur", "__own")
-    out = asof_lookup(own, history, by=["player_id"], anchor_on="transfer_date", history_on="date", prefix="__v_", order_ties_by=["__order"],
+    out = asof_lookup(own, history, by=["player_id"], anchor_on="transfer_date", history_on="date", prefix="__v_", order_ties_by=["__order"], points=points,
                       values=["market_value_in_eur", "current_club_id", "player_club_domestic_competition_id"])
     known = F.col("__v_market_value_in_eur")
     out = out.withColumnRenamed("__own", "market_value_in_eur").withColumns({
@@ -104,8 +105,9 @@ def add_valuations(cohort: DataFrame, valuations: DataFrame, *, order_by: str) -
     out = out.drop("__v_market_value_in_eur", "__v_date", "__v_current_club_id", "__v_player_club_domestic_competition_id")
     prior = history.select("player_id", F.col("date").alias("prior_date"), F.col("market_value_in_eur").alias("prior"), "__order")
     for days in PLAYER_WINDOWS:
-        out = out.withColumn("__cut", F.date_sub("transfer_date", days))
-        out = asof_lookup(out, prior, by=["player_id"], anchor_on="__cut", history_on="prior_date", values=["prior"], prefix="__", order_ties_by=["__order"])
+        cut = {"__cut": F.date_sub("transfer_date", days)}
+        out = asof_lookup(out.withColumns(cut), prior, by=["player_id"], anchor_on="__cut", history_on="prior_date", values=["prior"], prefix="__",
+                          order_ties_by=["__order"], points=points.withColumns(cut))
         out = out.withColumnsRenamed({"__prior": f"market_value_{days}d_prior", "__prior_date": f"market_value_{days}d_prior_date"}).drop("__cut")
         out = out.withColumn(f"market_value_change_{days}d", F.col("pre_transfer_market_value") - F.col(f"market_value_{days}d_prior"))
     return out.withColumns({
@@ -118,9 +120,9 @@ def _activity():
     return {"matches": F.lit(1), "minutes": F.col("minutes_played"), "goals": F.col("goals"), "assists": F.col("assists")}
 
 
-def add_player_form(cohort: DataFrame, appearances: DataFrame) -> DataFrame:
+def add_player_form(cohort: DataFrame, appearances: DataFrame, *, points: DataFrame | None = None) -> DataFrame:
     out = lookback_totals(cohort, _dated(appearances, "date"), by=["player_id"], anchor_on="transfer_date", fact_on="date", metrics=_activity(),
-                          windows={f"{w}d": (1 - w, -1) for w in PLAYER_WINDOWS}, name="player_{metric}_{window}_pre")
+                          windows={f"{w}d": (1 - w, -1) for w in PLAYER_WINDOWS}, name="player_{metric}_{window}_pre", points=points)
     return out.withColumns({f"player_{m}_per90_{w}d_pre": safe_divide(F.col(f"player_{m}_{w}d_pre") * 90, f"player_minutes_{w}d_pre")
                             for w in PLAYER_WINDOWS for m in ("goals", "assists")})
 
@@ -134,13 +136,14 @@ def club_results(club_games: DataFrame, games: DataFrame) -> DataFrame:
     return dated.select("club_id", "date", wins.alias("wins"), draws.alias("draws"), (wins * 3 + draws).alias("points"), diff.alias("goal_diff"))
 
 
-def add_club_form(cohort: DataFrame, results: DataFrame) -> DataFrame:
+def add_club_form(cohort: DataFrame, results: DataFrame, *, points: DataFrame | None = None) -> DataFrame:
     """Form of both clubs over the year before the transfer day."""
+    points = cohort if points is None else points
     metrics = {"matches": F.lit(1), "wins": F.col("wins"), "points": F.col("points"), "goal_diff": F.col("goal_diff")}
     for role in ROLES:
         key = f"{role}_club_id"
         cohort = lookback_totals(cohort, results.withColumnRenamed("club_id", key), by=[key], anchor_on="transfer_date", fact_on="date", metrics=metrics,
-                                 windows={"year": (1 - CLUB_WINDOW, -1)}, name="__{metric}")
+                                 windows={"year": (1 - CLUB_WINDOW, -1)}, name="__{metric}", points=points)
         end = f"_{CLUB_WINDOW}d_pre"
         cohort = cohort.withColumns({
             f"{role}_matches{end}": F.col("__matches"), f"{role}_win_rate{end}": safe_divide("__wins", "__matches"),
@@ -172,13 +175,13 @@ def add_feed_context(cohort: DataFrame, context: DataFrame) -> DataFrame:
     return cohort
 
 
-def add_label(cohort: DataFrame, appearances: DataFrame, valuations: DataFrame, *, months: int, minutes: int, order_by: str) -> DataFrame:
+def add_label(cohort: DataFrame, appearances: DataFrame, valuations: DataFrame, *, months: int, minutes: int, order_by: str, points: DataFrame | None = None) -> DataFrame:
     """Success: enough minutes at the destination and an end value not below the value at the transfer."""
     history = _dated(valuations, "date").select("player_id", "date", "market_value_in_eur", F.col(order_by).alias("__order"))
     out = C.follow_up_label(
         cohort.withColumnRenamed("market_value_in_eur", "__own"), _dated(appearances, "date"), history, entity="player_id", place="destination_club_id",
         activity_place="player_club_id", date="transfer_date", activity_on="date", metrics=_activity(), threshold_metric="minutes", threshold=minutes,
-        value_on="date", value="market_value_in_eur", baseline="pre_transfer_market_value", months=months, value_ties=["__order"], prefix="target_",
+        value_on="date", value="market_value_in_eur", baseline="pre_transfer_market_value", months=months, value_ties=["__order"], prefix="target_", points=points,
         reasons_for={"baseline": "missing_pre_transfer_market_value", "end": "missing_follow_up_market_value", "inside": "no_market_value_inside_follow_up_window"})
     return out.withColumnsRenamed({
         "__own": "market_value_in_eur", "target_end_value": "target_end_market_value", "target_end_value_date": "target_end_market_value_date",
@@ -216,15 +219,16 @@ def build_modeling_dataset(
         order_by = "row_order"
         transfers, valuations = materialize(with_row_order(transfers)), materialize(with_row_order(valuations))
     audited = materialize(audit_transfers(transfers, tables["clubs"], start=start, end=end, leagues=leagues, order_by=order_by))
-    cohort = enrich(C.included(audited), tables["players"], tables["clubs"], tables["competitions"])
-    cohort = add_valuations(cohort, valuations, order_by=order_by)
-    cohort = add_player_form(cohort, tables["appearances"])
-    cohort = add_club_form(cohort, club_results(tables["club_games"], tables["games"]))
-    context = feed_context(payloads, leagues)
+    points = C.included(audited)
+    cohort = enrich(points, tables["players"], tables["clubs"], tables["competitions"])
+    cohort = add_valuations(cohort, valuations, order_by=order_by, points=points)
+    cohort = add_player_form(cohort, tables["appearances"], points=points)
+    cohort = add_club_form(cohort, club_results(tables["club_games"], tables["games"]), points=points)
+    context = materialize(feed_context(payloads, leagues))
     if context.isEmpty():
         raise ValueError("the feed holds no usable rows")
     cohort = add_feed_context(cohort, context)
-    labelled = materialize(add_label(cohort, tables["appearances"], valuations, months=months, minutes=minutes, order_by=order_by))
+    labelled = materialize(add_label(cohort, tables["appearances"], valuations, months=months, minutes=minutes, order_by=order_by, points=points))
 
     counts = labelled.agg(F.count(F.lit(1)).alias("n"), F.count("source_api_cached_matches").alias("s"), F.count("destination_api_cached_matches").alias("d"),
                           F.count_if(F.col("target_is_eligible")).alias("eligible"),

@@ -207,9 +207,9 @@ def order_point_in_time(spark, sf):
     orders = _orders(spark, sf).withColumnRenamed("o_custkey", "k")
     work = labelled_orders(spark, sf)
     work = lookback_totals(work, orders, by=["k"], anchor_on="day", fact_on="day", metrics={"orders": F.lit(1), "spend": F.col("price")},
-                           windows={"180d": (-179, -1)})
+                           windows={"180d": (-179, -1)}, points=orders)
     work = asof_lookup(work, orders, by=["k"], anchor_on="day", history_on="day", values=["price"], prefix="prior_",
-                       order_ties_by=["o_orderkey"], allow_exact=False)
+                       order_ties_by=["o_orderkey"], allow_exact=False, points=orders)
     return work.select("o_orderkey", F.col("k").alias("o_custkey"), "day", F.col("prior_price").cast("double").alias("prior_value"),
                        F.col("orders_180d").cast("long").alias("orders_180d"), F.col("spend_180d").cast("double").alias("spend_180d"),
                        F.round(safe_divide("base", "prior_price"), 4).alias("value_ratio"), F.col("target_failure_reason").alias("failure_reason"), "success")

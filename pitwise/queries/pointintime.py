@@ -53,9 +53,9 @@ def asof_180d_value(spark, sf):
     history = orders.select("o_custkey", "day", "price", "o_orderkey")
     out = orders
     for days in (180, 365):
-        out = out.withColumn("cutoff", F.date_sub("day", days))
-        out = asof_lookup(out, history, by=["o_custkey"], anchor_on="cutoff", history_on="day", values=["price"],
-                          prefix=f"at{days}_", order_ties_by=["o_orderkey"])
+        cut = {"cutoff": F.date_sub("day", days)}
+        out = asof_lookup(out.withColumns(cut), history, by=["o_custkey"], anchor_on="cutoff", history_on="day", values=["price"],
+                          prefix=f"at{days}_", order_ties_by=["o_orderkey"], points=orders.withColumns(cut))
     return out.select("o_orderkey", *[F.col(f"at{d}_price").cast("double").alias(f"price_{d}d") for d in (180, 365)],
                       *[(F.col("price") - F.col(f"at{d}_price")).cast("double").alias(f"change_{d}d") for d in (180, 365)])
 

@@ -20,6 +20,8 @@ def get_session(app_name: str = "pitwise", master: str | None = None, shuffle_pa
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", "8g")     # the one memory setting of local mode
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
