@@ -10,7 +10,7 @@ from pitwise.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("tests", master="local[8]", shuffle_partitions=4)
+    session = get_session("tests", master="local[8]", shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

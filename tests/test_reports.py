@@ -12,7 +12,7 @@ from pitwise.sources.tables import load_tables
 @pytest.fixture(scope="module")
 def world(spark, tmp_path_factory):
     raw, feeds = football.build(tmp_path_factory.mktemp("world"))
-    return load_tables(spark, raw), feed.read_feed(spark, feed.feed_paths(spark, feeds))
+    return {n: t.cache() for n, t in load_tables(spark, raw).items()}, feed.read_feed(spark, feed.feed_paths(spark, feeds))
 
 
 def verdicts(checks):
