@@ -119,11 +119,10 @@ def window_scores(
     With ``pool_places`` the statistics are shared by all rows of the same entity and date, as the weighted
     label defines them; otherwise they belong to the row's own place.
     """
-    work = cohort.withColumn("__end", F.add_months(F.col(date), 12 * years))
-    spans = work.select(entity, place, date, "__end").distinct()
-    a = interval_aggregate(spans, activity.withColumnRenamed(activity_place, place) if activity_place != place else activity,
-                           by=[entity, place], start=date, end="__end", fact_on=activity_on,
-                           aggregates={n: ("sum", e) for n, e in sums.items()})
+    stop = F.add_months(F.col(date), 12 * years)
+    spans = cohort.select(entity, place, date).distinct().withColumns({"__end": stop, "__before": F.date_sub(F.col(date), 1), "__last": F.date_sub(stop, 1)})
+    facts = activity.withColumnRenamed(activity_place, place) if activity_place != place else activity
+    a = interval_totals(spans, facts, by=[entity, place], after="__before", until="__last", fact_on=activity_on, metrics=sums)
     b = interval_aggregate(a, valuations.withColumnRenamed(value_place, place) if value_place != place else valuations,
                            by=[entity, place], start=date, end="__end", fact_on=value_on,
                            aggregates={"new_value": ("max", F.col(value))}, points=spans)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pitwise.session import materialize
 
-SMALL = 200_000      # distinct values that one window task may hold without buckets
+SMALL = 1_000_000    # distinct values that one window task may hold without buckets
 EDGES = 512
 
 
@@ -59,14 +59,24 @@ def _wide(df: DataFrame, columns: Sequence[str], small: int) -> bool:
     return max(row) > small
 
 
+def settled_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), small: int = SMALL) -> tuple[DataFrame, bool]:
+    """Value counts and whether they need buckets; large counts are checkpointed, since they are read several times."""
+    wide = _wide(df, columns, small)
+    counts = value_counts(df, columns, by)
+    return (materialize(counts) if wide else counts), wide
+
+
 def running_counts(counts: DataFrame, by: Sequence[str] = (), *, bucketed: bool = False, edges: int = EDGES) -> DataFrame:
-    """Add ``before`` (rows of the group with a smaller value) and ``total`` (rows of the group), exact."""
+    """Add ``before`` (rows of the group with a smaller value) and ``total`` (rows of the group), exact.
+
+    Bucketed counts are read several times: pass the result of ``settled_counts``.
+    """
     group = [*by, "column"]
     whole = Window.partitionBy(*group)
     if not bucketed:
         earlier = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumns({"before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "total": F.sum("n").over(whole)})
-    buckets = _bucketed(materialize(counts), edges)
+    buckets = _bucketed(counts, edges)
     per_bucket = buckets.groupBy(*group, "bucket").agg(F.sum("n").alias("__n"))
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("bucket").alias("__bucket"),
@@ -86,7 +96,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str,
 
     Columns without any value have no row.
     """
-    return quantiles_of_counts(value_counts(df, columns, by), probabilities, by, bucketed=_wide(df, columns, small), edges=edges)
+    counts, wide = settled_counts(df, columns, by, small)
+    return quantiles_of_counts(counts, probabilities, by, bucketed=wide, edges=edges)
 
 
 def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = (), *,
@@ -115,15 +126,19 @@ def fitted_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mappi
 
 def average_ranks(df: DataFrame, columns: Sequence[str], *, small: int = SMALL, edges: int = EDGES) -> DataFrame:
     """Mean rank of each distinct value, ties shared: ``(column, value, rank)``."""
-    placed = running_counts(value_counts(df, columns), bucketed=_wide(df, columns, small), edges=edges)
+    counts, wide = settled_counts(df, columns, (), small)
+    placed = running_counts(counts, bucketed=wide, edges=edges)
     return placed.select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
 def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, wide: bool | None = None, small: int = SMALL,
                     edges: int = EDGES) -> dict[int, tuple[float, int, int]]:
     """For each zero-based position of the sorted column: the value there, the number of smaller rows, and of equal rows."""
-    wide = _wide(df, [column], small) if wide is None else wide
-    placed = running_counts(value_counts(df, [column]), bucketed=wide, edges=edges)
+    if wide is None:
+        counts, wide = settled_counts(df, [column], (), small)
+    else:
+        counts = materialize(value_counts(df, [column])) if wide else value_counts(df, [column])
+    placed = running_counts(counts, bucketed=wide, edges=edges)
     hit = [F.max(F.when((F.col("before") <= p) & (F.lit(p) < F.col("before") + F.col("n")), F.struct("value", "before", "n"))).alias(str(p))
            for p in positions]
     row = placed.agg(*hit).first()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitwise.functions.scalars import correlation_strength, parse_date, pct, to_number
 from pitwise.operators.joins import top_k
-from pitwise.operators.ordering import average_ranks, fitted_quantiles, quantiles, quantiles_of_counts, value_counts
+from pitwise.operators.ordering import average_ranks, fitted_quantiles, quantiles_of_counts, settled_counts, value_counts
 
 
 def _numbers(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
@@ -61,13 +61,13 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], table: str = "") -> D
     """
     numbers = _numbers(df, columns)
     total = df.agg(F.count(F.lit(1)).alias("rows"))
-    counts = value_counts(numbers, columns)
+    counts, wide = settled_counts(numbers, columns)
     basics = counts.groupBy("column").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct_count"), F.min("value").alias("min"),
         F.max("value").alias("max"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     centred = counts.join(basics.select("column", "mean"), "column").withColumn("d", F.col("value") - F.col("mean"))
     moments = centred.groupBy("column").agg(*[F.sum(F.pow("d", F.lit(k)) * F.col("n")).alias(f"m{k}") for k in (2, 3, 4)])
-    middles = quantiles(numbers, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}).drop("n")
+    middles = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, bucketed=wide).drop("n")
     n = F.col("n").cast("double")
     var = F.col("m2") / n
     constant = F.col("m2") == 0
@@ -326,10 +326,8 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], multiplier: float =
 
     Works on value counts, so a group that holds most of the rows is as cheap as its distinct values.
     """
-    from pitwise.operators.ordering import _wide, SMALL
-    numbers = _numbers(df, [value], *by)
-    counts = value_counts(numbers, [value], by)
-    box = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, bucketed=_wide(numbers, [value], SMALL))
+    counts, wide = settled_counts(_numbers(df, [value], *by), [value], by)
+    box = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, bucketed=wide)
     box = box.select(*[F.col(b).alias(f"__{b}") for b in by], "q1", "median", "q3", F.col("n").alias("total"))
     same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by])
     spread = (F.col("q3") - F.col("q1")) * multiplier

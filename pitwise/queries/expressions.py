@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pitwise.functions import scalars as S
 from pitwise.functions.text import entity_key, normalize_text
 from pitwise.queries import query, read
+from pitwise.session import spread
 
 
 @query("coerce_values", """
@@ -39,7 +40,7 @@ SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(strip_acc
 FROM documents""")
 def normalize_text_query(spark, sf):
     """Whole documents folded to lower-case ASCII words."""
-    return read(spark, sf, "documents").select("doc_id", normalize_text("text").alias("folded"))
+    return spread(read(spark, sf, "documents").select("doc_id", "text")).select("doc_id", normalize_text("text").alias("folded"))
 
 
 @query("entity_key", r"""

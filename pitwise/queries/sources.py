@@ -8,12 +8,14 @@ from pitwise.functions.scalars import map_values, safe_divide
 from pitwise.functions.text import normalize_text
 from pitwise.operators.joins import keep_last
 from pitwise.queries import query, read
+from pitwise.session import spread
 from pitwise.sources import feed
 
 
 def payloads(spark, sf):
     """One JSON payload per shipment: supplier plays customer nation, quantities are goals."""
-    lines = read(spark, sf, "lineitem")
+    lines = spread(read(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
     goals_home, goals_away = F.col("l_linenumber").cast("long"), (F.col("l_quantity") % 7).cast("long")
     item = F.struct(
         F.struct(F.col("l_orderkey").alias("id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),

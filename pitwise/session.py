@@ -46,3 +46,12 @@ def materialize(df: DataFrame) -> DataFrame:
     and a lost executor costs a read of the checkpoint instead of a recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work a task per core when the input arrives in fewer pieces (one small file).
+
+    Inputs with enough partitions, the normal case on a cluster, are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

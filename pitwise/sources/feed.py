@@ -56,8 +56,11 @@ def read_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def flatten_feed(payloads: DataFrame, *keep: str) -> DataFrame:
-    """One row per feed element with 18 flat columns; a missing branch gives nulls."""
-    items = payloads.select(*keep, F.explode("response").alias("item"))
+    """One row per feed element with 18 flat columns; a missing branch gives nulls.
+
+    The outer form keeps Spark from adding a size filter below, which would parse JSON text twice.
+    """
+    items = payloads.select(*keep, F.explode_outer("response").alias("item")).where(F.col("item").isNotNull())
     return items.select(*keep, *[F.col(f"item.{path}").alias(name) for name, path in FLAT_FIELDS])
 
 
