@@ -26,6 +26,9 @@ def _not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def _join_back(anchors: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on plain equality; ``found`` is unique per key and holds no null keys."""
+    clash = sorted((set(found.columns) - set(keys)) & set(anchors.columns))
+    if clash:
+        raise ValueError(f"result columns already exist, choose a prefix: {', '.join(clash)}")
     renamed = found.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                            *[c for c in found.columns if c not in keys])
     condition = None

@@ -54,7 +54,7 @@ def fitted_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 def impute_values(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Fill value per column: exact median for numbers, mode for the rest, ``Unknown`` without any value."""
     types = {f.name: f.dataType for f in df.schema}
-    numeric = [c for c in columns if is_numeric(types[c])]
+    numeric = [c for c in columns if is_numeric(types[c]) and not isinstance(types[c], T.BooleanType)]
     other = [c for c in columns if c not in numeric]
     medians = {c: q["median"] for c, q in fitted_quantiles(df, numeric, {"median": 0.5}).items()}
     found = fitted_modes(df, other)

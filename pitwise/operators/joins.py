@@ -40,16 +40,15 @@ def null_safe_left_join(left: DataFrame, right: DataFrame, *, on: Mapping[str, s
 def outer_with_side(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join on ``keys`` (null matches null) plus ``side``: both, left_only or right_only.
 
-    Non-key columns must have distinct names.
+    Non-key columns must have distinct names. Planned as a left join and an anti join: AQE splits a hot key in
+    either of them, which it cannot do in a full outer join, and the two share their shuffles.
     """
-    l = left.withColumn("__l", F.lit(1))
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys],
-                     F.lit(1).alias("__r"))
-    condition = reduce(lambda a, b: a & b, [l[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
-    side = (F.when(F.col("__l").isNull(), "right_only").when(F.col("__r").isNull(), "left_only").otherwise("both"))
-    joined = l.join(r, condition, "full_outer").withColumn("side", side)
-    return (joined.withColumns({k: F.when(F.col("__l").isNull(), F.col(f"__r_{k}")).otherwise(F.col(k)) for k in keys})
-            .drop("__l", "__r", *[f"__r_{k}" for k in keys]))
+    names = [f"__r_{k}" for k in keys]
+    r = right.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in right.columns if c not in keys], F.lit(1).alias("__r"))
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[n]) for k, n in zip(keys, names)])
+    first = left.join(r, condition, "left").withColumn("side", F.when(F.col("__r").isNull(), "left_only").otherwise("both")).drop("__r", *names)
+    rest = unmatched(right, left, keys).withColumn("side", F.lit("right_only"))
+    return first.unionByName(rest, allowMissingColumns=True)
 
 
 def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -84,11 +83,6 @@ def block_pairs(df: DataFrame, *, block: str, order_by: str, columns: Sequence[s
     return pairs.drop("__block"), sizes.where(F.col("members") > max_block)
 
 
-def is_after_scalar(value: Column, facts: DataFrame, fact: str) -> Column:
-    """Compare each row with one global maximum through a scalar subquery, not a cross join."""
-    return value > facts.agg(F.max(fact)).scalar()
-
-
 def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One whole row per key: the last by ``order_by``. Partially aggregated, so no key is gathered."""
     rest = [c for c in df.columns if c not in keys]

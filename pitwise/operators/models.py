@@ -115,31 +115,29 @@ def score_best(results: DataFrame, models: Mapping, test: DataFrame, label: str)
 
 # -- minority oversampling ---------------------------------------------------------------------
 
-EXACT_NEIGHBOUR_ROWS = 20_000     # minority rows whose vectors may be shipped to every task
+EXACT_NEIGHBOUR_ROWS = 20_000          # minority rows whose vectors may be shipped to every task,
+EXACT_NEIGHBOUR_CELLS = 10_000_000     # and numbers in them (80 MB)
+CHUNK = 512                            # rows compared at a time inside a task
 
 
 def _nearest(minority: DataFrame, key: str, features: str, k: int) -> DataFrame:
     """``(key, neighbours array<array<double>>)``: the ``k`` nearest other minority rows."""
     dense = minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x"))
-    rows = dense.count()
-    if rows <= EXACT_NEIGHBOUR_ROWS:
-        data = dense.orderBy("key").toPandas()
-        keys, points = data["key"].to_numpy(), np.stack(data["x"].to_numpy()) if rows else np.empty((0, 0))
-        norms = (points ** 2).sum(axis=1) if rows else np.empty(0)
-
-        def search(batches):
-            for pdf in batches:
-                if pdf.empty:
-                    continue
+    data = dense.orderBy("key").toPandas()     # size checked by the caller
+    keys, points = data["key"].to_numpy(), np.stack(data["x"].to_numpy())
+    norms, width = (points ** 2).sum(axis=1), min(k, len(keys) - 1)
+
+    def search(batches):
+        for whole in batches:
+            for start in range(0, len(whole), CHUNK):
+                pdf = whole.iloc[start:start + CHUNK]
                 x = np.stack(pdf["x"].to_numpy())
                 distance = (x ** 2).sum(axis=1)[:, None] + norms[None, :] - 2 * x @ points.T
                 distance[pdf["key"].to_numpy()[:, None] == keys[None, :]] = np.inf
-                width = min(k, rows - 1)
                 near = np.argpartition(distance, width - 1, axis=1)[:, :width] if width else np.empty((len(x), 0), dtype=int)
                 yield pd.DataFrame({"key": pdf["key"], "x": pdf["x"], "neighbours": [[points[j].tolist() for j in row] for row in near]})
 
-        return dense.mapInPandas(search, "key long, x array<double>, neighbours array<array<double>>")
-    raise ValueError("too many minority rows for exact neighbours; use projection_neighbours")
+    return dense.mapInPandas(search, "key long, x array<double>, neighbours array<array<double>>")
 
 
 def projection_neighbours(minority: DataFrame, key: str, features: str, *, k: int, cells: int, seed: int = SEED) -> DataFrame:
@@ -178,7 +176,8 @@ def oversample_minority(df: DataFrame, *, label: str, key: str, features: str =
     if wanted <= 0:
         return base
     rows = df.where(F.col(label) == minor)
-    near = (_nearest(rows, key, features, k) if few <= EXACT_NEIGHBOUR_ROWS else
+    size = rows.select(F.size(vector_to_array(features)).alias("n")).first()["n"]
+    near = (_nearest(rows, key, features, k) if few <= EXACT_NEIGHBOUR_ROWS and few * size <= EXACT_NEIGHBOUR_CELLS else
             projection_neighbours(rows, key, features, k=k, cells=max(2, few // 100_000), seed=seed))
     near = materialize(near.where(F.size("neighbours") > 0))
     each, extra = divmod(wanted, few)

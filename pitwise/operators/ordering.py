@@ -146,17 +146,18 @@ def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, wid
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], *, order_by: str, max_missing: float = 0.5,
-                 bucket_rows: int = 100_000) -> DataFrame:
+                 bucket_rows: int | None = None) -> DataFrame:
     """Carry the last known value forward along a unique integer ``order_by``.
 
     A column is filled only if less than ``max_missing`` of it is missing; leading gaps stay. Rows are cut into
-    ranges of ``bucket_rows`` positions; each range is filled on its own and the last value before it comes from a
-    table with one row per range.
+    ranges of positions, about as many ranges as rows in a range; each range is filled on its own and the last
+    value before it comes from a table with one row per range.
     """
-    shares = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    chosen = [c for c in columns if 0 < shares[c] < shares["n"] * max_missing]
+    shares = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    chosen = [c for c in columns if 0 < shares[c] < shares["__n"] * max_missing]
     if not chosen:
         return df
+    bucket_rows = bucket_rows or max(100_000, int(shares["__n"] ** 0.5))
     cut = df.withColumn("__range", F.floor(F.col(order_by) / bucket_rows))
     last = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order_by), F.col(c).alias("v")))).alias(f"__{c}") for c in chosen]
     ends = cut.groupBy("__range").agg(*last)

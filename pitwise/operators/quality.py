@@ -162,6 +162,13 @@ def report_lines(checks: DataFrame, named: int = 3) -> DataFrame:
     return grouped.select("dimension", "checks", "passed", "failed", "skipped", text.alias("report")).orderBy("dimension")
 
 
+def profile_line(dimension: str, text: Column, df: DataFrame) -> DataFrame:
+    """Report line of a dimension that is described rather than judged; ``text`` is an aggregate over ``df``."""
+    none = F.lit(0).cast("long")
+    return df.agg(text.alias("report")).select(F.lit(dimension).alias("dimension"), none.alias("checks"), none.alias("passed"), none.alias("failed"),
+                                               none.alias("skipped"), "report")
+
+
 # -- completeness ------------------------------------------------------------------------------
 
 def table_completeness(df: DataFrame, table: str, *, min_rows: int = 1) -> DataFrame:

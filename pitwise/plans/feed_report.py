@@ -147,12 +147,13 @@ def feed_report(payloads: DataFrame, request: Mapping[str, object], *, status_co
     checks = materialize(_union(parts))
     rows = flat.drop("__row")
     s, e = P.iqr_outliers(flat, ["home_goals", "away_goals", "status_elapsed"], row_id="fixture_id", label="home_team_name", table=TABLE, k=10)
+    categories = P.categorical_profile(rows, ["status_short", "status_long", "league_name"], TABLE)
     return {"fixtures": rows, "checks": checks.orderBy("dimension", "status", F.col("failed_pct").desc_nulls_last(), "table_name", "check_name"),
-            "summary": Q.summarize(checks), "report": Q.report_lines(checks), "field_missingness": Q.field_completeness(rows, TABLE, REQUIRED_FIELDS),
+            "summary": Q.summarize(checks), "report": _report(checks, s, categories, "status_short"), "field_missingness": Q.field_completeness(rows, TABLE, REQUIRED_FIELDS),
             "duplicate_rows": copies.where(F.col("__exact") | same).select(*columns),
             "coverage": P.date_coverage(timed.withColumn("day", F.to_date("__at")), "day", table=TABLE), "outliers": s, "outlier_examples": e,
             "numeric_profiles": P.numeric_profile(rows, ["home_goals", "away_goals", "status_elapsed"], TABLE),
-            "categorical_profiles": P.categorical_profile(rows, ["status_short", "status_long", "league_name"], TABLE)}
+            "categorical_profiles": categories}
 
 
 def _winner_rules(prefix: str, home: str, away: str, home_won: str, away_won: str) -> list[Q.Rule]:
@@ -165,6 +166,15 @@ def _winner_rules(prefix: str, home: str, away: str, home_won: str, away_won: st
             Q.predicate("draws_do_not_mark_both_teams_as_winners", shown, yes[home_won] & yes[away_won], applicable=known & (h == a))]
 
 
+def _report(checks: DataFrame, outliers: DataFrame, categories: DataFrame, status: str) -> DataFrame:
+    """Eight lines: six judged dimensions, and outliers and distribution as a description."""
+    count = F.coalesce(F.sum("outlier_count"), F.lit(0)).cast("string")
+    top = F.coalesce(F.max(F.when(F.col("column_name") == status, F.col("mode_value"))), F.lit("none"))
+    lines = [Q.report_lines(checks), Q.profile_line("outliers", F.concat(F.lit("outliers: "), count, F.lit(" values lie outside the interquartile bounds.")), outliers),
+             Q.profile_line("distribution", F.concat(F.lit("distribution: the most frequent status is "), top, F.lit(".")), categories)]
+    return _union(lines).orderBy("dimension")
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -263,10 +273,11 @@ def merged_report(flat: DataFrame, games: DataFrame, competitions: DataFrame, *,
     numbers = [c for c in MERGED_NUMERIC if c in rows.columns]
     labels = [c for c in MERGED_CATEGORICAL if c in rows.columns]
     s, e = P.iqr_outliers(rows, numbers, row_id="game_id", label="home_club_name", table=table, k=10)
+    categories = P.categorical_profile(rows, labels, table)
     return {**found, "merged": rows, "checks": checks.orderBy("dimension", "status", F.col("failed_pct").desc_nulls_last(), "check_name"),
-            "check_summary": Q.summarize(checks), "report": Q.report_lines(checks), "field_missingness": Q.field_completeness(rows, table, MERGED_REQUIRED),
+            "check_summary": Q.summarize(checks), "report": _report(checks, s, categories, "api_status_short"), "field_missingness": Q.field_completeness(rows, table, MERGED_REQUIRED),
             "duplicate_rows": marked.where(F.col("__later") | game | fixture | F.col("__natural")).select(*columns),
-            "outliers": s, "outlier_examples": e, "numeric_profiles": P.numeric_profile(rows, numbers, table), "categorical_profiles": P.categorical_profile(rows, labels, table)}
+            "outliers": s, "outlier_examples": e, "numeric_profiles": P.numeric_profile(rows, numbers, table), "categorical_profiles": categories}
 
 
 def _matched(summary: DataFrame, name: str, side: str, table: str) -> DataFrame:

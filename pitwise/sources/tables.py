@@ -27,10 +27,14 @@ def _stem(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, mode: str = "PERMISSIVE") -> DataFrame:
-    """One CSV table; without a schema, types are inferred. Missing-value tokens and NaN become null."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, mode: str = "PERMISSIVE",
+               multi_line: bool = False) -> DataFrame:
+    """One CSV table; without a schema, types are inferred. Missing-value tokens and NaN become null.
+
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    """
     # missing-value tokens would turn a number column into text, so text is read first when there is no schema
-    reader = spark.read.option("header", True).option("mode", mode).option("multiLine", False).option("escape", '"')
+    reader = spark.read.option("header", True).option("mode", mode).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         text = reader.csv(path)
         wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -113,3 +113,18 @@ def test_hot_key_rows_are_not_windowed_by_key(spark):
     assert "Window" in plan and "Aggregate" in plan and "Join" in plan
     window = plan[plan.index("Window ["):]
     assert "Aggregate" in window.split("Scan")[0], "the timeline must be aggregated below the window"
+
+
+def test_clashing_result_columns_are_refused(spark):
+    anchors, history = frames(spark)
+    with pytest.raises(ValueError, match="prefix"):
+        asof_lookup(anchors.withColumn("v", F.lit(1)), history, by=["k"], anchor_on="at", history_on="t", values=["v"])
+
+
+def test_chain_with_points_equals_chain_without(spark):
+    anchors, history = frames(spark)
+    plain = with_points = anchors
+    for i in range(2):
+        args = dict(by=["k"], anchor_on="at", history_on="t", values=["v"], prefix=f"p{i}_", order_ties_by=["pos"], allow_exact=bool(i))
+        plain, with_points = asof_lookup(plain, history, **args), asof_lookup(with_points, history, points=anchors, **args)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, with_points.collect()))

@@ -63,7 +63,8 @@ def test_feed_report(world):
     others = {k: v[0] for k, v in got.items() if v[0] != "passed"}
     assert set(others) == {("api_wrapper", "echoed_parameters_match_request")}
     assert len([k for k in got if k[1].startswith("wrapper_field_")]) == 6 and len([k for k in got if k[1].endswith("_not_missing")]) == 14
-    assert {r["dimension"] for r in report["report"].collect()} == {"accuracy", "completeness", "consistency", "relationships", "timeliness", "uniqueness"}
+    assert {r["dimension"] for r in report["report"].collect()} == {
+        "accuracy", "completeness", "consistency", "distribution", "outliers", "relationships", "timeliness", "uniqueness"}
     assert report["coverage"].first()["unique_days"] == 2 and report["duplicate_rows"].count() == 0
 
 
