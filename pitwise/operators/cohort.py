@@ -125,7 +125,7 @@ def window_scores(
     a = interval_totals(spans, facts, by=[entity, place], after="__before", until="__last", fact_on=activity_on, metrics=sums)
     b = interval_aggregate(a, valuations.withColumnRenamed(value_place, place) if value_place != place else valuations,
                            by=[entity, place], start=date, end="__end", fact_on=value_on,
-                           aggregates={"new_value": ("max", F.col(value))}, points=spans)
+                           aggregates={"new_value": ("max", F.col(value))}, grain="year", points=spans)
     keys = [entity, date] if pool_places else [entity, place, date]
     stats = b.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums], F.max("new_value").alias("new_value"))
     stats = stats.select(*[F.col(k).alias(f"__{k}") for k in keys], *sums, "new_value")

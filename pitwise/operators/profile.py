@@ -47,7 +47,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], *, row_id: str, label: s
         F.coalesce("outlier_count", F.lit(0)).alias("outlier_count"),
         pct(F.coalesce("outlier_count", F.lit(0)), F.col("non_null_count")).alias("outlier_pct"))
     examples = top_k(outside, by=["column"], order_by=[F.col("value").desc(), F.col("row_id")], k=k).select(
-        F.lit(table).alias("table_name"), F.col("column").alias("column_name"), "row_id", "label", "value", "rank")
+        F.lit(table).alias("table_name"), F.col("column").alias("column_name"), "row_id", "label", "value", F.col("rank").cast("long").alias("rank"))
     return summary, examples
 
 
@@ -148,7 +148,7 @@ def top_frequencies(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFr
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     best = top_k(counts, by=["column"], order_by=[F.col("n").desc(), F.col("value")], k=k)
     return best.join(totals, "column").select(
-        F.col("column").alias("column_name"), "rank", "value", F.col("n").alias("count"), pct("n", "total").alias("pct"))
+        F.col("column").alias("column_name"), F.col("rank").cast("long").alias("rank"), "value", F.col("n").alias("count"), pct("n", "total").alias("pct"))
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str], table: str = "", k: int = 5) -> DataFrame:

@@ -140,8 +140,14 @@ def derived(table: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def _filled(tables: Tables) -> dict[str, DataFrame]:
-    return {n: derived(n, df) for n, df in sorted(tables.items()) if not df.isEmpty()}
+class Filled(dict):
+    """Tables with rows and their derived columns, looked at once for all dimensions."""
+
+
+def _filled(tables: Tables) -> Filled:
+    if isinstance(tables, Filled):
+        return tables
+    return Filled({n: derived(n, df) for n, df in sorted(tables.items()) if not df.isEmpty()})
 
 
 def _any(tables: Tables) -> DataFrame:
@@ -179,11 +185,12 @@ def _union(parts: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def completeness(tables: Tables) -> dict[str, DataFrame]:
+def completeness(tables: Tables, filled: Filled | None = None) -> dict[str, DataFrame]:
+    filled = _filled(tables) if filled is None else filled
     whole = _union([Q.table_completeness(df, n) for n, df in sorted(tables.items())])
     fields = _union([Q.field_completeness(df, n, REQUIRED.get(n, ())) for n, df in sorted(tables.items())])
     required = Q.finalize([Q.run_checks(df, [Q.not_null(c) for c in REQUIRED[n]], table=n, dimension="completeness")
-                           for n, df in _filled(tables).items() if n in REQUIRED], "completeness", _any(tables).sparkSession)
+                           for n, df in filled.items() if n in REQUIRED], "completeness", _any(tables).sparkSession)
     return {
         "table_summary": whole.orderBy("size_status", F.col("missing_cells_pct").desc(), "table_name"),
         "field_completeness": fields.orderBy(F.col("missing_pct").desc(), "table_name", "column_name"),
@@ -345,5 +352,8 @@ def relationships(tables: Tables) -> dict[str, DataFrame]:
 
 def run_report(tables: Tables, today: str) -> dict[str, dict[str, DataFrame]]:
     """All eight dimensions; every value is a frame that is computed when it is read."""
-    return {"accuracy": accuracy(tables), "consistency": consistency(tables), "completeness": completeness(tables), "uniqueness": uniqueness(tables),
-            "outliers": outliers(tables), "timeliness": timeliness(tables, today), "distribution": distribution(tables), "relationships": relationships(tables)}
+    filled = _filled(tables)
+    if not filled:
+        raise ValueError("no table holds any rows")
+    return {"accuracy": accuracy(filled), "consistency": consistency(filled), "completeness": completeness(tables, filled), "uniqueness": uniqueness(tables),
+            "outliers": outliers(filled), "timeliness": timeliness(filled, today), "distribution": distribution(filled), "relationships": relationships(filled)}

@@ -58,8 +58,8 @@ WITH t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE o_orderkey %
   WHEN 1 THEN 'xx/yy' WHEN 2 THEN NULL ELSE strftime(o_orderdate, '%Y') END AS s FROM orders)
 SELECT o_orderkey, CASE WHEN contains(s, '/') THEN CASE WHEN TRY_CAST(split_part(s, '/', 1) AS INTEGER) >= 90 THEN 1900 + TRY_CAST(split_part(s, '/', 1) AS INTEGER)
      ELSE 2000 + TRY_CAST(split_part(s, '/', 1) AS INTEGER) END WHEN month(d) >= 7 THEN year(d) ELSE year(d) - 1 END AS season,
-  CASE WHEN regexp_matches(left(s, 2), '^[0-9]{2}$') THEN 2000 + CAST(left(s, 2) AS INTEGER) END AS prefix_season,
-  CASE WHEN regexp_full_match(s, '[0-9]{2}/[0-9]{2}') THEN CAST(right(s, 2) AS INTEGER) END AS pair_end FROM t""")
+  CASE WHEN regexp_matches(left(s, 2), '^[0-9]{2}$') THEN 2000 + CAST(left(s, 2) AS BIGINT) END AS prefix_season,
+  CASE WHEN regexp_full_match(s, '[0-9]{2}/[0-9]{2}') THEN CAST(right(s, 2) AS BIGINT) END AS pair_end FROM t""")
 def season_years(spark, sf):
     """Season start year from ``NN/NN`` text, else from the date; July starts a season."""
     key, d = F.col("o_orderkey"), F.to_date("o_orderdate")

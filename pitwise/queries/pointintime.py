@@ -139,7 +139,7 @@ FROM a LEFT JOIN orders f ON a.o_custkey = f.o_custkey AND CAST(f.o_orderdate AS
 def interval_join_agg(spark, sf):
     """Sum, maximum and minimum of the customer's orders in the three years from each order on."""
     orders = _orders(spark, sf).withColumn("stop", F.add_months("day", 36))
-    out = interval_aggregate(orders, orders, by=["o_custkey"], start="day", end="stop", fact_on="day", aggregates={
+    out = interval_aggregate(orders, orders, by=["o_custkey"], start="day", end="stop", fact_on="day", grain="year", aggregates={
         "total": ("sum", F.col("price")), "highest": ("max", F.col("price")), "lowest": ("min", F.col("price"))})
     return out.select("o_orderkey", *[F.col(c).cast("double").alias(c) for c in ("total", "highest", "lowest")])
 

@@ -88,10 +88,11 @@ def test_interval_totals_and_aggregates(spark):
         assert extremes[a["id"]] == ((min(values), max(values), sum(values)) if values else (None, None, None))
 
 
-def test_long_intervals_use_whole_months(spark):
+@pytest.mark.parametrize("grain", ["month", "year"])
+def test_long_intervals_use_whole_blocks(spark, grain):
     facts = spark.createDataFrame([(1, DAY0 + dt.timedelta(days=i), i) for i in range(0, 900, 7)], "k int, t date, v int")
     anchors = spark.createDataFrame([(i, 1, DAY0 + dt.timedelta(days=13 * i), DAY0 + dt.timedelta(days=13 * i + 400)) for i in range(30)], "id int, k int, at date, stop date")
-    out = interval_aggregate(anchors, facts, by=["k"], start="at", end="stop", fact_on="t", aggregates={"s": ("sum", F.col("v")), "m": ("max", F.col("v"))})
+    out = interval_aggregate(anchors, facts, by=["k"], start="at", end="stop", fact_on="t", grain=grain, aggregates={"s": ("sum", F.col("v")), "m": ("max", F.col("v"))})
     rows = facts.collect()
     for r in out.collect():
         values = [f["v"] for f in rows if r["at"] <= f["t"] < r["stop"]]
