@@ -114,9 +114,11 @@ def keys_reasons_flags(spark, sf):
 SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) + event_id % 130 AS seconds, (event_id % 130) > 60 AS too_far FROM events""")
 def epoch_difference(spark, sf):
     """Epoch seconds against a timestamp, allowed difference one minute."""
-    t = read(spark, sf, "events").select("event_id", F.to_timestamp("ts").alias("ts"))
-    seconds = F.unix_seconds("ts") + F.col("event_id") % 130
-    return t.select("event_id", seconds.alias("seconds"), S.differs_by_more_than(S.epoch_to_timestamp(seconds), "ts").alias("too_far"))
+    # the stored time has no zone: count its seconds, then compare as instants
+    since = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
+    t = read(spark, sf, "events").select("event_id", since.alias("s"))
+    seconds = F.col("s") + F.col("event_id") % 130
+    return t.select("event_id", seconds.alias("seconds"), S.differs_by_more_than(S.epoch_to_timestamp(seconds), S.epoch_to_timestamp("s")).alias("too_far"))
 
 
 @query("scaled_values", """

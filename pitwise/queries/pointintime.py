@@ -70,7 +70,7 @@ def asof_event_value(spark, sf):
     bought = events.where("event_type = 'purchase'").select("user_id", "ts", "value", "event_id")
     out = asof_lookup(events.select("event_id", "user_id", "ts"), bought, by=["user_id"], anchor_on="ts", history_on="ts",
                       values=["value", "event_id"], prefix="last_", order_ties_by=["event_id"])
-    return out.select("event_id", "last_value", "last_event_id", F.unix_micros(F.to_timestamp("last_ts")).alias("last_us"))
+    return out.select("event_id", "last_value", "last_event_id", F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', last_ts)").alias("last_us"))
 
 
 @query("cumulative_history", """
