@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -27,25 +26,26 @@ def get_session(app_name: str = "pitwise", master: str | None = None, shuffle_pa
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the cluster; fall back to a temporary one in local mode only."""
+def has_shared_folder(spark: SparkSession) -> bool:
+    """Point Spark at the shared checkpoint folder that the session names, if it names one."""
     context = spark.sparkContext
     if context.getCheckpointDir():
-        return
+        return True
     shared = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pitwise-checkpoint-"))
-    else:
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
+    return bool(shared)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint, so that several outputs share one computation
-    and a lost executor costs a read of the checkpoint instead of a recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once for several readers.
+
+    With a shared folder named by the session this is a reliable checkpoint: a lost executor costs a read of it. Without one (tests,
+    small local runs) the frame is kept in memory and on the executors' disks, and lost parts are computed again.
+    """
+    if has_shared_folder(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
-import __spark_entry__ as entry  # noqa: E402
+import __spark_entry__ as entry
+from pitwise import queries as registry
 from check_oracle import compare, connect  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.REGISTRY, registry.ORACLES
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 
