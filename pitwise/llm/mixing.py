@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pitwise.session import materialize
 
-BUCKETS = 16384         # hashed words of the classifier
+BUCKETS = 1 << 18       # hashed words of the classifier
 EVIDENCE = 400.0        # a longer document counts as this many of its average words
 SHRINKAGE = 5.0         # words that a bucket needs in a domain to count half as much as many words would
 
@@ -50,7 +50,7 @@ def word_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], bucke
 
     def log_ratio(k: int) -> Column:
         share = F.when(total > 0, F.col(f"totals.c{k}") / total).otherwise(F.lit(0.0))
-        return F.transform("rows", lambda r: F.log((r[f"c{k}"] + SHRINKAGE) / (share * sum((r[f"c{j}"] for j in range(1, len(domains))), r["c0"]) + SHRINKAGE))).alias(f"d{k}")
+        return F.transform("rows", lambda r: F.log((r[f"c{k}"] + SHRINKAGE) / (share * sum((r[f"c{j}"] for j in range(1, len(domains))), r["c0"]) + SHRINKAGE)).cast("float")).alias(f"d{k}")
 
     sizes = {r.domain: r["count"] for r in labelled.where(F.col("domain").isin(*domains)).groupBy("domain").count().collect()}
     everything = sum(sizes.values()) + len(domains)

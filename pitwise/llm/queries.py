@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwise.llm import decontam, imatch, lines, minhash, mixing, urls
-from pitwise.llm.common import labelled_sample, read, sha256
+from pitwise.llm import decontam, imatch, licenses, lines, minhash, mixing, quality, secrets, urls
+from pitwise.llm.common import fold, labelled_sample, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,21 @@ def op6_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = pages.select(urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
     outcomes = parsed.select("host", document.alias("doc_id")).join(good, "doc_id").select("host", "good")
     return urls.filter_urls(pages, outcomes, URL_RULES).withColumn("good_rate", F.round("good_rate", 9))
+
+
+@query("op8_find_licenses", licenses.report_sql())
+def op8_find_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(read(spark, sf_dir, "documents"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = labelled_sample(read(spark, sf_dir, "labels"), "quality", fold(4) != 2, MAX_LABELLED)
+    scores = quality.quality_scores(read(spark, sf_dir, "documents"), labelled)
+    return scores.select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secrets.secret_digest(docs, secrets.fit(docs))
