@@ -104,16 +104,26 @@ def shingle_sets(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFr
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), run, _SETS)
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """Bits that say for each slot whether an odd number of shingles fell into it; at least twice as many slots as shingles, a power of two.
+
+    Two sketches differ in at most as many bits as the sets differ in shingles, however their shingles collide.
+    """
+    bits = max(256, 1 << (2 * len(shingles) - 1).bit_length())
+    return np.packbits((np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
 def _full_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(id, shingles) with the full set as sorted 64-bit hashes."""
+    """(id, shingles, sketch) with the full set as sorted 64-bit hashes."""
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_hashes(text, shingle, hashes).view(np.int64) for text in batch.column(1).to_pylist()]
+        sets = [shingle_hashes(text, shingle, hashes) for text in batch.column(1).to_pylist()]
         offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-        values = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64), pa.int64())
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["id", "shingles"])
-    return map_batches(texts, run, "id long, shingles array<long>")
+        values = pa.array(np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64), pa.int64())
+        sketches = pa.array([parity_sketch(found) for found in sets], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), values), sketches], names=["id", "shingles", "sketch"])
+    return map_batches(texts, run, "id long, shingles array<long>, sketch binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -147,7 +157,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     first = members.where("id > leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
     links = materialize(_confirmed(first, full, percent))
     known = materialize(connected_components(links))
-    links = links.unionByName(_confirmed(cross_pairs(members, known, percent), full, percent))
+    links = links.unionByName(_confirmed(cross_pairs(members, known, full, percent), full, percent))
     labels = connected_components(links)
     of_set = nodes.select("set_a", "set_b", "id").join(labels, nodes["id"] == labels["node"], "left").select("set_a", "set_b", F.coalesce("component", "id").alias("least"))
     joined = sets.drop("bands").join(of_set, ["set_a", "set_b"], "left")
@@ -155,19 +165,85 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def cross_pairs(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of nodes that share a bucket, lie in different components and could reach the threshold by their sizes.
+_BLOCK = 4096       # rows of a block of a large bucket
+_ELEMENTS = 2_000_000       # 64-bit words of sketches that are compared at once
+
+
+def cross_pairs(members: DataFrame, known: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of nodes that share a bucket, lie in different components and may reach the threshold by size and sketch.
 
-    In each bucket the component with most members is left out on one side, so the work follows the number of such pairs.
+    In each bucket the component with most members is left out on one side. Pairs are compared by their parity sketches within blocks of
+    at most _BLOCK rows a side, and a large bucket is dealt to as many tasks as it has pairs of blocks. The two bounds are exact, so what they
+    drop cannot link; only what passes both becomes a row.
     """
     placed = members.join(known, members["id"] == known["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
     counted = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    largest = counted.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("top.component").alias("top"))
-    placed = materialize(placed.join(largest, "key"))
-    one = placed.where("component != top").select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    two = placed.select("key", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    fits = (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    return one.join(two, (one["key"] == two["key"]) & fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    largest = counted.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    largest = largest.select("key", F.col("top.component").alias("top"), F.ceil(F.col("all") / _BLOCK).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("top.c")) / _BLOCK).cast("int").alias("minor_blocks"))
+    shards = 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = placed.join(largest, "key").join(full.select("id", "sketch"), "id")
+    block = lambda n: F.pmod(F.xxhash64(F.lit("block"), "id"), n).cast("int")
+    cell = lambda i, j: F.when((F.col("blocks") == 1) & (F.col("minor_blocks") == 1), F.pmod("key", F.lit(shards))).otherwise(F.xxhash64("key", i, j))
+    columns = ["key", "id", "n", "component", "sketch"]
+    all_side = F.transform(F.sequence(F.lit(0), F.col("minor_blocks") - 1), lambda i: F.struct(cell(i, block(F.col("blocks"))).alias("cell"), F.lit(False).alias("minor")))
+    minor_side = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(cell(block(F.col("minor_blocks")), j).alias("cell"), F.lit(True).alias("minor")))
+    sides = F.when(F.col("component") == F.col("top"), all_side).otherwise(F.concat(all_side, minor_side))
+    dealt = rows.select(*columns, F.explode(sides).alias("side")).select("side.cell", "side.minor", *columns)
+
+    def compare(table: pa.Table) -> pa.Table:
+        found = _sketch_pairs(table, percent)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+    return dealt.groupBy("cell").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _sketch_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a minor row and any row of the same key, of different components, that pass the bounds of size and sketch."""
+    key, ids, n, component = (table.column(c).to_numpy() for c in ("key", "id", "n", "component"))
+    minor = table.column("minor").to_numpy(zero_copy_only=False).astype(bool)
+    sketches = table.column("sketch").to_pylist()
+    order = np.lexsort((n, key))
+    edges = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1], [True]))) if len(order) else []
+    first, second = [], []
+    for start, end in zip(edges[:-1], edges[1:]):
+        at = order[start:end]
+        queries, rows = at[minor[at]], at[~minor[at]]
+        bits = np.array([len(sketches[r]) for r in rows])
+        sizes = n[rows]
+        for width in sorted({*bits.tolist(), *(len(sketches[q]) for q in queries)}):
+            same = np.flatnonzero((bits == width) | (bits == 2 * width))
+            if not len(same):
+                continue
+            held_all = _sketch_table(sketches, rows[same], width)
+            for q in queries:
+                own = len(sketches[q])
+                if own not in (width, 2 * width):
+                    continue
+                use = same if own == width else same[bits[same] == width]       # the narrower of the two widths decides
+                low, high = np.searchsorted(sizes[use], [-(-percent * n[q] // 100), n[q] * 100 // percent + 1])
+                use = use[low:high]
+                use = use[component[rows[use]] != component[q]]
+                if not len(use):
+                    continue
+                mine = _sketch_table(sketches, np.array([q]), width)
+                held = held_all[np.searchsorted(same, use)]
+                step = max(1, _ELEMENTS // held.shape[1])
+                apart = np.concatenate([np.bitwise_count(held[i:i + step] ^ mine).sum(axis=1, dtype=np.int64) for i in range(0, len(held), step)])
+                near = rows[use[apart * (100 + percent) <= (100 - percent) * (n[rows[use]] + n[q])]]
+                first.append(np.minimum(ids[near], ids[q]))
+                second.append(np.maximum(ids[near], ids[q]))
+    if not first:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    pairs = np.unique(np.stack([np.concatenate(first), np.concatenate(second)]), axis=1)
+    return pairs[0], pairs[1]
+
+
+def _sketch_table(sketches: list[bytes], rows: np.ndarray, width: int) -> np.ndarray:
+    """Sketches of ``width`` bytes as 64-bit words; one of twice the width is folded, which keeps its bound."""
+    out = np.empty((len(rows), width), np.uint8)
+    for i, r in enumerate(rows):
+        raw = np.frombuffer(sketches[r], np.uint8)
+        out[i] = raw if len(raw) == width else raw[:width] ^ raw[width:]
+    return out.view(np.uint64)
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 25, rows: int = 5) -> DataFrame:
