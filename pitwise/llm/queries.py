@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwise.llm import decontam, imatch, licenses, lines, minhash, mixing, quality, secrets, urls
+from pitwise.llm import decontam, imatch, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
 from pitwise.llm.common import fold, labelled_sample, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,13 @@ def op6_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, outcomes, URL_RULES).withColumn("good_rate", F.round("good_rate", 9))
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = labelled_sample(read(spark, sf_dir, "labels"), "toxic", fold(5) != 0, MAX_LABELLED)
+    scores = toxicity.toxicity_scores(read(spark, sf_dir, "documents"), labelled)
+    return scores.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op8_find_licenses", licenses.report_sql())
 def op8_find_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(read(spark, sf_dir, "documents"))
