@@ -8,6 +8,7 @@ lexicon. Subsets come in levels that keep ever fewer terms, so that long and sho
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from typing import NamedTuple
@@ -15,17 +16,16 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import map_batches, sha256, words_of
+from pitwise.llm.common import map_batches, words_of
 
-#: Shares of the lexicon that the subsets of a level keep, subsets per level, hex digits of a subset's hash.
+#: Shares of the lexicon that the subsets of a level keep, and subsets per level.
 LEVELS = (1 / 4, 1 / 16, 1 / 64, 1 / 256, 1 / 1024, 1 / 4096)
 SUBSETS = 24
-DIGITS = 4
-_NONE = "0" * DIGITS
 _FLUSH = 200_000        # terms that a task counts before it passes the counts on
 
 
@@ -81,44 +81,43 @@ def build_lexicon(terms: list[bytes], seed: int = 0) -> Lexicon:
     return Lexicon({t: i for i, t in enumerate(terms)}, np.searchsorted(pairs[0], np.arange(len(terms) + 1)), pairs[1].astype(np.int16), hashes)
 
 
-def fingerprint(text: bytes | None, lexicon: Lexicon) -> str:
-    """Whole-lexicon hash (16 digits) and one hash per subset; a subset without terms of the text has zeros.
+_SIZE = 8 + 2 * len(LEVELS) * SUBSETS
 
-    A text without lexicon terms has the hash of all its sorted distinct words in front, so equal texts always agree.
+
+def fingerprint(text: bytes | None, lexicon: Lexicon) -> bytes:
+    """Eight bytes for the whole lexicon, then two for each subset; a subset without terms of the text has zeros.
+
+    The terms are a sorted set, and the hash of a part of it adds up mixed hashes of its terms. A text without lexicon terms has the hash of
+    all its sorted distinct words in front, so equal texts always agree.
     """
     words = set(words_of(text))
     found = sorted(i for i in map(lexicon.index.get, words) if i is not None)
     if not found:
-        return "%016x" % xxhash.xxh3_64_intdigest(b" ".join(sorted(words)) if words else text or b"", 1) + _NONE * (len(LEVELS) * SUBSETS)
+        return xxhash.xxh3_64_digest(b" ".join(sorted(words)) if words else text or b"", 1) + bytes(_SIZE - 8)
     terms = np.array(found)
     starts, counts = lexicon.offsets[terms], lexicon.offsets[terms + 1] - lexicon.offsets[terms]
-    owner = np.repeat(np.arange(len(terms)), counts)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts, counts)
+    hashes = lexicon.hashes[terms]
+    at = np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
     subset = lexicon.subsets[at]
-    order = np.argsort(subset, kind="stable")       # terms stay sorted within a subset
-    raw = memoryview(lexicon.hashes[terms][owner[order]].tobytes())
-    edges = np.searchsorted(subset[order], np.arange(len(LEVELS) * SUBSETS + 1)).tolist()
-    parts = ["%016x" % xxhash.xxh3_64_intdigest(lexicon.hashes[terms].tobytes())]
-    most = 16 ** DIGITS - 1
-    parts += [f"{xxhash.xxh3_64_intdigest(raw[8 * a:8 * b]) % most + 1:0{DIGITS}x}" if b > a else _NONE for a, b in zip(edges, edges[1:])]
-    return "".join(parts)
+    sums = np.zeros(len(LEVELS) * SUBSETS, np.uint64)
+    np.add.at(sums, subset, np.repeat(hashes, counts))
+    sums = (sums ^ (sums >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    parts = ((sums >> np.uint64(32)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+    parts[np.bincount(subset, minlength=len(parts)) == 0] = 0
+    return xxhash.xxh3_64_digest(hashes.tobytes()) + parts.tobytes()
 
 
-def likeness(a: str, b: str) -> float:
-    """From 0 to 1: the largest share, over the levels, of subsets whose hashes agree among those that either document has terms in.
+def likeness(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """From 0 to 1, pair by pair: the largest share, over the levels, of subsets that agree among those that either document has terms in.
 
     A level counts at least half of its subsets, so that a single shared term is not taken for likeness. Equal fingerprints have 1.
     """
-    if a == b:
-        return 1.0
-    best = 0.0
-    for level in range(len(LEVELS)):
-        cuts = [(16 + DIGITS * (level * SUBSETS + k)) for k in range(SUBSETS)]
-        pairs = [(a[i:i + DIGITS], b[i:i + DIGITS]) for i in cuts]
-        either = sum(x != _NONE or y != _NONE for x, y in pairs)
-        same = sum(x == y != _NONE for x, y in pairs)
-        best = max(best, same / max(either, SUBSETS // 2))
-    return best
+    x, y = (np.frombuffer(b"".join(side), np.uint8).reshape(len(side), _SIZE) for side in (a, b))
+    same_all = (x == y).all(axis=1)
+    x, y = (np.ascontiguousarray(side[:, 8:]).view(np.uint16).reshape(len(side), len(LEVELS), SUBSETS) for side in (x, y))
+    either = ((x != 0) | (y != 0)).sum(axis=2)
+    same = ((x == y) & (x != 0)).sum(axis=2)
+    return np.where(same_all, 1.0, (same / np.maximum(either, SUBSETS // 2)).max(axis=1)) if len(a) else np.zeros(0)
 
 
 def with_fingerprints(docs: DataFrame, lexicon: Lexicon, name: str = "fingerprint") -> DataFrame:
@@ -130,7 +129,7 @@ def with_fingerprints(docs: DataFrame, lexicon: Lexicon, name: str = "fingerprin
     at = columns.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prints = [fingerprint(t, sent.value) for t in batch.column(at).cast(pa.binary()).to_pylist()]
+        prints = [fingerprint(t, sent.value).hex() for t in batch.column(at).cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], names=[*columns, name])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return map_batches(docs, run, f"{fields}, `{name}` string")
@@ -152,18 +151,20 @@ def _bucket(k: Column, cuts: list[int]) -> Column:
     return F.when(coarse > 0, (coarse - 1) * step + fine).otherwise(F.lit(0))
 
 
-def next_in_order(rows: DataFrame, key: str, tie: Column, names: list[str], buckets: int) -> DataFrame:
+def next_in_order(rows: DataFrame, keys: DataFrame, key: str, tie: Column, names: list[str], buckets: int) -> DataFrame:
     """Rows with next_<name>: the values of the row that follows by ``key``, then by ``tie``; after the last row comes the first.
 
     Nulls of the key come last. The key's range is cut at quantiles; the first key of a bucket goes to the bucket before it as well, so a
-    row finds its successor within its own bucket and no single task sees the whole order. Only bounds of buckets reach the driver.
+    row finds its successor within its own bucket and no single task sees the whole order. Only bounds of buckets reach the driver. ``keys`` has
+    the key of every row, so that the bounds need not wait for what the rows cost.
     """
     k = F.col(key).cast("long")
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = rows.agg(F.percentile_approx(k, shares, 50_000).alias("cuts")).first().cuts if buckets > 1 else []
+    cuts = keys.agg(F.percentile_approx(k, shares, 50_000).alias("cuts")).first().cuts if buckets > 1 else []
     cuts = sorted(set(cuts or []))
-    held = rows.withColumn("_bucket", F.when(k.isNull(), F.lit(len(cuts) + 1)).otherwise(_bucket(k, cuts)).cast("int")).withColumn("_tie", tie)
-    firsts = {r["_bucket"]: r["least"] for r in held.groupBy("_bucket").agg(F.min(k).alias("least")).collect()}
+    bucket = F.when(k.isNull(), F.lit(len(cuts) + 1)).otherwise(_bucket(k, cuts)).cast("int")
+    held = rows.withColumn("_bucket", bucket).withColumn("_tie", tie)
+    firsts = {r["_bucket"]: r["least"] for r in keys.withColumn("_bucket", bucket).groupBy("_bucket").agg(F.min(k).alias("least")).collect()}
     order = sorted(firsts)
     if not order:
         return rows.select("*", *[F.col(n).alias(f"next_{n}") for n in names])
@@ -183,24 +184,34 @@ def edited_fingerprints(docs: DataFrame, least_share: float = 0.001, most_share:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has the last quarter of its code points replaced by as many first ones of the next document by doc_id (or all it has).
-    Null texts count as empty. Rows with one id follow each other by a hash of their text; rows without an id come last.
+    Texts cross the shuffle compressed. Null texts count as empty. Rows with one id follow each other by a hash of their text; rows without an id come last.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lexicon = build_lexicon(lexicon_terms(texts, least_share, most_share))
-    printed = with_fingerprints(texts, lexicon)
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    sent = spark.sparkContext.broadcast(build_lexicon(lexicon_terms(texts, least_share, most_share)))      # bounded by the band's lower end
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = batch.column(1).to_pylist()
+        packer = zstandard.ZstdCompressor(level=3)
+        columns = [pa.array([packer.compress(t) for t in values], pa.binary()), pa.array([fingerprint(t, sent.value) for t in values], pa.binary()),
+                   pa.array(np.array([xxhash.xxh3_64_intdigest(t) for t in values], np.uint64).view(np.int64))]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "packed", "print", "tie"])
+    packed = map_batches(texts.select("doc_id", F.col("text").cast("binary").alias("text")), pack, "doc_id long, packed binary, print binary, tie long")
     buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = next_in_order(printed, "doc_id", F.xxhash64("text"), ["text", "fingerprint"], buckets)
-    n = F.length("text")
-    part = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - part), F.substring("next_text", F.lit(1), part))
-    rows = placed.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("text"), "fingerprint", "next_fingerprint")
-    rows = rows.withColumn("edited_sha256", sha256(F.col("text")))
-    rows = with_fingerprints(rows, lexicon, "edited_fingerprint").drop("text")
-
-    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, edited_print, following = (batch.column(c).to_pylist() for c in ("fingerprint", "edited_fingerprint", "next_fingerprint"))
-        near = [pa.array([likeness(a, b) for a, b in zip(own, other)], pa.float64()) for other in (edited_print, following)]
-        columns = [batch.column(c) for c in ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")]
-        return pa.RecordBatch.from_arrays([*columns, *near], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-    return map_batches(rows, compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    placed = next_in_order(packed, texts.select("doc_id"), "doc_id", F.col("tie"), ["packed", "print"], buckets)
+
+    def edit(batch: pa.RecordBatch) -> pa.RecordBatch:
+        unpack = zstandard.ZstdDecompressor().decompress
+        own, following = (batch.column(c).to_pylist() for c in ("print", "next_print"))
+        sizes, hashes, prints = [], [], []
+        for raw, after in zip(batch.column("packed").to_pylist(), batch.column("next_packed").to_pylist()):
+            text = unpack(raw).decode("utf-8", "replace")
+            part = len(text) // 4
+            edited = (text[:len(text) - part] + unpack(after).decode("utf-8", "replace")[:part]).encode()
+            sizes.append(len(text))
+            hashes.append(hashlib.sha256(edited).hexdigest())
+            prints.append(fingerprint(edited, sent.value))
+        columns = [pa.array(sizes, pa.int64()), pa.array(hashes), pa.array([p.hex() for p in own]), pa.array([p.hex() for p in prints]), pa.array(likeness(own, prints)), pa.array(likeness(own, following))]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+    wanted = placed.select("doc_id", "packed", "print", "next_packed", "next_print")
+    return map_batches(wanted, edit, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
