@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pitwise.llm.common import map_batches, words_of
 from pitwise.session import materialize
 
-WINDOW = 8             # words of a window
-LEVEL = 15              # zstandard level: lower ones miss short matches
+WINDOW = 10             # words of a window
+LEVEL = 12              # zstandard level: lower ones miss short matches
 SHARED = 15_000         # bytes of the content that both dictionaries share
 OWN = 12_000            # bytes of typical terms at most
 GAINS = 12              # gains of this many bytes and more count alike
@@ -98,12 +98,12 @@ def _likelihood_ratio(toxic: int, other: int) -> Column:
 def typical_terms(labelled: DataFrame, toxic: int, other: int) -> tuple[list[bytes], list[bytes]]:
     """Terms typical of toxic and of ordinary documents, the most typical first, each list bounded by OWN bytes.
 
-    A term must be four times as frequent in toxic documents and its likelihood ratio must be 0.068 for each toxic document, 15 at least: that is far
+    A term must be four times as frequent in toxic documents and its likelihood ratio must be 0.1 for each toxic document, 15 at least: that is far
     beyond chance for the number of terms that are looked at.
     """
     counts = materialize(term_counts(labelled).where("a + b >= 3"))
     ratio = _likelihood_ratio(toxic, other).alias("g")
-    least = max(15.0, 0.047 * toxic)
+    least = max(15.0, 0.1 * toxic)
     more = counts.where((F.col("a") / toxic > 4 * (F.col("b") + 0.5) / other)).select("term", ratio).where(F.col("g") >= least)
     less = counts.where((F.col("b") >= 20) & (F.col("b") / other > 1.3 * (F.col("a") + 0.5) / toxic)).select("term", ratio)
     found = [[bytes(r.term) for r in side.orderBy(F.desc("g"), "term").limit(OWN // 5).collect()] for side in (more, less)]
