@@ -135,14 +135,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").withColumn("common", common).where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 25, rows: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (it is that document).
 
     Documents link when their sets of word shingles have 100 * intersection >= percent * union. Equal sets are one node. Nodes that
     share one of ``bands`` bands of ``rows`` coordinates are candidates. First each node is held against the smallest node it shares
     a band with; then, in every band bucket that still holds several components, all pairs of different components are confirmed, so
     no link of a bucket that could join two components is left out, and links within a component, which change nothing, are
-    never listed. At similarity s a link escapes all bands with probability (1 - s**rows)**bands, below 1e-6 for 0.85 and the
+    never listed. At similarity s a link escapes all bands with probability (1 - s**rows)**bands, below 1e-7 for 0.8 and the
     defaults. Null and empty texts have an empty set and link with nothing; rows without an id have no component (null) and are kept;
     rows that share an id are one document with several texts.
     """
@@ -246,7 +246,7 @@ def _sketch_table(sketches: list[bytes], rows: np.ndarray, width: int) -> np.nda
     return out.view(np.uint64)
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 25, rows: int = 5) -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
     """Documents of which each group of near copies keeps the one with the smallest id, in the columns that came in.
 
     Rows that are equal in id and text become one. Rows without an id stay.

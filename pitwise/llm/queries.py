@@ -46,7 +46,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_near_duplicates")
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85, bands=25, rows=5)
 
 
 @query("op4_line_dedup", r"""
@@ -68,6 +68,7 @@ DOMAIN_WEIGHTS = {"good": 0.94, "poor": 0.03, "toxic": 0.03}
 
 #: Labelled rows that any classifier of this subpackage learns from, at most (about).
 MAX_LABELLED = 12_000
+MAX_LABELLED_TOXIC = 30_000       # toxic ones are few
 
 
 def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +121,7 @@ def op6_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = labelled_sample(read(spark, sf_dir, "labels"), "toxic", fold(5) != 0, MAX_LABELLED)
+    labelled = labelled_sample(read(spark, sf_dir, "labels"), "toxic", fold(5) != 0, MAX_LABELLED_TOXIC)
     scores = toxicity.toxicity_scores(read(spark, sf_dir, "documents"), labelled)
     return scores.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

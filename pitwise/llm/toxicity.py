@@ -1,9 +1,9 @@
 """Toxicity by compression distance: windows are compressed with a dictionary of toxic and one of ordinary text.
 
-Both zstandard dictionaries begin with the same content, trained on windows of ordinary labelled documents, so that ordinary prose costs alike. Then
-come the terms (words and beginnings of words) that labelled toxic documents have significantly more often, or in the other dictionary
-less often. A window's gain is what the toxic dictionary saves. A document's score is a logistic function of how many of its windows reach
-each gain, fitted on labelled documents, so the thresholds are calibrated. Training uses a bounded sample of labelled documents.
+Both zstandard dictionaries begin with the same content, trained on windows of ordinary labelled documents, so that ordinary prose costs alike; the
+toxic one goes on with the terms (words and beginnings of words) that labelled toxic documents have significantly more often. A window's
+gain is what the toxic dictionary saves. A document's score is a logistic function of how many of its windows reach each gain, fitted on other
+labelled documents, so the thresholds are calibrated. Training uses a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import map_batches, words_of
+from pitwise.llm.common import WordHashes, map_batches, words_of
+from pitwise.llm.minhash import shingle_hashes, signature
 from pitwise.session import materialize
 
 WINDOW = 10             # words of a window
@@ -95,34 +96,49 @@ def _likelihood_ratio(toxic: int, other: int) -> Column:
     return 2 * (part(a, total) + part(toxic - a, total) + part(b, total) + part(other - b, total) - part(a + b, total) - part(total - a - b, total) - F.lit(fixed))
 
 
-def typical_terms(labelled: DataFrame, toxic: int, other: int) -> tuple[list[bytes], list[bytes]]:
-    """Terms typical of toxic and of ordinary documents, the most typical first, each list bounded by OWN bytes.
+def without_copies(sample: DataFrame) -> DataFrame:
+    """Documents of (doc_id, text, ...) that share none of four least shingle hashes with a document of smaller id.
 
-    A term must be four times as frequent in toxic documents and its likelihood ratio must be 0.1 for each toxic document, 15 at least: that is far
+    A group of copies would make all its words look typical of its label.
+    """
+    hashes = WordHashes()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_hashes(text, 5, hashes) for text in batch.column(1).to_pylist()]
+        keys = [[int(k) * 4 + i for i, k in enumerate(signature(f, 4))] if len(f) else [] for f in found]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "keys"])
+    keyed = map_batches(sample.select("doc_id", F.col("text").cast("binary").alias("text")), run, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
+    first = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
+    copies = keyed.join(first, "key").where("doc_id > first").select("doc_id").distinct()
+    return sample.join(copies, "doc_id", "left_anti")
+
+
+def typical_terms(labelled: DataFrame, toxic: int, other: int) -> list[bytes]:
+    """Terms typical of toxic documents, the most typical first, OWN bytes of five at most.
+
+    A term must be four times as frequent in toxic documents, and its likelihood ratio must be 0.03 for each toxic document and 25 at least, which is
     beyond chance for the number of terms that are looked at.
     """
-    counts = materialize(term_counts(labelled).where("a + b >= 3"))
-    ratio = _likelihood_ratio(toxic, other).alias("g")
-    least = max(15.0, 0.1 * toxic)
-    more = counts.where((F.col("a") / toxic > 4 * (F.col("b") + 0.5) / other)).select("term", ratio).where(F.col("g") >= least)
-    less = counts.where((F.col("b") >= 20) & (F.col("b") / other > 1.3 * (F.col("a") + 0.5) / toxic)).select("term", ratio)
-    found = [[bytes(r.term) for r in side.orderBy(F.desc("g"), "term").limit(OWN // 5).collect()] for side in (more, less)]
+    counts = term_counts(labelled).where((F.col("a") >= 3) & (F.col("a") / toxic > 4 * (F.col("b") + 0.5) / other))
+    found = counts.select("term", _likelihood_ratio(toxic, other).alias("g")).where(F.col("g") >= max(25.0, 0.03 * toxic)).orderBy(F.desc("g"), "term").limit(OWN // 5)
     kept: list[bytes] = []
-    for term in found[0]:
+    for term in (bytes(r.term) for r in found.collect()):
         if not any(term in other_term for other_term in kept):        # a beginning whose word is there already adds nothing
             kept.append(term)
-    return kept, found[1]
+    return kept
 
 
-def build_dictionaries(samples: list[bytes], toxic_terms: list[bytes], ordinary_terms: list[bytes]) -> Dictionaries:
-    """Shared content trained on ordinary windows, then each side's terms, the most typical last, where they are cheapest to refer to."""
+def build_dictionaries(samples: list[bytes], toxic_terms: list[bytes]) -> Dictionaries:
+    """Shared content trained on ordinary windows; then the toxic terms, the most typical last, where they are cheapest to refer to.
+
+    The ordinary dictionary has zeros in their place, so that what ordinary windows refer to lies equally far back in both.
+    """
     try:
         shared = zstandard.train_dictionary(SHARED + 1024, samples).as_bytes()[-SHARED:]
     except zstandard.ZstdError:         # too few samples to train on
         shared = b"".join(samples)[-SHARED:]
     own = b"".join(reversed(toxic_terms))[-OWN:]
-    other = b"".join(reversed(ordinary_terms))[-len(own):] if own else b""
-    return Dictionaries(shared + own, shared + other)
+    return Dictionaries(shared + own, shared + bytes(len(own)))
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -141,7 +157,7 @@ def features_of(text: bytes | None, toxic: zstandard.ZstdCompressor, ordinary: z
     return [float(gains.max()), *np.log1p(reach), *(np.log(reach[2:8] + 0.1) - math.log(len(gains)))]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Centre, scale and weights (the last one is the intercept) by Newton steps."""
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.c_[(x - centre) / scale, np.ones(len(x))]
@@ -158,19 +174,22 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int =
 def fit(docs: DataFrame, labelled: DataFrame) -> Model:
     """A model from (doc_id, text) and a bounded sample (doc_id, label), 1 for toxic.
 
-    The sample gives the terms and windows of the dictionaries and calibrates the thresholds.
-    With fewer than five documents of either label the score is the smoothed share of toxic ones.
+    Seven tenths of the sample, by a hash of the id, give the terms and windows of the dictionaries, and the rest calibrates the thresholds: on
+    documents whose terms were picked, chance terms would look better than they are. With fewer than five documents of either
+    label in one of the parts the score is the smoothed share of toxic ones.
     """
     of = F.broadcast(labelled.select(F.col("doc_id").alias("_labelled_id"), F.col("label").cast("int").alias("label")))      # at most the sample's bound
-    sample = materialize(docs.join(of, F.col("doc_id") == F.col("_labelled_id")).select("doc_id", "text", "label").where("text is not null"))
-    sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
-    toxic, other = sizes.get(1, 0), sum(n for y, n in sizes.items() if y != 1)
+    calibrates = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(10)) >= 7
+    sample = materialize(without_copies(docs.join(of, F.col("doc_id") == F.col("_labelled_id")).where("text is not null").select("doc_id", "text", (F.col("label") == 1).cast("int").alias("label"), calibrates.alias("calibrates"))))
+    sizes = {(r.label, r.calibrates): r["count"] for r in sample.groupBy("label", "calibrates").count().collect()}
+    toxic, other = sizes.get((1, False), 0), sizes.get((0, False), 0)
     empty = np.zeros(0)
-    constant = (toxic + 1) / (toxic + other + 2)
-    if min(toxic, other) < 5:
-        return Model(Dictionaries(b"", b""), empty, empty, empty, constant)
-    more, less = typical_terms(sample, toxic, other)
-    ordinary = sample.where("label != 1").select(F.col("text").cast("binary").alias("text"))
+    if min((sizes.get((y, c), 0) for y in (0, 1) for c in (False, True))) < 5:
+        ones = sum(n for (y, _), n in sizes.items() if y)
+        return Model(Dictionaries(b"", b""), empty, empty, empty, (ones + 1) / (sum(sizes.values()) + 2))
+    learns = sample.where("not calibrates")
+    more = typical_terms(learns, toxic, other)
+    ordinary = learns.where("label = 0").select(F.col("text").cast("binary").alias("text"))
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -179,10 +198,10 @@ def fit(docs: DataFrame, labelled: DataFrame) -> Model:
             out += parts[::max(1, len(parts) // 5)][:6]
         return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["window"])
     samples = sorted(bytes(r.window) for r in map_batches(ordinary, spread, "window binary").collect())      # at most six for each document
-    dictionaries = build_dictionaries(samples, more, less)
-    rows = sorted((tuple(r) for r in with_features(sample, dictionaries, ["doc_id", "label"]).collect()), key=lambda r: (r[0], r[1], r[2]))
+    dictionaries = build_dictionaries(samples, more)
+    rows = sorted((tuple(r) for r in with_features(sample.where("calibrates"), dictionaries, ["doc_id", "label"]).collect()), key=lambda r: (r[0], r[1], r[2]))
     x, y = np.array([r[2] for r in rows]), np.array([float(r[1] == 1) for r in rows])
-    return Model(dictionaries, *fit_logistic(x, y), constant)
+    return Model(dictionaries, *fit_logistic(x, y), 0.0)
 
 
 def with_features(docs: DataFrame, dictionaries: Dictionaries, keep: list[str]) -> DataFrame:
