@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitwise.llm import decontam, lines, minhash, mixing, quality
 from pitwise.llm.common import fold, labelled_sample, read
@@ -19,6 +20,11 @@ from pitwise.llm.queries import MAX_LABELLED, labelled_domains
 WEIGHTS = {"good": 0.97, "toxic": 0.03}
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """Documents whose n_chars is that of the text they have now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.7 or more."""
     return quality.keep_good(docs, labelled_sample(read(spark, sf_dir, "labels"), "quality", fold(4) != 2, MAX_LABELLED), least=0.7)
@@ -26,7 +32,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of three-line windows; documents of which nothing is left go."""
-    return lines.drop_repeated_lines(docs, window=3)
+    return _counted(lines.drop_repeated_lines(docs, window=3))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of ten words and more of a benchmark item; documents that are mostly such passages go."""
-    return decontam.remove_spans(docs, read(spark, sf_dir, "benchmark"), window=10, max_coverage=0.5)
+    return _counted(decontam.remove_spans(docs, read(spark, sf_dir, "benchmark"), window=10, max_coverage=0.5))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

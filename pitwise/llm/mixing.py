@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from pitwise.session import materialize
 
-BUCKETS = 1 << 18       # hashed words of the classifier
+BUCKETS = 1 << 17       # hashed words of the classifier
+_UNIT = 1000            # word weights are kept in thousandths
 EVIDENCE = 400.0        # a longer document counts as this many of its average words
-SHRINKAGE = 5.0         # words that a bucket needs in a domain to count half as much as many words would
+SHRINKAGE = 20.0        # words that a bucket needs in a domain to count half as much as many words would
 
 
 def _words(text: Column) -> Column:
@@ -27,34 +28,49 @@ def _buckets(words: Column, buckets: int) -> Column:
     return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
 
 
-def _adding(field: str):
-    return lambda a, r: a + r[field]
+def _without_copies(labelled_texts: DataFrame) -> DataFrame:
+    """Rows of (_labelled_id, domain, text) that share neither of two least hashes of three-word runs with a row of smaller id.
+
+    A group of copies would make all its words look typical of its domain. Texts of fewer words stay.
+    """
+    words = labelled_texts.withColumn("_w", _words(F.col("text")))
+    at = F.when(F.size("_w") >= 3, F.sequence(F.lit(0), F.size("_w") - 3)).otherwise(F.array().cast("array<int>"))
+    for seed in range(2):
+        hashes = F.transform(at, lambda i: F.xxhash64(F.lit(seed), F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))
+        words = words.withColumn(f"_k{seed}", F.coalesce(F.array_min(hashes), F.xxhash64(F.lit("short"), "_labelled_id")))
+    for seed in range(2):
+        words = words.join(words.groupBy(f"_k{seed}").agg(F.min("_labelled_id").alias(f"_first{seed}")), f"_k{seed}")
+    return words.where("_labelled_id = _first0 and _labelled_id = _first1").select("_labelled_id", "domain", "text")
 
 
-def word_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int) -> tuple[DataFrame, dict[str, float]]:
-    """One row with an array over word buckets for each domain (d0, d1, ...), and the log prior of each domain.
+def word_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int) -> tuple[list[list[int]], list[float]]:
+    """For each domain the weights of all word buckets, in thousandths, and its log prior.
 
-    An entry is the logarithm of how much more often the domain has the bucket's words than all domains together, shrunk towards none:
+    A weight is the logarithm of how much more often the domain has the bucket's words than all domains together, shrunk towards none:
     (count + SHRINKAGE) / (expected count + SHRINKAGE). Rare words so say little whatever the sizes of the domains. ``labelled`` is
-    (doc_id, domain) of a bounded sample, which is broadcast; other domains are left out. A domain without documents has zeros.
+    (doc_id, domain) of a bounded sample, which is broadcast; other domains are left out. A domain without documents has zeros. What
+    comes to the driver is one row for each bucket.
     """
-    of = docs.where("doc_id is not null").join(F.broadcast(labelled.select(F.col("doc_id").alias("_labelled_id"), "domain")), F.col("doc_id") == F.col("_labelled_id"))
-    counts = of.where(F.col("domain").isin(*domains)).select("domain", F.explode(_buckets(_words(F.col("text")), buckets)).alias("bucket"))
-    table = counts.groupBy("bucket").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(f"c{k}") for k, d in enumerate(domains)])
-    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(table, "bucket", "left")
-    sorted_rows = F.sort_array(F.collect_list(F.struct("bucket", *[F.coalesce(f"c{k}", F.lit(0)).alias(f"c{k}") for k in range(len(domains))])))
-    one = every.agg(sorted_rows.alias("rows"))
-    totals = F.struct(*[F.aggregate("rows", F.lit(0).cast("long"), _adding(f"c{k}")).alias(f"c{k}") for k in range(len(domains))]).alias("totals")
-    one = one.select("rows", totals)
-    total = sum((F.col(f"totals.c{k}") for k in range(1, len(domains))), F.col("totals.c0"))
-
-    def log_ratio(k: int) -> Column:
-        share = F.when(total > 0, F.col(f"totals.c{k}") / total).otherwise(F.lit(0.0))
-        return F.transform("rows", lambda r: F.log((r[f"c{k}"] + SHRINKAGE) / (share * sum((r[f"c{j}"] for j in range(1, len(domains))), r["c0"]) + SHRINKAGE)).cast("float")).alias(f"d{k}")
-
-    sizes = {r.domain: r["count"] for r in labelled.where(F.col("domain").isin(*domains)).groupBy("domain").count().collect()}
+    known = labelled.where(F.col("domain").isin(*domains))
+    of = docs.join(F.broadcast(known.select(F.col("doc_id").alias("_labelled_id"), "domain")), F.col("doc_id") == F.col("_labelled_id"))
+    of = _without_copies(materialize(of.select("_labelled_id", "domain", "text")))
+    words = of.select("domain", F.explode(_buckets(_words(F.col("text")), buckets)).alias("bucket"))
+    table = words.groupBy("bucket").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(f"c{k}") for k, d in enumerate(domains)]).collect()
+    sizes = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
+    totals = [sum(row[k + 1] for row in table) for k in range(len(domains))]
+    weights = [[0] * buckets for _ in domains]
+    for row in table:
+        every = sum(row[1:])
+        for k, total in enumerate(totals):
+            expected = every * total / sum(totals)
+            weights[k][row[0]] = round(_UNIT * math.log((row[k + 1] + SHRINKAGE) / (expected + SHRINKAGE)))
     everything = sum(sizes.values()) + len(domains)
-    return materialize(one.select(*[log_ratio(k) for k in range(len(domains))])), {d: math.log((sizes.get(d, 0) + 1) / everything) for d in domains}
+    return weights, [math.log((sizes.get(d, 0) + 1) / everything) for d in domains]
+
+
+def _constant(values: list[int]) -> Column:
+    """An array constant, folded once while the query is planned."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
 
 
 def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, evidence: float = EVIDENCE) -> DataFrame:
@@ -64,13 +80,12 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     """
     weights, priors = word_weights(docs, labelled, domains, buckets)
     ids = docs.withColumn("_ids", _buckets(_words(F.col("text")), buckets))
-    for k in range(len(domains)):
-        ids = ids.withColumn(f"_w{k}", weights.select(f"d{k}").scalar())
     n = F.size("_ids")
-    shrink = F.when(n > 0, F.least(n.cast("double"), F.lit(evidence)) / n).otherwise(F.lit(0.0))
+    shrink = F.when(n > 0, F.least(n.cast("double"), F.lit(evidence)) / n / _UNIT).otherwise(F.lit(0.0))
 
     def score(k: int) -> Column:
-        return F.lit(priors[domains[k]]) + shrink * F.aggregate("_ids", F.lit(0.0), lambda a, i: a + F.get(F.col(f"_w{k}"), i))
+        table = _constant(weights[k])
+        return F.lit(priors[k]) + shrink * F.aggregate("_ids", F.lit(0).cast("long"), lambda a, i: a + F.get(table, i))
 
     scores = F.array(*[score(k) for k in range(len(domains))])
     scored = ids.select(*docs.columns, n.cast("long").alias("n_tokens"), scores.alias("_scores"))
