@@ -36,3 +36,20 @@ def possible_at(left, right, threshold: float) -> Column:
     """Cheap upper bound: the ratio cannot reach the threshold if the lengths are too far apart."""
     a, b = F.length(col(left)), F.length(col(right))
     return (2 * F.least(a, b)) >= F.lit(threshold - 1e-9) * (a + b)
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def letter_counts(c) -> Column:
+    """How often each of the 37 characters of normalised text occurs, and all others together."""
+    c = col(c)
+    one = [F.length(c) - F.length(F.translate(c, x, "")) for x in _LETTERS]
+    return F.array(*one, F.length(F.translate(c, _LETTERS, "")))
+
+
+def letters_allow(left: Column, right: Column, threshold: float) -> Column:
+    """Upper bound by letters: matching blocks cannot hold more of a letter than either side has."""
+    total = lambda counts: F.aggregate(counts, F.lit(0), lambda a, x: a + x)
+    common = total(F.zip_with(left, right, lambda a, b: F.least(a, b)))
+    return (2 * common) >= F.lit(threshold - 1e-9) * (total(left) + total(right))

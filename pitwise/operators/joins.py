@@ -66,21 +66,35 @@ def parent_consistency(child: DataFrame, parent: DataFrame, *, on: Mapping[str,
                       F.count_if(both & differs(child_col, "__parent")).alias("failed_rows"))
 
 
-def block_pairs(df: DataFrame, *, block: str, order_by: str, columns: Sequence[str], max_block: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Unordered pairs inside each block of 2 to ``max_block`` distinct members, earlier member on the left.
+def block_pairs(df: DataFrame, *, block: str, order_by: str, columns: Sequence[str], where=None, cell: int = 1000) -> DataFrame:
+    """Unordered pairs of different members inside each block, the earlier one by ``(order_by, columns)`` on the left.
 
-    The size limit is part of the operator: larger blocks are too unspecific to compare. They are
-    returned as the second frame ``(block, members)`` so that nothing is skipped in silence. Block sizes
-    are counted before the join, with partial aggregation, so a huge block is never gathered.
+    Blocks of any size are compared in full. Members of a block are dealt to about ``members / cell`` salts, and each pair of salts is
+    a join key of its own, so a large block is spread over many tasks and every pair is met exactly once. ``where`` takes a function of
+    the two sides' columns, given as ``name -> Column``, and is part of the join condition: pairs it rejects are never written.
+    Block sizes are counted before the join, with partial aggregation.
     """
+    columns = list(dict.fromkeys([order_by, *columns]))
     members = df.select(block, *columns).where(F.col(block).isNotNull()).distinct()
-    sizes = members.groupBy(block).agg(F.count(F.lit(1)).alias("members"))
-    usable = sizes.where(F.col("members").between(2, max_block))
-    kept = members.join(usable.select(block), block, "left_semi")
-    left = kept.select(block, *[F.col(c).alias(f"left_{c}") for c in columns])
-    right = kept.select(F.col(block).alias("__block"), *[F.col(c).alias(f"right_{c}") for c in columns])
-    pairs = left.join(right, (left[block] == right["__block"]) & (left[f"left_{order_by}"] < right[f"right_{order_by}"]))
-    return pairs.drop("__block"), sizes.where(F.col("members") > max_block)
+    sizes = members.groupBy(block).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    sizes = sizes.select(F.col(block).alias("__b"), F.ceil(F.col("__n") / cell).cast("int").alias("__salts"))
+    dealt = members.join(sizes, members[block] == sizes["__b"]).drop("__b")
+    dealt = dealt.select(block, F.struct(*columns).alias("__m"), "__salts", F.pmod(F.xxhash64(*columns), F.col("__salts")).cast("int").alias("__s"))
+    left = dealt.select(F.col(block).alias("__b"), F.col("__m").alias("__x"), F.col("__s").alias("__i"), F.explode(F.sequence("__s", F.col("__salts") - 1)).alias("__j"))
+    right = dealt.select(block, F.col("__m").alias("__y"), F.explode(F.sequence(F.lit(0), "__s")).alias("__k"), F.col("__s").alias("__l"))
+    ordered = F.col("__x") < F.col("__y")
+    met = (F.col("__b") == F.col(block)) & (F.col("__i") == F.col("__k")) & (F.col("__j") == F.col("__l")) & ((F.col("__i") < F.col("__j")) | ordered)
+    if where is not None:
+        met = met & where(lambda c: F.col(f"__x.{c}"), lambda c: F.col(f"__y.{c}"))
+    first, second = F.when(ordered, F.col("__x")).otherwise(F.col("__y")), F.when(ordered, F.col("__y")).otherwise(F.col("__x"))
+    pairs = left.join(right, met).select(block, first.alias("__x"), second.alias("__y"))
+    return pairs.select(block, *[F.col(f"__x.{c}").alias(f"left_{c}") for c in columns], *[F.col(f"__y.{c}").alias(f"right_{c}") for c in columns])
+
+
+def large_blocks(df: DataFrame, *, block: str, columns: Sequence[str], above: int = 20) -> DataFrame:
+    """``(block, members)`` of blocks with more than ``above`` distinct members: a report of unspecific keys, nothing is left out for it."""
+    members = df.select(block, *columns).where(F.col(block).isNotNull()).distinct()
+    return members.groupBy(block).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > above)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -6,24 +6,28 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from pitwise.functions.similarity import possible_at, sequence_ratio
+from pitwise.functions.similarity import letter_counts, letters_allow, possible_at, sequence_ratio
 from pitwise.functions.text import entity_key, normalize_text
 from pitwise.operators.cleaning import fitted_modes
-from pitwise.operators.joins import block_pairs, outer_with_side
+from pitwise.operators.joins import block_pairs, large_blocks, outer_with_side
 
 
-def fuzzy_duplicates(df: DataFrame, *, block: str, key: str, name: str, threshold: float = 0.88,
-                     max_block: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Different normalised names inside a block whose ratio reaches the threshold.
+def fuzzy_duplicates(df: DataFrame, *, block: str, key: str, name: str, threshold: float = 0.88, large: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Different normalised names inside a block whose ratio reaches the threshold, and a report of blocks above ``large`` members.
 
-    Lengths that cannot reach the threshold are removed in the JVM before the Python ratio runs. The
-    second frame lists blocks above the size limit.
+    All pairs of a block count, also those of one key with two names. Pairs that cannot reach the threshold by their lengths or by the letters they
+    share are dropped inside the join, in the JVM; neither bound loses a pair. The Python ratio runs on what is left. Since the ratio
+    depends on the order of its sides, the earlier member by (key, name) is its reference.
     """
     named = df.select(block, F.col(key).alias("key"), F.col(name).alias("name")).dropna().withColumn("norm", normalize_text("name"))
-    pairs, oversized = block_pairs(named, block=block, order_by="key", columns=["key", "name", "norm"], max_block=max_block)
-    candidates = pairs.where((F.col("left_norm") != F.col("right_norm")) & possible_at("left_norm", "right_norm", threshold))
-    scored = candidates.withColumn("ratio", sequence_ratio("left_norm", "right_norm")).where(F.col("ratio") >= threshold)
-    return scored.select(block, "left_key", "left_name", "right_key", "right_name", F.round("ratio", 4).alias("similarity")), oversized
+    named = named.withColumn("letters", letter_counts("norm"))
+
+    def possible(x, y):
+        return (x("norm") != y("norm")) & possible_at(x("norm"), y("norm"), threshold) & letters_allow(x("letters"), y("letters"), threshold)
+    pairs = block_pairs(named, block=block, order_by="key", columns=["key", "name", "norm", "letters"], where=possible)
+    scored = pairs.withColumn("ratio", sequence_ratio("left_norm", "right_norm")).where(F.col("ratio") >= threshold)
+    found = scored.select(block, "left_key", "left_name", "right_key", "right_name", F.round("ratio", 4).alias("similarity"))
+    return found, large_blocks(named, block=block, columns=["key", "name"], above=large)
 
 
 def map_entity(df: DataFrame, candidates: DataFrame, *, name: str, country: str, candidate_id: str, candidate_names: Sequence[str],
@@ -42,11 +46,16 @@ def map_entity(df: DataFrame, candidates: DataFrame, *, name: str, country: str,
         pool = pool.where(normalize_text(candidate_country) == asked["c"])
     names = [F.col(f"__n{i}") for i in range(len(candidate_names))]
     exact = F.greatest(*[(n == asked["n"]).cast("int") for n in names]) if len(names) > 1 else (names[0] == asked["n"]).cast("int")
-    ratios = [sequence_ratio(F.lit(asked["n"]), n) for n in names]
-    best = F.greatest(*ratios) if len(ratios) > 1 else ratios[0]
-    ranked = pool.withColumns({"exact_match": exact, "similarity": best}).drop(*[f"__n{i}" for i in range(len(names))])
-    chosen = ranked.orderBy(F.col("exact_match").desc(), F.when(F.col("exact_match") == 1, F.lit(1.0)).otherwise(F.col("similarity")).desc(), candidate_id).limit(1)
+    hidden = [f"__n{i}" for i in range(len(names))]
+    equal = pool.withColumn("exact_match", exact).where("exact_match = 1").withColumn("similarity", F.lit(1.0))
+    chosen = equal.drop(*hidden).orderBy(candidate_id).limit(1)
     row = chosen.first()
+    if row is None:                      # only then are candidates compared letter by letter
+        ratios = [sequence_ratio(F.lit(asked["n"]), n) for n in names]
+        best = F.greatest(*ratios) if len(ratios) > 1 else ratios[0]
+        ranked = pool.withColumns({"exact_match": F.lit(0), "similarity": best}).drop(*hidden)
+        chosen = ranked.orderBy(F.col("similarity").desc(), candidate_id).limit(1)
+        row = chosen.first()
     if row is None or (row["exact_match"] == 0 and row["similarity"] < threshold):
         raise ValueError(f"no candidate for '{found.get(name, '')}' ({found.get(country, '')})")
     return chosen

@@ -218,7 +218,7 @@ def uniqueness(tables: Tables) -> dict[str, DataFrame]:
         oversized = spark.createDataFrame([], "date_of_birth string, members long")
     return {"summary": Q.uniqueness_summary(exact, strict, subset, fuzzy), "exact_duplicates": exact, "strict_unique_checks": strict,
             "candidate_field_reviews": maybe, "subset_duplicate_checks": subset, "fuzzy_duplicate_candidates": fuzzy.orderBy(F.col("similarity").desc(), "left_name"),
-            "fuzzy_blocks_over_limit": oversized}
+            "large_fuzzy_blocks": oversized}
 
 
 def outliers(tables: Tables) -> dict[str, DataFrame]:

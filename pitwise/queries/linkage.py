@@ -12,9 +12,7 @@ from pitwise.queries import query, read
 
 BLOCKED = """
 b AS (SELECT c_custkey AS k, c_name AS name, c_nationkey || '/' || CAST(floor(c_acctbal / 100) AS BIGINT) AS block FROM customer),
-s AS (SELECT block, COUNT(*) AS members FROM b GROUP BY 1),
-pairs AS (SELECT l.block, l.k AS left_key, l.name AS left_name, r.k AS right_key, r.name AS right_name FROM b l JOIN b r ON l.block = r.block AND l.k < r.k
-  JOIN s ON s.block = l.block AND s.members BETWEEN 2 AND 20)"""
+pairs AS (SELECT l.block, l.k AS left_key, l.name AS left_name, r.k AS right_key, r.name AS right_name FROM b l JOIN b r ON l.block = r.block AND l.k < r.k)"""
 
 
 def blocked_customers(spark, sf):
@@ -25,10 +23,10 @@ def blocked_customers(spark, sf):
 
 @query("linkage_full_outer", """
 SELECT COALESCE(d.doc_id, l.doc_id) AS doc_id, d.lang, l.quality, CASE WHEN d.doc_id IS NULL THEN 'right_only' WHEN l.doc_id IS NULL THEN 'left_only' ELSE 'both' END AS side
-FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 4 <> 0) d FULL OUTER JOIN (SELECT doc_id, quality FROM labels) l ON d.doc_id = l.doc_id""")
+FROM (SELECT CASE WHEN doc_id % 4 = 0 THEN -doc_id - 1 ELSE doc_id END AS doc_id, lang FROM documents) d FULL OUTER JOIN (SELECT doc_id, quality FROM labels) l ON d.doc_id = l.doc_id""")
 def linkage_full_outer(spark, sf):
-    """Documents and labels side by side, with the side each row came from."""
-    docs = read(spark, sf, "documents").where("doc_id % 4 <> 0").select("doc_id", "lang")
+    """Documents and labels side by side, with the side each row came from; a quarter of the ids is changed, so each side has rows alone."""
+    docs = read(spark, sf, "documents").select(F.expr("CASE WHEN doc_id % 4 = 0 THEN -doc_id - 1 ELSE doc_id END").alias("doc_id"), "lang")
     return J.outer_with_side(docs, read(spark, sf, "labels").select("doc_id", "quality"), ["doc_id"]).select("doc_id", "lang", "quality", "side")
 
 
@@ -90,17 +88,17 @@ def null_safe_join(spark, sf):
 
 @query("block_pairs", f"WITH {BLOCKED} SELECT * FROM pairs")
 def block_pairs(spark, sf):
-    """Unordered pairs inside blocks of 2 to 20 customers."""
-    pairs, _ = J.block_pairs(blocked_customers(spark, sf), block="block", order_by="c_custkey", columns=["c_custkey", "c_name"])
+    """Unordered pairs of customers inside blocks."""
+    pairs = J.block_pairs(blocked_customers(spark, sf), block="block", order_by="c_custkey", columns=["c_custkey", "c_name"])
     return pairs.select("block", F.col("left_c_custkey").alias("left_key"), F.col("left_c_name").alias("left_name"),
                         F.col("right_c_custkey").alias("right_key"), F.col("right_c_name").alias("right_name"))
 
 
 @query("oversized_blocks", "SELECT c_nationkey AS block, COUNT(*) AS members FROM customer GROUP BY 1 HAVING COUNT(*) > 20")
 def oversized_blocks(spark, sf):
-    """Blocks by nation are above the size limit: listed, not skipped in silence."""
+    """Blocks by nation with more than 20 customers."""
     rows = read(spark, sf, "customer").select(F.col("c_nationkey").alias("block"), "c_custkey")
-    return J.block_pairs(rows, block="block", order_by="c_custkey", columns=["c_custkey"])[1]
+    return J.large_blocks(rows, block="block", columns=["c_custkey"])
 
 
 @query("edit_similar_pairs", f"""WITH {BLOCKED},
@@ -109,8 +107,8 @@ SELECT block, left_key, right_key, ROUND(1 - CAST(levenshtein(a, b) AS DOUBLE) /
 WHERE 1 - CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b)) >= 0.88""")
 def edit_similar_pairs(spark, sf):
     """Similar names inside blocks by edit distance."""
-    pairs, _ = J.block_pairs(blocked_customers(spark, sf).withColumn("norm", normalize_text("c_name")), block="block", order_by="c_custkey",
-                             columns=["c_custkey", "norm"])
+    pairs = J.block_pairs(blocked_customers(spark, sf).withColumn("norm", normalize_text("c_name")), block="block", order_by="c_custkey",
+                          columns=["c_custkey", "norm"], where=lambda x, y: 1 - F.abs(F.length(x("norm")) - F.length(y("norm"))) / F.greatest(F.length(x("norm")), F.length(y("norm"))) >= 0.88)
     scored = pairs.withColumn("similarity", edit_similarity("left_norm", "right_norm")).where("similarity >= 0.88")
     return scored.select("block", F.col("left_c_custkey").alias("left_key"), F.col("right_c_custkey").alias("right_key"), F.round("similarity", 4).alias("similarity"))
 
@@ -122,12 +120,13 @@ def fuzzy_pairs(spark, sf):
 
 
 @query("map_entity", """
-WITH t AS (SELECT n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey = 1),
-m AS (SELECT n_name FROM t GROUP BY 1 ORDER BY COUNT(*) DESC, n_name LIMIT 1)
+WITH t AS (SELECT CASE WHEN n_regionkey = 1 THEN n_name END AS n_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+m AS (SELECT n_name FROM t WHERE n_name IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, n_name LIMIT 1)
 SELECT n_nationkey, nation.n_name, r_name, 1 AS exact_match FROM nation JOIN m USING (n_name) JOIN region ON n_regionkey = r_regionkey""")
 def map_entity(spark, sf):
-    """The nation that the most frequent customer nation of a region maps to."""
+    """The nation that the most frequent known nation of customers maps to."""
     nations = J.lookup(read(spark, sf, "nation"), read(spark, sf, "region"), on={"n_regionkey": "r_regionkey"}, take={"r_name": "r_name"})
-    seen = J.lookup(read(spark, sf, "customer"), nations, on={"c_nationkey": "n_nationkey"}, take={"n_name": "n_name", "r_name": "r_name", "n_regionkey": "region"}).where("region = 1")
+    seen = J.lookup(read(spark, sf, "customer"), nations, on={"c_nationkey": "n_nationkey"}, take={"n_name": "n_name", "r_name": "r_name", "n_regionkey": "region"})
+    seen = seen.withColumns({c: F.when(F.col("region") == 1, F.col(c)) for c in ("n_name", "r_name")})      # names of other regions are missing
     return L.map_entity(seen, nations, name="n_name", country="r_name", candidate_id="n_nationkey", candidate_names=["n_name"], candidate_country="r_name").select(
         "n_nationkey", "n_name", "r_name", "exact_match")

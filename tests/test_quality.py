@@ -68,18 +68,19 @@ def test_fuzzy_duplicates_equal_brute_force(spark):
     from difflib import SequenceMatcher
     import random
     rng = random.Random(1)
-    people = [(i, "".join(rng.choice("abc ") for _ in range(8)).strip() or "x", f"d{i % 40}") for i in range(400)] + [(1000 + i, f"name {i}", "big") for i in range(25)]
+    people = [(i, "".join(rng.choice("abc ") for _ in range(8)).strip() or "x", f"d{i % 40}") for i in range(400)] + [(1000 + i, f"name {i}", "big") for i in range(25)] + [(7, "abc abc a", "d7"), (7, "abc abc b", "d7")]
     df = spark.createDataFrame(people, "id long, name string, born string")
     found, oversized = L.fuzzy_duplicates(df, block="born", key="id", name="name", threshold=0.7)
-    got = {(r["left_key"], r["right_key"]): r["similarity"] for r in found.collect()}
+    got = {(r["left_key"], r["left_name"], r["right_key"], r["right_name"]): r["similarity"] for r in found.collect()}
     want = {}
-    for d in {p[2] for p in people} - {"big"}:
-        block = [(i, " ".join(n.split())) for i, n, b in people if b == d]
-        for a, x in block:
-            for b, y in block:
-                if a < b and x != y and (r := SequenceMatcher(a=x, b=y).ratio()) >= 0.7:
-                    want[(a, b)] = round(r, 4)
+    for d in {p[2] for p in people}:
+        block = sorted((i, n, " ".join(n.split())) for i, n, b in people if b == d)
+        for k, (a, n, x) in enumerate(block):
+            for b, m, y in block[k + 1:]:
+                if x != y and (r := SequenceMatcher(a=x, b=y).ratio()) >= 0.7:
+                    want[(a, n, b, m)] = round(r, 4)
     assert got == want and want
+    assert any(a == b for a, _, b, _ in want)        # one key, two names
     assert [tuple(r) for r in oversized.collect()] == [("big", 25)]
 
 
@@ -101,3 +102,11 @@ def test_loose_json_fields(spark):
     params = [r["x"] for r in df.select("i", feed.normalize_parameters("t").alias("x")).collect()]
     assert params[0]["a"] == "x" and params[2] == {} and params[3] == {} and params[5] == {"K": "2", "m": "z"}
     assert df.select("i", feed.lower_keys(feed.normalize_parameters("t")).alias("x")).collect()[5]["x"] == {"k": "2", "m": "z"}
+
+
+def test_large_blocks_lose_no_pair(spark):
+    from pitwise.operators import joins as J
+    df = spark.range(300).select(F.col("id"), F.lit("hot").alias("b"))
+    pairs = J.block_pairs(df, block="b", order_by="id", columns=["id"], cell=40)
+    got = sorted(tuple(r) for r in pairs.select("left_id", "right_id").collect())
+    assert got == [(i, j) for i in range(300) for j in range(i + 1, 300)]
