@@ -6,14 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier)
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pitwise.operators.ordering import SMALL, order_statistic
+from pitwise.operators.ordering import order_statistic, ranged
 from pitwise.session import materialize
 
 SEED = 42
@@ -31,9 +29,10 @@ GRID = {
 
 
 def make_classifier(family: str, label: str, *, depth: int = 10, rows: int = 1, **p):
-    """An unfitted Spark ML classifier for one grid entry."""
+    """An unfitted Spark ML classifier for one grid entry; trees have the depth that is asked for, or none are built."""
     common = {"featuresCol": "features", "labelCol": label}
-    depth = min(depth, MAX_TREE_DEPTH)
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"trees of depth {depth} are not supported, at most {MAX_TREE_DEPTH}")
     if family == "decision_tree":
         return DecisionTreeClassifier(impurity="entropy", maxDepth=depth, minInstancesPerNode=max(1, p.get("min_split", 2) // 2), seed=SEED, **common)
     if family == "logistic_regression":
@@ -43,7 +42,7 @@ def make_classifier(family: str, label: str, *, depth: int = 10, rows: int = 1,
     if family == "random_forest":
         return RandomForestClassifier(numTrees=p.get("trees", 20), impurity="entropy", maxDepth=depth, seed=SEED, **common)
     if family == "gradient_boosting":
-        return GBTClassifier(maxIter=p.get("rounds", 20), stepSize=p.get("rate", 0.1), maxDepth=min(depth, 5), seed=SEED, **common)
+        return GBTClassifier(maxIter=p.get("rounds", 20), stepSize=p.get("rate", 0.1), maxDepth=depth, seed=SEED, **common)
     raise ValueError(f"unknown model family: {family}")
 
 
@@ -115,56 +114,45 @@ def score_best(results: DataFrame, models: Mapping, test: DataFrame, label: str)
 
 # -- minority oversampling ---------------------------------------------------------------------
 
-EXACT_NEIGHBOUR_ROWS = 20_000          # minority rows whose vectors may be shipped to every task,
-EXACT_NEIGHBOUR_CELLS = 10_000_000     # and numbers in them (80 MB)
-CHUNK = 512                            # rows compared at a time inside a task
+PROJECTIONS = 12         # seeded random lines on which neighbours are looked for
+REACH = 6                # rows on either side that are met on each line
+CELL_ROWS = 100_000      # rows of a range of a line, which one window task holds
 
 
-def _nearest(minority: DataFrame, key: str, features: str, k: int) -> DataFrame:
-    """``(key, neighbours array<array<double>>)``: the ``k`` nearest other minority rows."""
-    dense = minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x"))
-    data = dense.orderBy("key").toPandas()     # size checked by the caller
-    keys, points = data["key"].to_numpy(), np.stack(data["x"].to_numpy())
-    norms, width = (points ** 2).sum(axis=1), min(k, len(keys) - 1)
+def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, seed: int = SEED, projections: int = PROJECTIONS, reach: int = REACH,
+                    cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``(key, x, neighbours array<array<double>>)``: the ``k`` nearest of the rows met along several random lines, nearest first.
 
-    def search(batches):
-        for whole in batches:
-            for start in range(0, len(whole), CHUNK):
-                pdf = whole.iloc[start:start + CHUNK]
-                x = np.stack(pdf["x"].to_numpy())
-                distance = (x ** 2).sum(axis=1)[:, None] + norms[None, :] - 2 * x @ points.T
-                distance[pdf["key"].to_numpy()[:, None] == keys[None, :]] = np.inf
-                near = np.argpartition(distance, width - 1, axis=1)[:, :width] if width else np.empty((len(x), 0), dtype=int)
-                yield pd.DataFrame({"key": pdf["key"], "x": pdf["x"], "neighbours": [[points[j].tolist() for j in row] for row in near]})
-
-    return dense.mapInPandas(search, "key long, x array<double>, neighbours array<array<double>>")
-
-
-def projection_neighbours(minority: DataFrame, key: str, features: str, *, k: int, cells: int, seed: int = SEED) -> DataFrame:
-    """Approximate neighbours for large minorities: the ``k`` rows next to each row along a random projection.
-
-    The line is cut into ``cells`` ranges of about equal depth, so every window task holds one range only and
-    each row meets ``k`` others, never all rows of its range.
+    Rows are ordered along each line within ranges of about equal depth, so a window task holds one range only, and each row meets ``reach``
+    others on either side. Distances to all rows met are exact. The method is the same for any number of rows, nothing passes through the
+    driver but the range edges, and a key meets at most ``2 * reach * projections`` others.
     """
-    dense = minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x"))
-    size = len(dense.select("x").first()["x"])
-    direction = np.random.default_rng(seed).standard_normal(size).tolist()
-    axis = F.array(*[F.lit(float(v)) for v in direction])
-    placed = dense.withColumn("p", F.aggregate(F.zip_with("x", axis, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
-    cuts = sorted(set(placed.approxQuantile("p", [i / cells for i in range(1, cells)], 0.25 / cells)))
-    placed = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="p", outputCol="cell").transform(placed)
-    window = Window.partitionBy("cell").orderBy("p", "key")
-    steps = [s for d in range(1, k + 1) for s in (-d, d)]
-    shifted = [F.lag("x", -s).over(window) if s < 0 else F.lead("x", s).over(window) for s in steps]
-    near = F.filter(F.array(*shifted), lambda v: v.isNotNull())
-    return placed.select("key", "x", F.slice(near, 1, k).alias("neighbours"))
+    dense = materialize(minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x")))
+    first = dense.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("size")).first()
+    rng = np.random.default_rng(seed)
+    cells = -(-first["n"] // cell_rows)
+    met = []
+    lines = [rng.standard_normal(first["size"]).tolist() for _ in range(projections)]
+    at = [F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in line]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) for line in lines]
+    placed = dense.withColumns({f"p{i}": c for i, c in enumerate(at)})
+    cuts = placed.approxQuantile([f"p{i}" for i in range(projections)], [i / cells for i in range(1, cells)], 0.25 / cells) if cells > 1 else [[]] * projections
+    distance = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v)
+    for i in range(projections):
+        line = ranged(placed.select("key", "x", f"p{i}"), f"p{i}", cuts[i], "cell")
+        window = Window.partitionBy("cell").orderBy(f"p{i}", "key")
+        beside = [f(F.struct("key", "x"), d).over(window) for d in range(1, reach + 1) for f in (F.lag, F.lead)]
+        others = F.filter(F.array(*beside), lambda o: o.isNotNull() & (o["key"] != F.col("key")))
+        met.append(line.select("key", "x", others.alias("others")).select(
+            "key", "x", F.transform("others", lambda o: F.struct(distance(F.col("x"), o["x"]).alias("d"), o["key"].alias("key"), o["x"].alias("x"))).alias("others")))
+    gathered = reduce(DataFrame.unionByName, met).groupBy("key").agg(F.first("x").alias("x"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("others")))).alias("others"))
+    return gathered.select("key", "x", F.transform(F.slice("others", 1, k), lambda o: o["x"]).alias("neighbours"))
 
 
 def oversample_minority(df: DataFrame, *, label: str, key: str, features: str = "features", ratio: float = 0.5, k: int = 5, seed: int = SEED) -> DataFrame:
     """Add synthetic minority rows until minority / majority reaches ``ratio``.
 
-    Each synthetic row lies on the segment between a minority row and one of its ``k`` nearest minority
-    neighbours; choice and position come from hashes of the row key, so a lost task redraws the same rows.
+    Each synthetic row lies on the segment between a minority row and one of ``k`` near minority
+    neighbours (``near_neighbours``); choice and position come from hashes of the row key, so a lost task redraws the same rows.
     """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) != 2:
@@ -176,9 +164,7 @@ def oversample_minority(df: DataFrame, *, label: str, key: str, features: str =
     if wanted <= 0:
         return base
     rows = df.where(F.col(label) == minor)
-    size = rows.select(F.size(vector_to_array(features)).alias("n")).first()["n"]
-    near = (_nearest(rows, key, features, k) if few <= EXACT_NEIGHBOUR_ROWS and few * size <= EXACT_NEIGHBOUR_CELLS else
-            projection_neighbours(rows, key, features, k=k, cells=max(2, few // 100_000), seed=seed))
+    near = near_neighbours(rows, key, features, k=k, seed=seed)
     near = materialize(near.where(F.size("neighbours") > 0))
     each, extra = divmod(wanted, few)
     # the first `extra` rows in hash order make one more; the cut is one number, found without a global sort
@@ -203,7 +189,6 @@ def _kth(near: DataFrame, position: int) -> tuple[int, int]:
     """Draw and key of the row at ``position`` in (draw, key) order."""
     if not position:
         return (0, 0)
-    value, before, n = order_statistic(near, "draw", [position])[position]
+    _, draw, before, _ = order_statistic(near, "draw", [position])[position]
     place = position - int(before)
-    same = near.where(F.col("draw") == int(value))
-    return int(value), int(order_statistic(same, "key", [place], wide=n > SMALL)[place][0])
+    return int(draw), int(order_statistic(near.where(F.col("draw") == int(draw)), "key", [place])[place][1])

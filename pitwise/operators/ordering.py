@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pitwise.session import materialize
 
-SMALL = 1_000_000    # distinct values that one window task may hold without buckets
-EDGES = 512
+SMALL = 1_000_000    # distinct values that one window task holds; more values make more buckets, not larger ones
+MOST_RANGES = 10_000     # ranges of a forward fill, the one place where a window sees one row per range
 
 
 def as_number(c: str | Column, dtype: T.DataType) -> Column:
@@ -31,80 +31,103 @@ def as_number(c: str | Column, dtype: T.DataType) -> Column:
     return c.cast("double")
 
 
+def exact_number(c: str | Column, dtype: T.DataType) -> Column:
+    """The part of a value that a double cannot hold: whole numbers, dates, instants and decimals of up to 18 digits as a long, else 0.
+
+    ``(as_number, exact_number)`` sorts and compares like the value itself, since the double never decreases where the value grows.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_micros(F.to_timestamp(c))
+    if isinstance(dtype, (T.IntegralType, T.BooleanType)):
+        return c.cast("long")
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        return (c * F.lit(10 ** dtype.scale)).cast("long")
+    return F.lit(0).cast("long")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Long counts ``(by…, column, value double, n)`` of numeric columns, nulls and NaN left out."""
+    """Long counts ``(by…, column, value double, exact long, n)`` of numeric columns, nulls and NaN left out."""
     types = {f.name: f.dataType for f in df.schema}
     cells = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), as_number(c, types[c]).alias("value")) for c in columns]))
+        F.struct(F.lit(c).alias("column"), as_number(c, types[c]).alias("value"), exact_number(c, types[c]).alias("exact")) for c in columns]))
     return (df.select(*by, cells).where("value is not null and not isnan(value)")
-            .groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n")))
-
-
-def _bucketed(counts: DataFrame, edges: int) -> DataFrame:
-    """Add ``bucket`` by equal-depth edges over all distinct values, one edge list per column."""
-    names = [r[0] for r in counts.select("column").distinct().collect()]
-    probabilities = [i / edges for i in range(1, edges)]
-    parts = []
-    for name in names:
-        part = counts.where(F.col("column") == name)
-        cuts = sorted(set(part.approxQuantile("value", probabilities, 0.25 / edges)))
-        splitter = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="value", outputCol="bucket")
-        parts.append(splitter.transform(part))
+            .groupBy(*by, "column", "value", "exact").agg(F.count(F.lit(1)).alias("n")))
+
+
+def ranged(df: DataFrame, value: str, cuts: Sequence[float], name: str) -> DataFrame:
+    """Add the range (a double column's place among the cuts) by binary search; without finite cuts all rows share one."""
+    finite = sorted({c for c in cuts if abs(c) != float("inf")})
+    if not finite:
+        return df.withColumn(name, F.lit(0.0))
+    return Bucketizer(splits=[float("-inf"), *finite, float("inf")], inputCol=value, outputCol=name).transform(df)
+
+
+def _bucketed(counts: DataFrame, buckets: int) -> DataFrame:
+    """Add ``bucket`` by equal-depth edges over the distinct values, all columns sketched in one pass."""
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    rows = counts.groupBy("column").agg(F.percentile_approx("value", shares, 10 * buckets).alias("cuts")).collect()
+    parts = [ranged(counts.where(F.col("column") == r["column"]), "value", r["cuts"] or [], "bucket") for r in sorted(rows, key=lambda r: r["column"])]
     return reduce(DataFrame.unionByName, parts) if parts else counts.withColumn("bucket", F.lit(0.0))
 
 
-def _wide(df: DataFrame, columns: Sequence[str], small: int) -> bool:
-    """Whether some column has too many distinct values for one window task (one sketch pass)."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    return max(row) > small
+def _buckets(distinct: int, small: int, edges: int | None) -> int:
+    """How many buckets keep about ``small`` distinct values each; 0 for one window over all."""
+    return (edges or max(2, -(-distinct // max(small, 1)))) if distinct > small else 0
 
 
-def settled_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), small: int = SMALL) -> tuple[DataFrame, bool]:
-    """Value counts and whether they need buckets; large counts are checkpointed, since they are read several times."""
-    wide = _wide(df, columns, small)
+def settled_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), small: int = SMALL, edges: int | None = None) -> tuple[DataFrame, int]:
+    """Value counts and the number of buckets they need (one sketch pass); counts in buckets are kept, since they are read several times."""
+    row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    buckets = _buckets(max(row), small, edges)
     counts = value_counts(df, columns, by)
-    return (materialize(counts) if wide else counts), wide
+    return (materialize(counts) if buckets else counts), buckets
 
 
-def running_counts(counts: DataFrame, by: Sequence[str] = (), *, bucketed: bool = False, edges: int = EDGES) -> DataFrame:
+def running_counts(counts: DataFrame, by: Sequence[str] = (), *, buckets: int = 0) -> DataFrame:
     """Add ``before`` (rows of the group with a smaller value) and ``total`` (rows of the group), exact.
 
-    Bucketed counts are read several times: pass the result of ``settled_counts``.
+    Counts in buckets are read several times: pass the result of ``settled_counts``.
     """
     group = [*by, "column"]
     whole = Window.partitionBy(*group)
-    if not bucketed:
-        earlier = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts if "exact" in counts.columns else counts.withColumn("exact", F.lit(0).cast("long"))
+    if not buckets:
+        earlier = whole.orderBy("value", "exact").rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumns({"before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "total": F.sum("n").over(whole)})
-    buckets = _bucketed(counts, edges)
-    per_bucket = buckets.groupBy(*group, "bucket").agg(F.sum("n").alias("__n"))
+    cut = _bucketed(counts, buckets)
+    per_bucket = cut.groupBy(*group, "bucket").agg(F.sum("n").alias("__n"))
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("bucket").alias("__bucket"),
                                 F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
                                 F.sum("__n").over(whole).alias("total"))
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]) & (
         F.col("bucket") == F.col("__bucket"))
-    inside = Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    return (buckets.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    inside = Window.partitionBy(*group, "bucket").orderBy("value", "exact").rowsBetween(Window.unboundedPreceding, -1)
+    return (cut.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
             .join(offsets, same).withColumn("before", F.col("__offset") + F.col("__in"))
-            .select(*group, "value", "n", "before", "total"))
+            .select(*group, "value", "exact", "n", "before", "total"))
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float], by: Sequence[str] = (), *,
-              small: int = SMALL, edges: int = EDGES) -> DataFrame:
+              small: int = SMALL, edges: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: ``(by…, column, n, <label>…)``.
 
     Columns without any value have no row.
     """
-    counts, wide = settled_counts(df, columns, by, small)
-    return quantiles_of_counts(counts, probabilities, by, bucketed=wide, edges=edges)
+    counts, buckets = settled_counts(df, columns, by, small, edges)
+    return quantiles_of_counts(counts, probabilities, by, buckets=buckets)
 
 
 def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = (), *,
-                        bucketed: bool = False, edges: int = EDGES) -> DataFrame:
+                        buckets: int = 0) -> DataFrame:
     """As ``quantiles``, from counts ``(by…, column, value, n)`` that are already aggregated."""
     group = [*by, "column"]
-    placed = running_counts(counts, by, bucketed=bucketed, edges=edges)
+    placed = running_counts(counts, by, buckets=buckets)
     picks, results = [], []
     for label, p in probabilities.items():
         position = (F.col("total") - 1) * F.lit(float(p))
@@ -124,41 +147,41 @@ def fitted_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mappi
     return {r["column"]: {k: r[k] for k in ("n", *probabilities)} for r in quantiles(df, columns, probabilities, **kw).collect()}
 
 
-def average_ranks(df: DataFrame, columns: Sequence[str], *, small: int = SMALL, edges: int = EDGES) -> DataFrame:
+def average_ranks(df: DataFrame, columns: Sequence[str], *, small: int = SMALL, edges: int | None = None) -> DataFrame:
     """Mean rank of each distinct value, ties shared: ``(column, value, rank)``."""
-    counts, wide = settled_counts(df, columns, (), small)
-    placed = running_counts(counts, bucketed=wide, edges=edges)
+    counts, buckets = settled_counts(df, columns, (), small, edges)
+    placed = running_counts(counts, buckets=buckets)
     return placed.select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
-def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, wide: bool | None = None, small: int = SMALL,
-                    edges: int = EDGES) -> dict[int, tuple[float, int, int]]:
-    """For each zero-based position of the sorted column: the value there, the number of smaller rows, and of equal rows."""
-    if wide is None:
-        counts, wide = settled_counts(df, [column], (), small)
-    else:
-        counts = materialize(value_counts(df, [column])) if wide else value_counts(df, [column])
-    placed = running_counts(counts, bucketed=wide, edges=edges)
-    hit = [F.max(F.when((F.col("before") <= p) & (F.lit(p) < F.col("before") + F.col("n")), F.struct("value", "before", "n"))).alias(str(p))
-           for p in positions]
-    row = placed.agg(*hit).first()
+def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, small: int = SMALL, edges: int | None = None) -> dict[int, tuple[float, int, int, int]]:
+    """For each zero-based position of the sorted column: the value there as a double and exactly, the number of smaller rows, and of equal rows."""
+    counts, buckets = settled_counts(df, [column], (), small, edges)
+    placed = running_counts(counts, buckets=buckets)
+    row = placed.agg(*[_at(p).alias(str(p)) for p in positions]).first()
     return {p: tuple(row[str(p)]) for p in positions}
 
 
+def _at(position: int) -> Column:
+    """Aggregate: the value that covers a position."""
+    return F.max(F.when((F.col("before") <= position) & (F.lit(position) < F.col("before") + F.col("n")), F.struct("value", "exact", "before", "n")))
+
+
 def forward_fill(df: DataFrame, columns: Sequence[str], *, order_by: str, max_missing: float = 0.5,
                  bucket_rows: int | None = None) -> DataFrame:
-    """Carry the last known value forward along a unique integer ``order_by``.
+    """Carry the last known value forward along a unique integer ``order_by``, dense or sparse.
 
-    A column is filled only if less than ``max_missing`` of it is missing; leading gaps stay. Rows are cut into
-    ranges of positions, about as many ranges as rows in a range; each range is filled on its own and the last
-    value before it comes from a table with one row per range.
+    A column is filled only if less than ``max_missing`` of it is missing; leading gaps stay. Rows are cut into ranges at quantiles of the
+    positions; each range is filled on its own, and the last value before it comes from a table with one row per range, so no
+    window without partitions sees more rows than there are ranges.
     """
     shares = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     chosen = [c for c in columns if 0 < shares[c] < shares["__n"] * max_missing]
     if not chosen:
         return df
-    bucket_rows = bucket_rows or max(100_000, int(shares["__n"] ** 0.5))
-    cut = df.withColumn("__range", F.floor(F.col(order_by) / bucket_rows))
+    ranges = min(MOST_RANGES, -(-shares["__n"] // (bucket_rows or 100_000)))
+    cuts = df.approxQuantile(order_by, [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
+    cut = ranged(df.withColumn("__position", F.col(order_by).cast("double")), "__position", cuts, "__range").drop("__position")
     last = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order_by), F.col(c).alias("v")))).alias(f"__{c}") for c in chosen]
     ends = cut.groupBy("__range").agg(*last)
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
@@ -178,32 +201,40 @@ def split_bounds(total: int, train_ratio: float = 0.70, val_ratio: float = 0.15)
     if train_ratio <= 0 or val_ratio <= 0 or train_ratio + val_ratio >= 1:
         raise ValueError("ratios must be positive and must leave rows for the test split")
     first = max(1, int(total * train_ratio))
-    second = min(max(first + 1, int(total * (train_ratio + val_ratio))), total - 1)
-    second = first + 1 if first >= second else second
-    if second >= total:
+    second = max(first + 1, min(int(total * (train_ratio + val_ratio)), total - 1))
+    if not 0 < first < second < total:
         raise ValueError("these ratios leave no rows for the test split")
     return first, second
 
 
 def chronological_split(df: DataFrame, *, sort_by: str, tie_by: str, train_ratio: float = 0.70,
-                        val_ratio: float = 0.15, name: str = "split", small: int = SMALL, edges: int = EDGES) -> DataFrame:
+                        val_ratio: float = 0.15, name: str = "split", small: int = SMALL, edges: int | None = None) -> DataFrame:
     """Add ``split`` (train, val, test) by position in ``(sort_by, tie_by)`` order; ``tie_by`` is a unique number.
 
-    Only the two boundary positions are located: first the sort value they fall on, then the tie value among the
-    rows with exactly that sort value. Rows without a sort value come last. The data itself is never sorted.
+    Only the two boundary positions are located: first the sort value they fall on, then the tie value among the rows with exactly that
+    sort value. Rows whose sort value is null or NaN come last, after infinity. The data itself is never sorted, and numbers are compared exactly.
     """
     types = {f.name: f.dataType for f in df.schema}
-    sortable = df.select(F.coalesce(as_number(sort_by, types[sort_by]), F.lit(float("inf"))).alias("__s"), F.col(tie_by).alias("__t"))
-    size = sortable.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("__s").alias("d")).first()
+    s, s_exact = as_number(sort_by, types[sort_by]), exact_number(sort_by, types[sort_by])
+    t, t_exact = as_number(tie_by, types[tie_by]), exact_number(tie_by, types[tie_by])
+    missing = s.isNull() | F.isnan(s)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("missing")).first()
     positions = split_bounds(size["n"], train_ratio, val_ratio)
-    cuts = []
-    for p, (value, before, n) in order_statistic(sortable, "__s", positions, wide=size["d"] > small, small=small, edges=edges).items():
-        place = p - int(before)
-        ties = sortable.where(F.col("__s") == value)
-        cuts.append((value, order_statistic(ties, "__t", [place], wide=n > small, small=small, edges=edges)[place][0]))
-    s = F.coalesce(as_number(sort_by, types[sort_by]), F.lit(float("inf")))
-    t = as_number(tie_by, types[tie_by])
-    below = [(s < v) | ((s == v) & (t < k)) for v, k in cuts]
+    present = size["n"] - size["missing"]
+    found = order_statistic(df, sort_by, [p for p in positions if p < present], small=small, edges=edges) if positions[0] < present else {}
+    here = {p: (~missing & (s == found[p][0]) & (s_exact == found[p][1])) if p in found else missing for p in positions}
+    place = {p: p - int(found[p][2]) if p in found else p - present for p in positions}
+    group = F.when(here[positions[0]], F.lit(positions[0])).when(here[positions[1]], F.lit(positions[1]))
+    second = positions[0] if found.get(positions[0], (None,) * 2)[:2] == found.get(positions[1], (None,) * 2)[:2] else positions[1]     # one value holds both
+    ties, buckets = settled_counts(df.select(group.alias("__g"), F.col(tie_by)).where("__g is not null"), [tie_by], ["__g"], small, edges)
+    placed = running_counts(ties, ["__g"], buckets=buckets)
+    row = placed.agg(*[F.max(F.when((F.col("__g") == g) & (F.col("before") <= place[p]) & (F.lit(place[p]) < F.col("before") + F.col("n")), F.struct("value", "exact"))).alias(str(p))
+                       for p, g in zip(positions, (positions[0], second))]).first()
+    below = []
+    for p in positions:
+        k, k_exact = row[str(p)]
+        earlier = (~missing & ((s < found[p][0]) | ((s == found[p][0]) & (s_exact < found[p][1])))) if p in found else ~missing
+        below.append(earlier | (here[p] & ((t < k) | ((t == k) & (t_exact < k_exact)))))
     return df.withColumn(name, F.when(below[0], "train").when(below[1], "val").otherwise("test"))
 
 

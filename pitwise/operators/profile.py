@@ -67,7 +67,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], table: str = "") -> D
         F.max("value").alias("max"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     centred = counts.join(basics.select("column", "mean"), "column").withColumn("d", F.col("value") - F.col("mean"))
     moments = centred.groupBy("column").agg(*[F.sum(F.pow("d", F.lit(k)) * F.col("n")).alias(f"m{k}") for k in (2, 3, 4)])
-    middles = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, bucketed=wide).drop("n")
+    middles = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, buckets=wide).drop("n")
     n = F.col("n").cast("double")
     var = F.col("m2") / n
     constant = F.col("m2") == 0
@@ -327,7 +327,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], multiplier: float =
     Works on value counts, so a group that holds most of the rows is as cheap as its distinct values.
     """
     counts, wide = settled_counts(_numbers(df, [value], *by), [value], by)
-    box = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, bucketed=wide)
+    box = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, buckets=wide)
     box = box.select(*[F.col(b).alias(f"__{b}") for b in by], "q1", "median", "q3", F.col("n").alias("total"))
     same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by])
     spread = (F.col("q3") - F.col("q1")) * multiplier

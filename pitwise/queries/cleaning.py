@@ -57,6 +57,14 @@ def forward_fill_query(spark, sf):
     return out.select("o_orderkey", "day", "sparse")
 
 
+@query("forward_fill_sparse", f"""
+SELECT o_orderkey * 10000000 AS position, LAST_VALUE(day IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS day FROM {GAPS}""")
+def forward_fill_sparse(spark, sf):
+    """Dates carried along positions that lie far apart."""
+    rows = gappy(spark, sf).select((F.col("o_orderkey") * 10_000_000).alias("position"), "day")
+    return forward_fill(rows, ["day"], order_by="position", bucket_rows=1_000)
+
+
 @query("clip_iqr", """
 WITH b AS (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.75) AS q3 FROM documents)
 SELECT doc_id, source, CASE WHEN q3 = q1 THEN CAST(n_chars AS DOUBLE) ELSE greatest(least(CAST(n_chars AS DOUBLE), q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)) END AS n_chars FROM documents, b""")

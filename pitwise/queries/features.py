@@ -122,11 +122,54 @@ def oversample_counts(spark, sf):
     lines = read(spark, sf, "lineitem").select(
         F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("h"),
         ((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)).cast("int").alias("label"), "l_quantity", "l_discount", "l_tax")
-    rows = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(lines.withColumn("key", F.shiftrightunsigned("h", 12)))
+    rows = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(lines.withColumnRenamed("h", "key"))
     made = K.oversample_minority(rows.select("key", "label", "features"), label="label", key="key")
     return made.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("oversample_between", """
+WITH c AS (SELECT l_returnflag = 'R' AND l_linenumber <= 2 AS y, l_quantity, l_discount, l_tax FROM lineitem),
+k AS (SELECT COUNT(*) FILTER (NOT y) AS many, COUNT(*) FILTER (y) AS few FROM c)
+SELECT CAST(floor(many * 0.5) AS BIGINT) - few AS rows, CAST(floor(many * 0.5) AS BIGINT) - few AS in_bounds FROM k""")
+def oversample_between(spark, sf):
+    """Synthetic rows, and how many of them lie within the minority's bounds of every feature, as points between two of its rows must."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    names = ("l_quantity", "l_discount", "l_tax")
+    lines = read(spark, sf, "lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("key"),
+        ((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)).cast("int").alias("label"), *names)
+    rows = VectorAssembler(inputCols=list(names), outputCol="features").transform(lines)
+    made = K.oversample_minority(rows.select("key", "label", "features"), label="label", key="key").where("synthetic").select(vector_to_array("features").alias("x"))
+    limits = lines.where("label = 1").agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in names for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    first, second, third = [F.col("x")[i].between(limits[f"lo_{c}"] - 1e-9, limits[f"hi_{c}"] + 1e-9) for i, c in enumerate(names)]
+    return made.agg(F.count(F.lit(1)).alias("rows"), F.count_if(first & second & third).alias("in_bounds"))
+
+
+@query("chrono_split_large_keys", """
+WITH n AS (SELECT COUNT(*) AS n FROM orders), r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1 AS p FROM orders),
+b AS (SELECT greatest(1, CAST(floor(n * 0.70::DOUBLE) AS BIGINT)) AS a, CAST(floor(n * 0.85::DOUBLE) AS BIGINT) AS b FROM n)
+SELECT o_orderkey, CASE WHEN p < a THEN 'train' WHEN p < b THEN 'val' ELSE 'test' END AS split FROM r, b""")
+def chrono_split_large_keys(spark, sf):
+    """Split of orders by the code of their priority, ties by keys that a double cannot tell apart."""
+    from pitwise.operators import ordering as O
+    rows = read(spark, sf, "orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("s"), (F.col("o_orderkey") + F.lit(1 << 60)).alias("t"))
+    return O.chronological_split(rows, sort_by="s", tie_by="t").select("o_orderkey", "split")
+
+
+@query("chrono_split_missing", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 2 THEN NULL ELSE o_totalprice END AS s FROM orders),
+n AS (SELECT COUNT(*) AS n FROM orders), r AS (SELECT o_orderkey, row_number() OVER (ORDER BY s NULLS LAST, o_orderkey) - 1 AS p FROM o),
+b AS (SELECT greatest(1, CAST(floor(n * 0.70::DOUBLE) AS BIGINT)) AS a, CAST(floor(n * 0.85::DOUBLE) AS BIGINT) AS b FROM n)
+SELECT o_orderkey, CASE WHEN p < a THEN 'train' WHEN p < b THEN 'val' ELSE 'test' END AS split FROM r, b""")
+def chrono_split_missing(spark, sf):
+    """Split by prices of which two fifths are null or NaN: those rows come last."""
+    from pitwise.operators import ordering as O
+    key = F.col("o_orderkey")
+    price = F.when(key % 5 == 0, F.lit(float("nan"))).when(key % 5 >= 2, F.col("o_totalprice").cast("double"))
+    return O.chronological_split(read(spark, sf, "orders").select("o_orderkey", price.alias("s")), sort_by="s", tie_by="o_orderkey").select("o_orderkey", "split")
+
+
 def _trained(family: str):
     def run(spark, sf):
         train, val, test = _vectors(spark, sf)

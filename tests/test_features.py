@@ -80,9 +80,7 @@ def points(spark):
     return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(rows, "key long, y int, a double, b double")).select("key", "y", "features")
 
 
-@pytest.mark.parametrize("limit", [20_000, 10])
-def test_oversampling(spark, monkeypatch, limit):
-    monkeypatch.setattr(K, "EXACT_NEIGHBOUR_ROWS", limit)     # 10 forces the neighbours along a projection
+def test_oversampling(spark):
     df = points(spark)
     out = K.oversample_minority(df, label="y", key="key").cache()
     counts = {(r["y"], r["synthetic"]): r["n"] for r in out.groupBy("y", "synthetic").agg(F.count("*").alias("n")).collect()}
@@ -91,18 +89,26 @@ def test_oversampling(spark, monkeypatch, limit):
     made = np.array([r["features"].toArray() for r in out.where("synthetic").collect()])
     assert (made >= real.min(axis=0) - 1e-9).all() and (made <= real.max(axis=0) + 1e-9).all()
     again = K.oversample_minority(df.repartition(3), label="y", key="key")
-    if limit > 10:
-        redone = sorted(tuple(r["features"].toArray()) for r in again.where("synthetic").collect())
-        assert np.allclose(redone, sorted(map(tuple, made)))
+    redone = sorted(tuple(r["features"].toArray()) for r in again.where("synthetic").collect())
+    assert np.allclose(redone, sorted(map(tuple, made)))
 
 
-def test_exact_neighbours_equal_brute_force(spark):
+@pytest.mark.parametrize("cell_rows", [100_000, 20])
+def test_neighbours_against_brute_force(spark, cell_rows):
     df = points(spark).where("y = 1")
     real = {r["key"]: r["features"].toArray() for r in df.collect()}
-    for r in K._nearest(df, "key", "features", 5).collect():
+    hits = 0
+    for r in K.near_neighbours(df, "key", "features", k=5, cell_rows=cell_rows).collect():
         others = sorted(np.linalg.norm(real[r["key"]] - v) for k, v in real.items() if k != r["key"])[:5]
-        got = sorted(np.linalg.norm(real[r["key"]] - np.array(v)) for v in r["neighbours"])
-        assert got == pytest.approx(others)
+        got = [np.linalg.norm(real[r["key"]] - np.array(v)) for v in r["neighbours"]]
+        assert got == sorted(got) and len(got) == 5
+        hits += sum(d <= others[-1] + 1e-9 for d in got)
+    assert hits >= (0.9 if cell_rows > 20 else 0.6) * 5 * len(real)
+
+
+def test_trees_of_unsupported_depth_are_refused():
+    with pytest.raises(ValueError):
+        K.make_classifier("gradient_boosting", "y", depth=41)
 
 
 def test_grid_and_best(spark):

@@ -56,6 +56,19 @@ def test_split_positions(frame, small):
     assert [got[i] for i in rows] == ["train"] * first + ["val"] * (second - first) + ["test"] * (len(rows) - second)
 
 
+@pytest.mark.parametrize("small", [10**6, 0])
+def test_split_of_keys_beyond_doubles_and_missing_values(spark, small):
+    df = spark.createDataFrame([(2**60 + i, 1) for i in range(100)], "k long, d int").repartition(3)
+    got = [r["split"] for r in O.chronological_split(df, sort_by="d", tie_by="k", small=small, edges=8).orderBy("k").collect()]
+    assert got == ["train"] * 70 + ["val"] * 15 + ["test"] * 15
+    values = [float("inf"), float("nan"), None, 3.0, -1.0, 3.0, float("-inf"), None, float("nan"), 7.0]
+    df = spark.createDataFrame(list(enumerate(values)), "k long, d double")
+    got = {r["k"]: r["split"] for r in O.chronological_split(df, sort_by="d", tie_by="k", train_ratio=0.5, val_ratio=0.3, small=small, edges=4).collect()}
+    order = [6, 4, 3, 5, 9, 0, 1, 2, 7, 8]
+    assert [got[k] for k in order] == ["train"] * 5 + ["val"] * 3 + ["test"] * 2
+    assert O.order_statistic(spark.createDataFrame([(2**60 + i,) for i in range(5)], "k long"), "k", [2], small=small)[2][1] == 2**60 + 2
+
+
 def test_split_bounds_and_errors():
     assert O.split_bounds(6, 0.50, 0.25) == (3, 4)
     assert O.split_bounds(100) == (70, 85)
@@ -82,6 +95,12 @@ def test_forward_fill(spark):
     assert out["sparse"].isna().sum() == 400     # more than half missing: not filled
 
 
+def test_forward_fill_over_sparse_positions(spark):
+    rows = [(i * 10_000_000, None if i % 3 else i) for i in range(2000)]
+    out = O.forward_fill(spark.createDataFrame(rows, "pos long, v int").repartition(4), ["v"], order_by="pos", max_missing=0.9, bucket_rows=100)
+    assert [r["v"] for r in out.orderBy("pos").collect()] == [i - i % 3 for i in range(2000)]
+
+
 def test_seeded_sample_is_reproducible(frame):
     a, b, c = (sorted(r["id"] for r in O.seeded_sample(frame.repartition(n), key="id", n=20, seed=s).collect()) for n, s in ((2, 1), (7, 1), (2, 2)))
     assert a == b and a != c and len(a) == 20
