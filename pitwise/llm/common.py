@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 #: A hash table of words is emptied at this many entries, so that a task's memory is bounded for any vocabulary.
-MAX_WORDS_CACHED = 500_000
+MAX_WORDS_CACHED = 100_000
+
+#: Rows of an Arrow batch that a task turns into Python objects at once.
+PIECE_ROWS = 256
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,10 +38,17 @@ class WordHashes(dict):
         return value
 
 
+def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(start, PIECE_ROWS)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply a function of Arrow batches to every partition."""
+    """Apply a function of small Arrow batches to every partition."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out

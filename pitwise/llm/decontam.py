@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import free_name, words_of
+from pitwise.llm.common import free_name, pieces, words_of
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
@@ -179,7 +179,7 @@ def _scan(docs: DataFrame, lot: list, window: int, again: bool) -> DataFrame:
 
     def run(batches):
         automaton = built.get("it") or built.setdefault("it", SuffixAutomaton(sent.value, window))
-        for batch in batches:
+        for batch in pieces(batches):
             columns = {c: [] for c in ("n_words", "hits", "items")}
             old_hits = batch.column("hits").to_pylist() if again else itertools.repeat(None)
             old_items = batch.column("items").to_pylist() if again else itertools.repeat(None)
@@ -239,7 +239,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = 10, min_span:
     names = [c for c in scanned.columns if c != "hits"]
 
     def cut(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             hits = batch.column("hits")
             texts = batch.column("text")
             if any(len(h) for h in hits):

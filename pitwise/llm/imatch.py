@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import map_batches, words_of
+from pitwise.llm.common import map_batches, pieces, words_of
 
 #: Shares of the lexicon that the subsets of a level keep, and subsets per level.
 LEVELS = (1 / 4, 1 / 16, 1 / 64, 1 / 256, 1 / 1024, 1 / 4096)
@@ -45,7 +45,7 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
             out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
             seen.clear()
             return out
-        for batch in batches:
+        for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
                 seen.update(set(words_of(text)))
                 if len(seen) > _FLUSH:

@@ -14,20 +14,16 @@ from pyspark.sql import functions as F
 
 from pitwise.session import materialize
 
-BUCKETS = 1 << 17       # hashed words of the classifier
-_UNIT = 1000            # word weights are kept in thousandths
-EVIDENCE = 400.0        # a longer document counts as this many of its average words
-SHRINKAGE = 20.0        # words that a bucket needs in a domain to count half as much as many words would
+LEXICON = 2000          # typical words that the classifier knows at most
+SHRINKAGE = 5.0         # documents with the word's overall share that are added to each domain
+DEVIATIONS = 6.0        # how far above its expected documents a word must be in a domain, which chance does not reach among all words
+LEAST_WEIGHT = 0.7      # words that are less than about twice as frequent in one domain as in another say little, and many of them too much
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[ \t-\r]+"), lambda w: w != "")
 
 
-def _buckets(words: Column, buckets: int) -> Column:
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-
-
 def _without_copies(labelled_texts: DataFrame) -> DataFrame:
     """Rows of (_labelled_id, domain, text) that share neither of two least hashes of three-word runs with a row of smaller id.
 
@@ -43,49 +39,54 @@ def _without_copies(labelled_texts: DataFrame) -> DataFrame:
     return words.where("_labelled_id = _first0 and _labelled_id = _first1").select("_labelled_id", "domain", "text")
 
 
-def word_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int) -> tuple[list[list[int]], list[float]]:
-    """For each domain the weights of all word buckets, in thousandths, and its log prior.
+def typical_words(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[list[tuple[str, list[float]]], list[float]]:
+    """(word, weight for each domain against the first) of at most LEXICON words, and each domain's score without any of them.
 
-    A weight is the logarithm of how much more often the domain has the bucket's words than all domains together, shrunk towards none:
-    (count + SHRINKAGE) / (expected count + SHRINKAGE). Rare words so say little whatever the sizes of the domains. ``labelled`` is
-    (doc_id, domain) of a bounded sample, which is broadcast; other domains are left out. A domain without documents has zeros. What
-    comes to the driver is one row for each bucket.
+    Naive Bayes over which of the words a document has: a weight is the log odds of the word in a domain less those in the first domain, the score
+    without words is the log prior and what the absence of all words says. Shares of documents are shrunk towards the word's
+    overall share. The words with the largest weight times documents are taken. ``labelled`` is (doc_id, domain) of a bounded sample, which is broadcast; other domains are left out, copies count once, and a domain without
+    documents has no words.
     """
     known = labelled.where(F.col("domain").isin(*domains))
     of = docs.join(F.broadcast(known.select(F.col("doc_id").alias("_labelled_id"), "domain")), F.col("doc_id") == F.col("_labelled_id"))
-    of = _without_copies(materialize(of.select("_labelled_id", "domain", "text")))
-    words = of.select("domain", F.explode(_buckets(_words(F.col("text")), buckets)).alias("bucket"))
-    table = words.groupBy("bucket").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(f"c{k}") for k, d in enumerate(domains)]).collect()
-    sizes = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
-    totals = [sum(row[k + 1] for row in table) for k in range(len(domains))]
-    weights = [[0] * buckets for _ in domains]
-    for row in table:
-        every = sum(row[1:])
-        for k, total in enumerate(totals):
-            expected = every * total / sum(totals)
-            weights[k][row[0]] = round(_UNIT * math.log((row[k + 1] + SHRINKAGE) / (expected + SHRINKAGE)))
-    everything = sum(sizes.values()) + len(domains)
-    return weights, [math.log((sizes.get(d, 0) + 1) / everything) for d in domains]
-
-
-def _constant(values: list[int]) -> Column:
-    """An array constant, folded once while the query is planned."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
-
-
-def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, evidence: float = EVIDENCE) -> DataFrame:
+    of = materialize(_without_copies(materialize(of.select("_labelled_id", "domain", "text"))))
+    sizes = {r.domain: r["count"] for r in of.groupBy("domain").count().collect()}
+    everything = sum(sizes.values())
+    priors = [math.log((sizes.get(d, 0) + 1) / (everything + len(domains))) for d in domains]
+    if not everything:
+        return [], priors
+    counts = of.select("domain", F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(
+        F.count("*").alias("n"), *[F.count_if(F.col("domain") == d).alias(f"c{k}") for k, d in enumerate(domains)])
+    expected = [F.col("n") * F.lit(sizes.get(d, 0) / everything) for d in domains]
+    above = F.greatest(*[(F.col(f"c{k}") - e) / F.sqrt(e + 1) for k, e in enumerate(expected)], F.lit(0.0))
+    share = [(F.col(f"c{k}") + SHRINKAGE * F.col("n") / everything) / F.lit(sizes.get(d, 0) + SHRINKAGE) for k, d in enumerate(domains)]
+    share = [F.least(p, F.lit(0.99)) for p in share]
+    weights = [F.log(p / (1 - p)) - F.log(share[0] / (1 - share[0])) for p in share]
+    absent = [F.log(1 - p) - F.log(1 - share[0]) for p in share]
+    weighed = counts.where(above >= DEVIATIONS).select("word", "n", *[w.alias(f"w{k}") for k, w in enumerate(weights)], *[a.alias(f"a{k}") for k, a in enumerate(absent)])
+    most = F.greatest(*[F.abs(f"w{k}") for k in range(len(domains))], F.lit(0.0))
+    rows = weighed.where(most >= LEAST_WEIGHT).orderBy((most * F.col("n")).desc(), "word").limit(LEXICON).collect()
+    scores = [p + sum(r[f"a{k}"] for r in rows) for k, p in enumerate(priors)]
+    return [(r.word, [r[f"w{k}"] for k in range(len(domains))]) for r in rows], scores
+
+
+def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame:
     """Documents with n_tokens and posterior (one probability per domain, in order).
 
-    Null and empty texts have no tokens and the prior as posterior.
+    A naive Bayes sum over the typical words that a document has and lacks. Null and empty texts are texts without such words.
     """
-    weights, priors = word_weights(docs, labelled, domains, buckets)
-    ids = docs.withColumn("_ids", _buckets(_words(F.col("text")), buckets))
-    n = F.size("_ids")
-    shrink = F.when(n > 0, F.least(n.cast("double"), F.lit(evidence)) / n / _UNIT).otherwise(F.lit(0.0))
+    words, priors = typical_words(docs, labelled, domains)
+    ids = docs.withColumn("_words", _words(F.col("text")))
+    n = F.size("_words")
+    known = F.split(F.lit(" ".join(w for w, _ in words)), " ")         # a constant of the plan; words hold no spaces
+    places = F.transform(F.array_intersect("_words", known), lambda w: F.array_position(known, w).cast("int") - 1)
+    ids = ids.withColumn("_places", places if words else F.array().cast("array<int>"))
 
     def score(k: int) -> Column:
-        table = _constant(weights[k])
-        return F.lit(priors[k]) + shrink * F.aggregate("_ids", F.lit(0).cast("long"), lambda a, i: a + F.get(table, i))
+        if not k or not words:
+            return F.lit(priors[k])         # the weights of the others are against this domain
+        table = F.split(F.lit(",".join(f"{w[k]:.4f}" for _, w in words)), ",").cast("array<double>")
+        return F.lit(priors[k]) + F.aggregate("_places", F.lit(0.0), lambda a, i: a + F.get(table, i))
 
     scores = F.array(*[score(k) for k in range(len(domains))])
     scored = ids.select(*docs.columns, n.cast("long").alias("n_tokens"), scores.alias("_scores"))

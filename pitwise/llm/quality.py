@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import MAX_WORDS_CACHED, map_batches
+from pitwise.llm.common import MAX_WORDS_CACHED, map_batches, pieces
 from pitwise.session import materialize
 
 BUCKETS = 8192          # hashed words
@@ -76,7 +76,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
             if held:
                 add_contexts(np.concatenate([np.zeros(REACH, np.int64), *held]), places, signs, total)
                 held.clear()
-        for batch in batches:
+        for batch in pieces(batches):
             for raw in batch.column(0).to_pylist():
                 ids = tokens(raw, buckets)
                 for i in range(0, len(ids), _CHUNK):        # a very long text is cut, with the neighbours of the cut on both sides lost

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import WordHashes, map_batches, words_of
+from pitwise.llm.common import map_batches, pieces, words_of, WordHashes
 from pitwise.llm.minhash import shingle_hashes, signature
 from pitwise.session import materialize
 
@@ -76,7 +76,7 @@ def term_counts(labelled: DataFrame) -> DataFrame:
             out = pa.RecordBatch.from_arrays([pa.array([t for t, _ in seen], pa.binary()), pa.array([y for _, y in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["term", "label", "n"])
             seen.clear()
             return out
-        for batch in batches:
+        for batch in pieces(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen.update((t, label) for t in terms_of(text))
                 if len(seen) > _FLUSH:
