@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwise.llm.common import WordHashes, map_batches
-from pitwise.llm.components import connected_components
+from pitwise.llm.components import connected_components, gathered
 from pitwise.session import materialize
 
 _CHUNK = 1024       # shingles whose coordinates are computed at once
@@ -155,10 +155,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text")).join(members.select("id").distinct(), "id", "left_semi")
     full = materialize(_full_sets(texts, shingle))
     first = members.where("id > leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
-    links = materialize(_confirmed(first, full, percent))
-    known = materialize(connected_components(links))
-    links = links.unionByName(_confirmed(cross_pairs(members, known, full, percent), full, percent))
-    labels = connected_components(links)
+    links = gathered(_confirmed(first, full, percent))
+    known = connected_components(links)
+    labels = connected_components(gathered(links.unionByName(_confirmed(cross_pairs(members, known, full, percent), full, percent))))
     of_set = nodes.select("set_a", "set_b", "id").join(labels, nodes["id"] == labels["node"], "left").select("set_a", "set_b", F.coalesce("component", "id").alias("least"))
     joined = sets.drop("bands").join(of_set, ["set_a", "set_b"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id"))

@@ -95,22 +95,30 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str])
     return powers.select(*docs.columns, "n_tokens", F.transform("_scores", lambda s: s / total).alias("posterior"))
 
 
-def _rate(history: list[list[float]], start: float, posterior: Column) -> Column:
-    """The rate after the steps so far: each takes off what its vector says for the posterior, and stops at zero."""
+def _rate(history: list[tuple[list[float], float]], start: float, posterior: Column) -> tuple[Column, Column]:
+    """The rate after the steps so far, and the point ahead of it from which the next step sets out.
+
+    A step takes off what its vector says for the posterior and stops at zero; the point ahead goes on in the same direction by the step's momentum.
+    """
     if not history:
-        return F.lit(start)
-    width = len(history[0])
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in history])
-    moved = lambda r, e: r - sum((posterior[k] * e[k] for k in range(1, width)), posterior[0] * e[0])
-    return F.aggregate(steps, F.lit(float(start)), lambda r, e: F.greatest(F.lit(0.0), moved(r, e)))
+        return F.lit(float(start)), F.lit(float(start))
+    width = len(history[0][0])
+    steps = F.array(*[F.array(*[F.lit(float(x)) for x in (*vector, momentum)]) for vector, momentum in history])
+
+    def step(state: Column, e: Column) -> Column:
+        moved = F.greatest(F.lit(0.0), state["ahead"] - sum((posterior[k] * e[k] for k in range(1, width)), posterior[0] * e[0]))
+        return F.struct(moved.alias("rate"), (moved + e[width] * (moved - state["rate"])).alias("ahead"))
+    begin = F.struct(F.lit(float(start)).alias("rate"), F.lit(float(start)).alias("ahead"))
+    return F.aggregate(steps, begin, step, lambda x: x["rate"]), F.aggregate(steps, begin, step, lambda x: x["ahead"])
 
 
-def fit_rates(table: DataFrame, weights: list[float], budget: float | None = None, tolerance: float = 1e-6, max_steps: int = 40) -> tuple[list[list[float]], float]:
+def fit_rates(table: DataFrame, weights: list[float], budget: float | None = None, tolerance: float = 1e-5, max_steps: int = 60) -> tuple[list[tuple[list[float], float]], float]:
     """Steps and start of the rates that match ``weights`` x ``budget`` tokens (default: all tokens there are) for (n_tokens, posterior).
 
-    The squared misses of the domains are weighted by the inverse of the diagonal of the Gram matrix of token-weighted posteriors, and a
-    step is one over a bound of its largest eigenvalue, so that every step lowers the loss. The fit ends when all misses are
-    below ``tolerance`` of the budget or after ``max_steps``. Targets that no nonnegative rates reach get the least-squares answer.
+    Accelerated projected gradient: the squared misses of the domains are weighted by the inverse of the diagonal of the Gram matrix of
+    token-weighted posteriors, a step is one over a bound of its largest eigenvalue, and momentum starts anew when the loss has grown. The fit
+    ends when all misses are below ``tolerance`` of the budget or after ``max_steps``. Targets that no nonnegative rates reach get the
+    least-squares answer. Each step is one aggregation to two numbers per domain.
     """
     width = len(weights)
     p = [F.col("posterior")[k] for k in range(width)]
@@ -125,14 +133,24 @@ def fit_rates(table: DataFrame, weights: list[float], budget: float | None = Non
     targets = [w / sum(weights) * budget for w in weights]
     inverse = [1 / gram[k, k] if gram[k, k] > 0 else 0.0 for k in range(width)]
     bound = max(sum(gram[i, j] * math.sqrt(inverse[i] * inverse[j]) for j in range(width)) for i in range(width))
-    history, start = [], budget / tokens
+    history, start, pace, last = [], budget / tokens, 1.0, math.inf
     for _ in range(max_steps):
-        rate = _rate(history, start, F.col("posterior"))
-        now = table.withColumn("_rate", rate).agg(*[F.sum(n * F.col("_rate") * p[k]).alias(f"s{k}") for k in range(width)]).first()
-        miss = [now[f"s{k}"] - targets[k] for k in range(width)]
+        rate, ahead = _rate(history, start, F.col("posterior"))
+        sums = [F.sum(n * F.col(c) * p[k]).alias(f"{c}{k}") for c in ("_r", "_a") for k in range(width)]
+        now = table.withColumns({"_r": rate, "_a": ahead}).agg(*sums).first()
+        miss = [now[f"_r{k}"] - targets[k] for k in range(width)]
         if max(map(abs, miss)) <= tolerance * budget:
             break
-        history.append([inverse[k] * miss[k] / bound for k in range(width)])
+        loss = sum(w * m * m for w, m in zip(inverse, miss))
+        if loss > last and history:         # the step that comes sets out from the rate itself, without momentum
+            history[-1], pace = (history[-1][0], 0.0), 1.0
+            origin = miss
+        else:
+            origin = [now[f"_a{k}"] - targets[k] for k in range(width)]
+        last = loss
+        after = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        history.append(([inverse[k] * origin[k] / bound for k in range(width)], (pace - 1) / after))
+        pace = after
     return history, start
 
 
@@ -149,4 +167,4 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     scored = domain_posteriors(docs, labelled, domains)
     history, start = fit_rates(materialize(scored.select("n_tokens", "posterior")), [weights[d] for d in domains], budget)
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return scored.withColumn("rate", _rate(history, start, F.col("posterior"))).withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    return scored.withColumn("rate", _rate(history, start, F.col("posterior"))[0]).withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

@@ -96,17 +96,17 @@ h AS (SELECT host, array_to_string(list_reverse(list_reverse(string_split(host,
 e AS (SELECT (sum(y) + 0.5) / (sum(n) + 1.0) AS m FROM h),
 s0 AS (SELECT suffix, sum(n) AS n, sum(y) AS y, (SELECT m FROM e) AS m FROM h GROUP BY suffix),
 s1 AS (SELECT least(greatest(coalesce(sum(n * pow(y / n::DOUBLE - m, 2) - m * (1 - m)) / nullif(sum((n - 1) * m * (1 - m)), 0), 0), 0.001), 0.999) AS rho FROM s0 WHERE n > 0),
-s AS (SELECT suffix, (y + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS m FROM s0, s1),
-d0 AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y, any_value(s.m) AS m FROM h JOIN s USING (suffix) GROUP BY domain, suffix),
+s AS (SELECT suffix, m, m * (1 - m) / (n + k + 1) AS v FROM (SELECT suffix, n, (1 - rho) / rho AS k, (y + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS m FROM s0, s1)),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y, any_value(s.m) AS m, any_value(s.v) AS v FROM h JOIN s USING (suffix) GROUP BY domain, suffix),
 d1 AS (SELECT least(greatest(coalesce(sum(n * pow(y / n::DOUBLE - m, 2) - m * (1 - m)) / nullif(sum((n - 1) * m * (1 - m)), 0), 0), 0.001), 0.999) AS rho FROM d0 WHERE n > 0),
-d AS (SELECT domain, suffix, (y + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS m FROM d0, d1),
-h0 AS (SELECT host, n, y, d.m FROM h JOIN d USING (domain, suffix)),
+d AS (SELECT domain, suffix, m, m * (1 - m) / (n + k + 1) + pow(k / (n + k), 2) * v AS v FROM (SELECT domain, suffix, n, v, (1 - rho) / rho AS k, (y + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS m FROM d0, d1)),
+h0 AS (SELECT host, n, y, d.m, d.v FROM h JOIN d USING (domain, suffix)),
 h1 AS (SELECT least(greatest(coalesce(sum(n * pow(y / n::DOUBLE - m, 2) - m * (1 - m)) / nullif(sum((n - 1) * m * (1 - m)), 0), 0), 0.001), 0.999) AS rho FROM h0 WHERE n > 0),
-r AS (SELECT host, (1 - rho) / rho AS k, n, (y + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS g FROM h0, h1),
+r AS (SELECT host, g, g * (1 - g) / (n + k + 1) + pow(k / (n + k), 2) * v AS v FROM (SELECT host, (1 - rho) / rho AS k, n, v, (y + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS g FROM h0, h1)),
 ruled AS (SELECT page_id, host, path, CASE WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
-SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN g + 1.645 * sqrt(g * (1 - g) / (n + k + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN g + 1.645 * sqrt(v) < 0.5 THEN 'block' ELSE 'allow' END AS verdict,
   round(g, 9) AS good_rate
 FROM ruled JOIN r USING (host)""")
 def op6_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,7 +148,7 @@ def training_strings(docs: DataFrame, max_documents: int) -> tuple[list[bytes],
                 kinds.append(True)
                 values.append(value.encode())
             if not spans:
-                runs = _RUN.findall(raw)
+                runs = [r for r in _RUN.findall(raw) if len(r) < 16]        # longer ones are what the models will have to judge
                 kept = runs[::max(1, len(runs) // 40)][:41]
                 kinds += [False] * len(kept)
                 values += kept

@@ -55,8 +55,8 @@ def domain_and_suffix(host: Column) -> tuple[Column, Column]:
     return F.when(long, last(3)).otherwise(last(2)), F.when(long, last(2)).otherwise(last(1))
 
 
-def _shrunk(groups: DataFrame, prior: Column, key: str, mean: str) -> DataFrame:
-    """Adds the posterior mean of each group (n, y) under its prior mean, and the strength of the prior that all groups share.
+def _shrunk(groups: DataFrame, prior: Column, unsure: Column, mean: str) -> DataFrame:
+    """Adds the posterior mean of each group (n, y) under its prior mean, and its variance, of which the prior's own is a part.
 
     With m the prior mean, n (y/n - m)^2 is m (1 - m) (1 + (n - 1) rho) on average, which gives rho, the correlation within a group;
     the strength is (1 - rho) / rho pages.
@@ -66,7 +66,9 @@ def _shrunk(groups: DataFrame, prior: Column, key: str, mean: str) -> DataFrame:
     rho = with_prior.where("n > 0").agg((F.sum(F.col("n") * F.pow(F.col("y") / F.col("n") - F.col("prior"), 2) - spread) / F.sum((F.col("n") - 1) * spread)).alias("rho"))
     rho = rho.select(F.least(F.greatest(F.coalesce(F.col("rho"), F.lit(0.0)), F.lit(0.001)), F.lit(0.999)).alias("rho"))
     strength = ((1 - F.col("rho")) / F.col("rho")).alias("strength")
-    return with_prior.withColumn("strength", rho.select(strength).scalar()).withColumn(mean, (F.col("y") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength")))
+    fitted = with_prior.withColumn("strength", rho.select(strength).scalar()).withColumn(mean, (F.col("y") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength")))
+    on_prior = F.col("strength") / (F.col("n") + F.col("strength"))
+    return fitted.withColumn(f"{mean}_variance", F.col(mean) * (1 - F.col(mean)) / (F.col("n") + F.col("strength") + 1) + on_prior * on_prior * unsure)
 
 
 def host_reputation(hosts: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
@@ -78,15 +80,15 @@ def host_reputation(hosts: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
     """
     counts = outcomes.where("host is not null and good is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("good").cast("long")).alias("y"))
     domain, suffix = domain_and_suffix(F.col("host"))
-    base = hosts.where("host is not null").select("host").distinct().join(counts, "host", "left")
-    base = materialize(base.select("host", domain.alias("domain"), suffix.alias("suffix"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("y", F.lit(0)).alias("y")))
+    every = hosts.select("host").unionByName(counts.select("host")).where("host is not null").distinct().join(counts, "host", "left")
+    base = materialize(every.select("host", domain.alias("domain"), suffix.alias("suffix"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("y", F.lit(0)).alias("y")))
     everywhere = base.agg(((F.sum("y") + 0.5) / (F.sum("n") + 1.0)).alias("m"))
     totals = [F.sum("n").alias("n"), F.sum("y").alias("y")]
-    suffixes = _shrunk(base.groupBy("suffix").agg(*totals), F.coalesce(everywhere.scalar(), F.lit(0.5)), "suffix", "of_suffix").select("suffix", "of_suffix")
+    suffixes = _shrunk(base.groupBy("suffix").agg(*totals), F.coalesce(everywhere.scalar(), F.lit(0.5)), F.lit(0.0), "of_suffix").select("suffix", "of_suffix", "of_suffix_variance")
     domains = base.groupBy("domain", "suffix").agg(*totals).join(suffixes, "suffix")
-    domains = _shrunk(domains, F.col("of_suffix"), "domain", "of_domain").select("domain", "suffix", "of_domain")
-    shrunk = _shrunk(base.join(domains, ["domain", "suffix"]), F.col("of_domain"), "host", "good_rate")
-    deviation = F.sqrt(F.col("good_rate") * (1 - F.col("good_rate")) / (F.col("n") + F.col("strength") + 1))
+    domains = _shrunk(domains, F.col("of_suffix"), F.col("of_suffix_variance"), "of_domain").select("domain", "suffix", "of_domain", "of_domain_variance")
+    shrunk = _shrunk(base.join(domains, ["domain", "suffix"]), F.col("of_domain"), F.col("of_domain_variance"), "good_rate")
+    deviation = F.sqrt("good_rate_variance")
     return shrunk.select("host", "n", "y", "good_rate", (F.col("good_rate") - z * deviation).alias("low"), (F.col("good_rate") + z * deviation).alias("high"))
 
 
