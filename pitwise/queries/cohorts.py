@@ -41,7 +41,7 @@ def audited_orders(spark, sf):
         F.to_date(F.trunc("o_orderdate", "month")).alias("month"))
     regions = read(spark, sf, "region")
     in_scope = regions.agg(F.slice(F.sort_array(F.collect_set("r_name")), 1, 2)).scalar()     # names of a five-row dimension
-    nations = lookup(read(spark, sf, "nation").where("n_nationkey <> 7"), regions, on={"n_regionkey": "r_regionkey"}, take={"r_name": "region"})
+    nations = lookup(read(spark, sf, "nation").withColumn("n_nationkey", F.when(F.col("n_nationkey") == 7, F.lit(-7)).otherwise(F.col("n_nationkey"))), regions, on={"n_regionkey": "r_regionkey"}, take={"r_name": "region"})
     homes = lookup(read(spark, sf, "customer"), nations, on={"c_nationkey": "n_nationkey"}, take={"region": "region", "n_name": "nation"})
     joined = lookup(orders, homes, on={"o_custkey": "c_custkey"}, take={"region": "region", "nation": "nation"})
     rules = C.window_rules("day", START, END, missing="missing_date", before="before_window", after="after_window") + [

@@ -46,7 +46,7 @@ def scaled_features(spark, sf):
     return out.select("o_orderkey", "split", *[(F.round(F.col(n), 4) + 0.0).alias(n) for n in fitted.feature_names])
 
 
-@query("one_hot_features", f"""WITH {SPLIT}, train AS (SELECT * FROM split WHERE split = 'train' AND o_orderpriority <> '2-HIGH'),
+@query("one_hot_features", f"""WITH {SPLIT}, train AS (SELECT CASE WHEN priority <> '2-HIGH' THEN priority END AS priority FROM split WHERE split = 'train'),
 c AS (SELECT priority FROM train WHERE priority IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, priority LIMIT 1),
 f AS (SELECT o_orderkey, split, COALESCE(split.priority, c.priority) AS p FROM split, c)
 SELECT o_orderkey, split, CAST(p = '1-URGENT' AS DOUBLE) AS "categorical__priority_1-URGENT", CAST(p = '3-MEDIUM' AS DOUBLE) AS "categorical__priority_3-MEDIUM",
@@ -54,8 +54,7 @@ SELECT o_orderkey, split, CAST(p = '1-URGENT' AS DOUBLE) AS "categorical__priori
 def one_hot_features(spark, sf):
     """Mode filling and one-hot columns; a category absent from train becomes all zeros."""
     parts = _split(spark, sf)
-    train = parts.where("split = 'train' and coalesce(priority, '') <> '2-HIGH'").join(
-        read(spark, sf, "orders").where("o_orderpriority <> '2-HIGH'").select("o_orderkey"), "o_orderkey", "left_semi")
+    train = parts.where("split = 'train'").withColumn("priority", F.when(F.col("priority") != "2-HIGH", F.col("priority")))
     fitted = M.fit_preprocessor(train, target="o_orderstatus", columns=["priority"])
     return fitted.transform(parts, keep=["o_orderkey", "split"])
 

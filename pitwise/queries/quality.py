@@ -153,11 +153,11 @@ def uniqueness_checks(spark, sf):
 
 @query("child_parent_date_check", """
 SELECT COUNT(*) FILTER (d IS NOT NULL AND o_orderdate IS NOT NULL) AS applicable_rows, COUNT(*) FILTER (d IS NOT NULL AND o_orderdate IS NOT NULL AND d <> CAST(o_orderdate AS DATE)) AS failed_rows
-FROM (SELECT l_orderkey, CASE WHEN l_partkey % 10 <> 0 THEN CAST(l_shipdate AS DATE) END AS d FROM lineitem) LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderkey % 5 <> 0""")
+FROM (SELECT l_orderkey, CASE WHEN l_partkey % 10 <> 0 THEN CAST(l_shipdate AS DATE) END AS d FROM lineitem) LEFT JOIN orders ON l_orderkey = CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END""")
 def child_parent_date_check(spark, sf):
-    """Shipments whose date differs from the order date, where both are known."""
+    """Shipments whose date differs from the order date, where both are known; a fifth of the order keys is changed."""
     child = read(spark, sf, "lineitem").select("l_orderkey", F.when(F.col("l_partkey") % 10 != 0, F.to_date("l_shipdate")).alias("d"))
-    parent = read(spark, sf, "orders").where("o_orderkey % 5 <> 0").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    parent = read(spark, sf, "orders").select(F.expr("CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END").alias("o_orderkey"), F.to_date("o_orderdate").alias("day"))
     return parent_consistency(child, parent, on={"l_orderkey": "o_orderkey"}, child_col="d", parent_col="day")
 
 
