@@ -14,10 +14,16 @@ from pitwise.operators.features import frequency_encode, usable_columns
 from pitwise.operators.ordering import chronological_split
 from pitwise.session import materialize
 
-# Columns that identify a row or reveal the outcome.
+# Columns that identify a row, date it or reveal the outcome.
 LEAKING = (
     "transfer_key", "player_id", "player_full_name", "player_name", "source_club_id", "destination_club_id", "source_club_name", "destination_club_name",
-    "source_club_dataset_name", "destination_club_dataset_name", "follow_up_window_end", "player_current_market_value", "highest_market_value_in_eur")
+    "source_club_dataset_name", "destination_club_dataset_name", "follow_up_window_end", "pre_transfer_market_value_date", "market_value_180d_prior_date",
+    "market_value_365d_prior_date", "target_end_market_value_date", "target_failure_reason", "target_is_eligible", "exclusion_reason", "date_of_birth",
+    "source_country_name", "destination_country_name", "pre_transfer_market_value_club_id", "pre_transfer_market_value_league_id", "valuation_cutoff_180d",
+    "valuation_cutoff_365d", "player_window_start_180d", "player_window_end_180d", "player_window_start_365d", "player_window_end_365d",
+    "source_api_cache_file", "destination_api_cache_file", "player_current_market_value", "highest_market_value_in_eur", "transfer_season",
+    "source_competition_name", "destination_competition_name", "target_destination_matches_24m", "target_destination_minutes_24m",
+    "target_destination_goals_24m", "target_destination_assists_24m", "target_end_market_value", "target_market_value_delta_24m")
 
 
 def train_and_score(df: DataFrame, *, target: str, sort_by: str, tie_by: str, excluded: Sequence[str] = LEAKING, min_nonnull: float = 0.8,

@@ -33,3 +33,19 @@ def test_train_and_score(spark):
     scores = {r["model"]: r.asDict() for r in out["test_results"].collect()}
     assert set(scores) == {"logistic_regression", "decision_tree", "majority"} and scores["majority"]["f1_score"] == 0.0
     assert scores["logistic_regression"]["f1_score"] > 0.6 and sum(scores["majority"][k] for k in ("tp", "fp", "fn", "tn")) == 90
+
+
+def test_prepare_features_keeps_ids_names_and_dates_out(spark, tmp_path):
+    from pitwise.operators.features import Preprocessor
+    from pitwise.plans.features import EXCLUDED, prepare_features
+    from pitwise.plans.modelling import LEAKING
+    rows = [(f"t{i}", f"2020-{1 + i % 12:02d}-{1 + i % 28:02d}", i, f"name {i}", f"club {i % 7}", float(i % 13), "left" if i % 3 else "right", "why", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "transfer_key string, transfer_date string, player_id int, player_name string, source_club_name string, fee double, foot string, target_failure_reason string, target_success int")
+    from pyspark.sql import functions as F
+    df = df.withColumn("transfer_date", F.to_date("transfer_date")).withColumn("order_key", F.substring("transfer_key", 2, 9).cast("long"))
+    out = prepare_features(df, str(tmp_path), tie_by="order_key")
+    assert set(out["preprocessor"].feature_columns) == {"fee", "foot"}
+    assert {"exclusion_reason", "source_competition_name", "destination_country_name", "transfer_season", "source_api_cache_file", *EXCLUDED[:-2]} <= set(LEAKING)
+    sizes = {n: spark.read.parquet(out["paths"][n]).count() for n in ("train", "val", "test", "features_train", "features_val", "features_test")}
+    assert sizes == {"train": 42, "val": 9, "test": 9, "features_train": 42, "features_val": 9, "features_test": 9}
+    assert Preprocessor.load(out["paths"]["preprocessor"]).feature_columns == out["preprocessor"].feature_columns
