@@ -167,4 +167,8 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     scored = domain_posteriors(docs, labelled, domains)
     history, start = fit_rates(materialize(scored.select("n_tokens", "posterior")), [weights[d] for d in domains], budget)
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return scored.withColumn("rate", _rate(history, start, F.col("posterior"))[0]).withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    copies = lambda r: (F.floor(r) + (draw < r - F.floor(r)).cast("long")).cast("long")
+    # one nested expression, in which each part is bound once: as separate columns they would be computed anew wherever they are used
+    counted = lambda p: F.transform(F.array(_rate(history, start, p)[0]), lambda r: F.struct(p.alias("posterior"), r.alias("rate"), copies(r).alias("copies")))
+    whole = F.get(F.flatten(F.transform(F.array(F.col("posterior")), counted)), F.lit(0))
+    return scored.withColumn("_mixed", whole).select(*docs.columns, "n_tokens", "_mixed.posterior", "_mixed.rate", "_mixed.copies")
