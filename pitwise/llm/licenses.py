@@ -57,8 +57,11 @@ def prepared(templates: tuple[tuple[str, str], ...]) -> list[Template]:
     return [Template(name, frozenset(bigrams(words_of(text.encode())))) for name, text in templates]
 
 
-def matches(raw: bytes, templates: list[Template], every: frozenset, threshold: float) -> list[tuple[str, str, int, float]]:
-    """(licence, unit, position, Dice) of every unit and licence that reach the threshold; units are counted from 0."""
+def matches(raw: bytes, templates: list[Template], every: frozenset, threshold: float, best: bool = False) -> list[tuple[str, str, int, float]]:
+    """(licence, unit, position, Dice) of every unit and licence that reach the threshold; units are counted from 0.
+
+    With ``best`` a unit keeps the licences of its highest Dice only, all of them on a tie.
+    """
     shared = bigrams(words_of(raw)) & every
     if not shared:
         return []
@@ -76,13 +79,19 @@ def matches(raw: bytes, templates: list[Template], every: frozenset, threshold:
                 dice = 2 * len(grams & t.bigrams) / (a + b)
                 if dice >= threshold:
                     found[t.license, unit, position] = max(dice, found.get((t.license, unit, position), 0.0))
+    if best:
+        highest: dict[tuple[str, int], float] = {}
+        for (_, *unit), dice in found.items():
+            highest[tuple(unit)] = max(dice, highest.get(tuple(unit), 0.0))
+        found = {k: v for k, v in found.items() if v >= highest[k[1:]] - 1e-12}
     return [(*k, v) for k, v in found.items()]
 
 
-def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, best: bool = False) -> DataFrame:
     """Documents with licenses: an array of (license, unit, position, dice); the name must be free.
 
-    Text is normalised to lower-case words. Null and empty texts, and units of fewer than two words, match nothing. Each row is judged by itself.
+    All licences that reach the threshold in a unit are given, with ``best`` those of the unit's highest Dice only: notices of two licences can
+    differ in one word and then both reach it. Text is normalised to lower-case words. Null and empty texts, and units of fewer than two words, match nothing. Each row is judged by itself.
     """
     if "licenses" in {c.lower() for c in docs.columns}:
         raise ValueError("documents already have licenses")
@@ -93,15 +102,15 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     kind = pa.list_(pa.struct([("license", pa.string()), ("unit", pa.string()), ("position", pa.int32()), ("dice", pa.float64())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [[dict(zip(("license", "unit", "position", "dice"), m)) for m in matches(raw, known, every, threshold)] if raw else [] for raw in batch.column(at).cast(pa.binary()).to_pylist()]
+        found = [[dict(zip(("license", "unit", "position", "dice"), m)) for m in matches(raw, known, every, threshold, best)] if raw else [] for raw in batch.column(at).cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*columns, "licenses"])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return map_batches(docs, run, f"{fields}, licenses array<struct<license string, unit string, position int, dice double>>")
 
 
-def license_report(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def license_report(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, best: bool = False) -> DataFrame:
     """One row per document: doc_id, n_matches (licence and unit), licenses (distinct, sorted, comma-joined), best_dice (null without a match)."""
-    found = find_licenses(docs.select("doc_id", "text"), templates, threshold)
+    found = find_licenses(docs.select("doc_id", "text"), templates, threshold, best)
     names = F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda m: m["license"]))), ",")
     return found.select("doc_id", F.size("licenses").cast("long").alias("n_matches"), names.alias("licenses"), F.array_max(F.transform("licenses", lambda m: m["dice"])).alias("best_dice"))
 

@@ -346,6 +346,19 @@ def test_licenses_equal_brute_force(spark):
     assert got == {i: brute(t) for i, t in texts} and got[2][0] == "MIT" and got[6][1] == 1.0
 
 
+def test_best_licenses_of_a_unit(spark):
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    cc = "This work is licensed under a Creative Commons Attribution 4.0 International License"
+    texts = [(1, gpl), (2, cc), (3, f"{gpl}\n\n{cc}"), (4, "Licensed under the License"), (5, None)]
+    got = {r.doc_id: r.licenses for r in licenses.license_report(frame(spark, texts), best=True).collect()}
+    assert got[1] == "GPL-3.0" and got[2] == "CC-BY-4.0" and got[3] == "CC-BY-4.0,GPL-3.0" and got[5] == ""
+    every = {r.doc_id: r.licenses for r in licenses.license_report(frame(spark, texts)).collect()}
+    assert every[1] == "GPL-2.0,GPL-3.0"            # what the SQL of the query asks for
+    tied = (("A", "one two three four"), ("B", "one two three five"))
+    both = licenses.find_licenses(frame(spark, [(1, "one two three")]), tied, best=True).first().licenses
+    assert {m.license for m in both} == {"A", "B"}
+
+
 def brute_spans(text):
     found = []
     for m in re.finditer(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
