@@ -1,7 +1,8 @@
-"""Toxicity by compression distance: windows are compressed with a dictionary of toxic and one of ordinary text.
+"""Toxicity by compression distance: windows are compressed with a dictionary of ordinary text, with and without toxic terms.
 
 Both zstandard dictionaries begin with the same content, trained on windows of ordinary labelled documents, so that ordinary prose costs alike; the
-toxic one goes on with the terms (words and beginnings of words) that labelled toxic documents have significantly more often. A window's
+toxic one goes on with the terms (words and beginnings of words) that labelled toxic documents have significantly more often. No dictionary is
+trained on toxic windows: they are mostly ordinary prose, which then saves bytes too (figures in the README). A window's
 gain is what the toxic dictionary saves. A document's score is a logistic function of how many of its windows reach each gain, fitted on other
 labelled documents, so the thresholds are calibrated. Training uses a bounded sample of labelled documents.
 """
@@ -27,6 +28,7 @@ LEVEL = 12              # zstandard level: lower ones miss short matches
 SHARED = 15_000         # bytes of the content that both dictionaries share
 OWN = 12_000            # bytes of typical terms at most
 GAINS = 12              # gains of this many bytes and more count alike
+LEAST_RATIO = 25.0      # likelihood ratio of a typical term at least: chance alone reaches it once in 1.7 million terms
 _PIECE = (5, 6)         # bytes of the beginnings of words that count as terms
 _FLUSH = 200_000
 
@@ -116,11 +118,11 @@ def without_copies(sample: DataFrame) -> DataFrame:
 def typical_terms(labelled: DataFrame, toxic: int, other: int) -> list[bytes]:
     """Terms typical of toxic documents, the most typical first, OWN bytes of five at most.
 
-    A term must be four times as frequent in toxic documents, and its likelihood ratio must be 0.03 for each toxic document and 25 at least, which is
-    beyond chance for the number of terms that are looked at.
+    A term must be in three toxic documents, be four times as frequent in toxic documents, and have a likelihood ratio of LEAST_RATIO, which is the
+    same for samples of any size: what a few documents show beyond chance is not thrown away because there are more of them.
     """
     counts = term_counts(labelled).where((F.col("a") >= 3) & (F.col("a") / toxic > 4 * (F.col("b") + 0.5) / other))
-    found = counts.select("term", _likelihood_ratio(toxic, other).alias("g")).where(F.col("g") >= max(25.0, 0.03 * toxic)).orderBy(F.desc("g"), "term").limit(OWN // 5)
+    found = counts.select("term", _likelihood_ratio(toxic, other).alias("g")).where(F.col("g") >= LEAST_RATIO).orderBy(F.desc("g"), "term").limit(OWN // 5)
     kept: list[bytes] = []
     for term in (bytes(r.term) for r in found.collect()):
         if not any(term in other_term for other_term in kept):        # a beginning whose word is there already adds nothing

@@ -309,6 +309,13 @@ def test_toxicity_scores_held_out_texts(spark):
     assert {r.score for r in none} == {0.5} and toxicity.toxicity_scores(docs.limit(0), labelled).count() == 0
 
 
+def test_rare_toxic_terms_count_in_large_samples(spark):
+    rows = spark.createDataFrame([("zwackel common", 1)] * 12 + [("common", 0)] * 80, "text string, label int")
+    for toxic, other in ((40, 260), (4_000, 26_000)):           # the documents beyond the rows have no terms
+        assert b" zwackel " in toxicity.typical_terms(rows, toxic, other)
+        assert b" common " not in toxicity.typical_terms(rows, toxic, other)
+
+
 def test_quality_scores_held_out_texts(spark):
     rng = random.Random(6)
     good = lambda: " ".join(words(rng, 60, 200))
