@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pitwise.operators.ordering import order_statistic, ranged
+from pitwise.operators.ordering import order_statistic
 from pitwise.session import materialize
 
 SEED = 42
@@ -114,44 +115,137 @@ def score_best(results: DataFrame, models: Mapping, test: DataFrame, label: str)
 
 # -- minority oversampling ---------------------------------------------------------------------
 
-PROJECTIONS = 12         # seeded random lines on which neighbours are looked for
-REACH = 6                # rows on either side that are met on each line
-CELL_ROWS = 100_000      # rows of a range of a line, which one window task holds
-
-
-def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, seed: int = SEED, projections: int = PROJECTIONS, reach: int = REACH,
-                    cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``(key, x, neighbours array<array<double>>)``: the ``k`` nearest of the rows met along several random lines, nearest first.
-
-    Rows are ordered along each line within ranges of about equal depth, so a window task holds one range only, and each row meets ``reach``
-    others on either side. Distances to all rows met are exact. The method is the same for any number of rows, nothing passes through the
-    driver but the range edges, and a key meets at most ``2 * reach * projections`` others.
+CELL_ROWS = 4_000        # rows of a cell about, all of which one task holds
+SAMPLE_ROWS = 20_000     # rows that the cuts between cells are taken from
+SLICE_ROWS = 512         # rows that a cell is held against at once
+
+
+def _cuts(sample: np.ndarray, depth: int) -> tuple[list[int], list[float]]:
+    """Dimension and median of each inner node of a balanced k-d tree, by levels; the widest dimension is cut."""
+    dims, cuts, parts = [], [], [sample]
+    for _ in range(depth):
+        below = []
+        for part in parts:
+            dim = int(np.argmax(np.ptp(part, axis=0))) if len(part) else 0
+            cut = float(np.median(part[:, dim])) if len(part) else 0.0
+            dims.append(dim)
+            cuts.append(cut)
+            low = part[:, dim] <= cut if len(part) else np.zeros(0, bool)
+            below += [part[low], part[~low]]
+        parts = below
+    return dims, cuts
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _hold(own: np.ndarray, others: np.ndarray, best: tuple[np.ndarray, np.ndarray], start: int, same: bool, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k least squared distances and positions of each own row after ``others``, which have positions from ``start``."""
+    for at in range(0, len(others), SLICE_ROWS):
+        part = others[at:at + SLICE_ROWS]
+        d = np.zeros((len(own), len(part)))
+        for j in range(own.shape[1]):
+            d += (own[:, j, None] - part[None, :, j]) ** 2
+        if same:
+            here = np.arange(at, at + len(part))
+            d[here, here - at] = np.inf
+        d = np.concatenate([best[0], d], axis=1)
+        place = np.concatenate([best[1], np.broadcast_to(np.arange(start + at, start + at + len(part)), (len(own), len(part)))], axis=1)
+        take = np.argpartition(d, k - 1, axis=1)[:, :k]
+        best = np.take_along_axis(d, take, 1), np.take_along_axis(place, take, 1)
+    return best
+
+
+def _nothing(rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.full((rows, k), np.inf), np.full((rows, k), -1, np.int64)
+
+
+def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, seed: int = SEED, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``(key, x, neighbours array<array<double>>)``: the ``k`` nearest rows with another key, nearest first, exactly.
+
+    Rows are dealt to cells of a k-d tree whose cuts come from a bounded sample; large cells, as those of equal rows, are dealt on by a hash. A cell
+    meets every other cell whose box is nearer than the largest ``k``-th distance within the cell itself, so no nearer row is missed. A task
+    holds one cell and streams the cells it meets. Few dimensions leave few cells to meet, many leave all: then the work is the square of the rows.
     """
-    dense = materialize(minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x")))
+    dense = materialize(minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x")).groupBy("key").agg(F.min("x").alias("x")))
     first = dense.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("size")).first()
-    rng = np.random.default_rng(seed)
-    cells = -(-first["n"] // cell_rows)
-    met = []
-    lines = [rng.standard_normal(first["size"]).tolist() for _ in range(projections)]
-    at = [F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in line]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) for line in lines]
-    placed = dense.withColumns({f"p{i}": c for i, c in enumerate(at)})
-    cuts = placed.approxQuantile([f"p{i}" for i in range(projections)], [i / cells for i in range(1, cells)], 0.25 / cells) if cells > 1 else [[]] * projections
-    distance = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v)
-    for i in range(projections):
-        line = ranged(placed.select("key", "x", f"p{i}"), f"p{i}", cuts[i], "cell")
-        window = Window.partitionBy("cell").orderBy(f"p{i}", "key")
-        beside = [f(F.struct("key", "x"), d).over(window) for d in range(1, reach + 1) for f in (F.lag, F.lead)]
-        others = F.filter(F.array(*beside), lambda o: o.isNotNull() & (o["key"] != F.col("key")))
-        met.append(line.select("key", "x", others.alias("others")).select(
-            "key", "x", F.transform("others", lambda o: F.struct(distance(F.col("x"), o["x"]).alias("d"), o["key"].alias("key"), o["x"].alias("x"))).alias("others")))
-    gathered = reduce(DataFrame.unionByName, met).groupBy("key").agg(F.first("x").alias("x"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("others")))).alias("others"))
-    return gathered.select("key", "x", F.transform(F.slice("others", 1, k), lambda o: o["x"]).alias("neighbours"))
+    n = first["n"]
+    cells = max(1, -(-n // cell_rows))
+    share = int(min(1.0, SAMPLE_ROWS / max(n, 1)) * (1 << 30))
+    drawn = dense.where(F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < share).select("x").collect() if cells > 1 else []
+    depth = (cells - 1).bit_length() if drawn else 0
+    dims, cuts = _cuts(np.array([r["x"] for r in drawn]), depth)
+    kinds = f"key {dense.schema['key'].dataType.simpleString()}, x array<double>"
+
+    def place(batches):
+        for batch in batches:
+            x, node = _matrix(batch.column(1)), np.zeros(batch.num_rows, np.int64)
+            for _ in range(depth):
+                node = 2 * node + 1 + (x[np.arange(len(x)), np.array(dims)[node]] > np.array(cuts)[node])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], names=["key", "x", "leaf"])
+    placed = materialize(dense.mapInArrow(place, f"{kinds}, leaf long"))
+    salts = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * cell_rows)).alias("salts"))
+    dealt = materialize(placed.join(salts, "leaf").select("key", "x", F.struct("leaf", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), "salts").alias("salt")).alias("cell")))
+
+    def box(table: pa.Table) -> pa.Table:
+        x = _matrix(table.column("x").combine_chunks())
+        far = _hold(x, x, _nothing(len(x), k), 0, True, k)[0].max()
+        return pa.table({"cell": table.column("cell").slice(0, 1), "low": [x.min(axis=0).tolist()], "high": [x.max(axis=0).tolist()], "far": [float(far)]})
+    boxes = materialize(dealt.groupBy("cell").applyInArrow(box, "cell struct<leaf: long, salt: long>, low array<double>, high array<double>, far double"))
+    mine, theirs = (boxes.select(*[F.col(c).alias(f"{c}_{side}") for c in boxes.columns]) for side in "ab")
+    gaps = [F.zip_with(f"low_{i}", f"high_{j}", lambda low, high: F.greatest(low - high, F.lit(0.0))) for i, j in ("ab", "ba")]
+    apart = F.aggregate(F.zip_with(*gaps, lambda u, v: (u + v) * (u + v)), F.lit(0.0), lambda s, v: s + v)
+    pairs = mine.crossJoin(theirs).withColumn("apart", F.when(F.col("cell_a") == F.col("cell_b"), -1.0).otherwise(apart)).where("apart < far_a").select("cell_a", "cell_b", "apart")
+    streams = dealt.join(pairs, F.col("cell") == F.col("cell_b")).select(
+        F.concat_ws(",", "cell_a.leaf", "cell_a.salt").alias("a"), "apart", F.concat_ws(",", "cell_b.leaf", "cell_b.salt").alias("b"), "key", "x")
+    streams = streams.repartition("a").sortWithinPartitions("a", "apart", "b", "key")
+
+    def nearest(batches):
+        def runs():
+            """(a, apart, keys, matrix) of every pair of cells, however the batches are cut."""
+            held, at = [], None
+            for batch in batches:
+                a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+                edges = [0, *[i for i in range(1, len(a)) if a[i] != a[i - 1] or b[i] != b[i - 1]], len(a)]
+                for i, j in zip(edges, edges[1:]):
+                    if i == j:
+                        continue
+                    if held and at[:2] != (a[i], b[i]):
+                        yield at[0], at[2], pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                        held = []
+                    at = (a[i], b[i], batch.column(1)[i].as_py())
+                    part = batch.slice(i, j - i)
+                    held.append((part.column(3), _matrix(part.column(4))))
+            if held:
+                yield at[0], at[2], pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held])
+
+        def done(keys, own, best, rows):
+            order = np.lexsort((best[1], best[0]), axis=1)
+            places, d = np.take_along_axis(best[1], order, 1), np.take_along_axis(best[0], order, 1)
+            out = [[rows[p].tolist() for p, v in zip(ps, vs) if np.isfinite(v)] for ps, vs in zip(places.tolist(), d)]
+            return pa.RecordBatch.from_arrays([keys, pa.array(own.tolist(), pa.list_(pa.float64())), pa.array(out, pa.list_(pa.list_(pa.float64())))], names=["key", "x", "neighbours"])
+        now = None
+        for a, apart, keys, x in runs():
+            if a != now:
+                if now is not None:
+                    yield done(mine_keys, own, best, rows)
+                now, mine_keys, own, rows, met = a, keys, x, dict(), 0
+                best = _nothing(len(own), k)
+            elif apart >= best[0].max():
+                continue
+            best = _hold(own, x, best, met, a == now and apart < 0, k)
+            rows = {p: (x[p - met] if p >= met else rows[p]) for p in np.unique(best[1]).tolist() if p >= 0}     # only rows that are near to some row stay
+            met += len(x)
+        if now is not None:
+            yield done(mine_keys, own, best, rows)
+    return streams.mapInArrow(nearest, f"{kinds}, neighbours array<array<double>>")
 
 
 def oversample_minority(df: DataFrame, *, label: str, key: str, features: str = "features", ratio: float = 0.5, k: int = 5, seed: int = SEED) -> DataFrame:
     """Add synthetic minority rows until minority / majority reaches ``ratio``.
 
-    Each synthetic row lies on the segment between a minority row and one of ``k`` near minority
+    Each synthetic row lies on the segment between a minority row and one of its ``k`` nearest minority
     neighbours (``near_neighbours``); choice and position come from hashes of the row key, so a lost task redraws the same rows.
     """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -106,6 +106,18 @@ def test_neighbours_against_brute_force(spark, cell_rows):
     assert hits >= (0.9 if cell_rows > 20 else 0.6) * 5 * len(real)
 
 
+def test_neighbours_are_exact_at_any_size(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=(19_000, 10)), np.tile(rng.normal(size=(1, 10)), (1_000, 1))])
+    rows = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], ["key", *[f"f{j}" for j in range(10)]])
+    df = VectorAssembler(inputCols=[f"f{j}" for j in range(10)], outputCol="features").transform(rows)
+    got = {r["key"]: np.array(r["neighbours"]) for r in K.near_neighbours(df, "key", "features", k=5).collect()}
+    assert len(got) == len(x)
+    for i in range(0, len(x), 100):
+        d = np.sort(((x - x[i]) ** 2).sum(axis=1))[1:6]
+        assert np.allclose(((got[i] - x[i]) ** 2).sum(axis=1), d, atol=1e-9)
+
+
 def test_trees_of_unsupported_depth_are_refused():
     with pytest.raises(ValueError):
         K.make_classifier("gradient_boosting", "y", depth=41)
