@@ -46,8 +46,11 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the rate that fits the target weights and how many copies of them to take; those of which none is taken go."""
-    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), WEIGHTS)
+    """Documents with the rate that fits the target weights and how many copies of them to take; those of which none is taken go.
+
+    The budget is so large that each document that is more likely good than toxic is taken once at least.
+    """
+    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), WEIGHTS, whole="good")
     return mixed.where("copies > 0").select(*docs.columns, "rate", "copies")
 
 

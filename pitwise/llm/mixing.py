@@ -154,9 +154,12 @@ def fit_rates(table: DataFrame, weights: list[float], budget: float | None = Non
     return history, start
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None, seed: int = 0, whole: str | None = None) -> DataFrame:
     """Documents with n_tokens, posterior, rate and copies (must be free names).
 
+    With ``whole`` all rates, and so the budget, grow by one factor until every document whose most probable domain it is has a rate of one at least, if
+    the fit gives it any: the mix stays as it is, and none of them is left out by a draw.
+
     ``copies`` is the rate rounded up or down by a hash of seed, id and text, so its mean is the rate. Rows that are equal get equal
     values. Documents without tokens have the prior as posterior and move nothing. An empty table stays empty.
     """
@@ -165,7 +168,13 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
         raise ValueError(f"documents already have {sorted(clash)}")
     domains = list(weights)
     scored = domain_posteriors(docs, labelled, domains)
-    history, start = fit_rates(materialize(scored.select("n_tokens", "posterior")), [weights[d] for d in domains], budget)
+    table = materialize(scored.select("n_tokens", "posterior"))
+    history, start = fit_rates(table, [weights[d] for d in domains], budget)
+    if whole is not None:
+        mine = table.where(F.col("posterior")[domains.index(whole)] == F.array_max("posterior"))
+        least = mine.select(_rate(history, start, F.col("posterior"))[0].alias("rate")).where("rate > 0").agg(F.min("rate")).first()[0]
+        more = max(1.0, (1 + 1e-9) / least) if least else 1.0
+        history, start = [([x * more for x in vector], momentum) for vector, momentum in history], start * more     # rates are in proportion to both
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     copies = lambda r: (F.floor(r) + (draw < r - F.floor(r)).cast("long")).cast("long")
     # one nested expression, in which each part is bound once: as separate columns they would be computed anew wherever they are used

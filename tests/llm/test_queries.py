@@ -47,6 +47,15 @@ def test_pipeline_stages(spark):
     assert out.where("copies < 1 or rate < 0").count() == 0
 
 
+def test_mix_keeps_clean_documents_when_few_are_toxic(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{(i * 31 + j * j) % 500}" for j in range(40)) + (" vile nasty" if i % 100 == 0 else "")) for i in range(1000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "toxic" if i % 100 == 0 else "good") for i in range(1000)], "doc_id long, domain string")
+    monkeypatch.setattr(corpus_pipeline, "labelled_domains", lambda spark, sf_dir: labelled)
+    out = {r.doc_id: r for r in corpus_pipeline.mix_to_targets(spark, docs, SF).collect()}
+    assert {i for i in range(1000) if i % 100} <= set(out) and min(out[i].rate for i in out if i % 100) >= 1
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "x" * 20_000, None, None, 5)]])
 def test_stages_survive_odd_documents(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("rate_", F.lit(1))
