@@ -73,6 +73,11 @@ def fold(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether a row is kept out of learning: by its fold, and always without an id."""
+    return F.coalesce(fold(modulus) == remainder, F.lit(True))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have yet."""
     have = {c.lower() for c in df.columns}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwise.llm import decontam, imatch, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
-from pitwise.llm.common import fold, labelled_sample, read, sha256
+from pitwise.llm import decontam, imatch, langid, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
+from pitwise.llm.common import fold, held_out, labelled_sample, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return secrets.secret_digest(docs, secrets.fit(docs))
+
+
+@query("op11_languages", langid.languages_sql())
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = langid.predict_languages(docs, langid.fit_profiles(docs.where(~held_out(3, 1))))
+    return predicted.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
