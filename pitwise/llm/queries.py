@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwise.llm import decontam, imatch, langid, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
+from pitwise.llm import decontam, imatch, interactions, langid, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
 from pitwise.llm.common import fold, held_out, labelled_sample, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,8 @@ def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     predicted = langid.predict_languages(docs, langid.fit_profiles(docs.where(~held_out(3, 1))))
     return predicted.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op12_filter_audit", interactions.audit_sql())
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), read(spark, sf_dir, "labels"))
