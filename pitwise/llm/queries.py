@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwise.llm import decontam, imatch, interactions, langid, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
+from pitwise.llm import decontam, divergence, imatch, interactions, langid, licenses, lines, minhash, mixing, quality, secrets, toxicity, urls
 from pitwise.llm.common import fold, held_out, labelled_sample, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,8 @@ def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_filter_audit", interactions.audit_sql())
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), read(spark, sf_dir, "labels"))
+
+
+@query("op13_source_divergence", divergence.divergence_sql())
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents").select("text", "lang", "source"))
