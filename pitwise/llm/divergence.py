@@ -22,8 +22,8 @@ from pitwise.session import materialize
 MIN_DOCUMENTS = 10
 TOP = 10
 SCALE = 1_000_000_000
-_BUFFER = 12 << 20      # bytes of text that are sorted at once
-_HELD = 2 << 20         # merged terms that a task holds before it passes them on
+BUFFER = 4 << 20        # bytes of text that are sorted at once
+HELD = 3 << 19          # merged terms that a task holds before it passes them on
 _WORDS = 2              # packed words of a short term at most
 #: A-Z to a-z and every byte that is not of a term to a space: terms are runs of letters and of everything beyond ASCII.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -127,7 +127,7 @@ def _terms(runs: Runs) -> pa.Array:
     return pa.StringArray.from_buffers(len(runs), pa.py_buffer(offsets), pa.py_buffer(rows[used]))
 
 
-def count_terms(docs: DataFrame, groups: list[str]) -> DataFrame:
+def count_terms(docs: DataFrame, groups: list[str], buffer: int = BUFFER, most_held: int = HELD) -> DataFrame:
     """(groups..., term, n, documents) of partial counts: occurrences, and documents with the term, of what a task held at once.
 
     Every group of ``groups`` (string columns) that occurs has a row for the empty term as well, with zeros. Null texts have no terms. A document is a
@@ -163,7 +163,7 @@ def count_terms(docs: DataFrame, groups: list[str]) -> DataFrame:
             text = text.translate(_TERM_BYTES)
             start = 0
             while start < len(text):
-                stop = text.find(b" ", start + _BUFFER)
+                stop = text.find(b" ", start + buffer)
                 stop = len(text) if stop < 0 else stop
                 for words, runs in term_runs(text[start:stop] + b" ", np.zeros(1, np.int64), np.array([group], np.int32)).items():
                     parts.setdefault(words, []).append(runs)
@@ -189,18 +189,18 @@ def count_terms(docs: DataFrame, groups: list[str]) -> DataFrame:
                 at = names.setdefault(tuple(group), len(names))
                 if not text:
                     continue
-                if len(text) > _BUFFER:
+                if len(text) > buffer:
                     entries += long_document(text, at)
                 else:
                     texts.append(text)
                     ids.append(at)
                     size += len(text)
-                if size > _BUFFER:
+                if size > buffer:
                     entries += sort_buffer()
                     size = 0
-                if entries > _HELD:
+                if entries > most_held:
                     entries = compact()
-                    if entries > _HELD // 2:
+                    if entries > most_held // 2:
                         yield from flush()
                         entries = 0
         if texts:
