@@ -4,7 +4,7 @@ All operators here first shrink both inputs to one row per (key, time) with a pa
 ``groupBy``; only that reduced timeline is windowed by key, and results go back to the anchors with an
 equi join on (key, time). A key that owns a third of the rows therefore costs one window over its
 distinct days, while its rows stay spread over (key, day) partitions. For timestamps the timeline is
-cut into days as well, and the last value is carried from day to day.
+cut into seconds and days as well, and the last value is carried from one to the next.
 
 Every operator reads its anchors twice: for the points in time it must answer, and to join the answers
 back. In a chain, pass the frame the chain started from as ``points``, so that each step asks that frame
@@ -13,10 +13,12 @@ for its points instead of planning everything before it a second time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from pitwise.functions.exact import ExactMetrics
+
 
 def _not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     for name in columns:
@@ -38,6 +40,25 @@ def _join_back(anchors: DataFrame, found: DataFrame, keys: Sequence[str]) -> Dat
     return anchors.join(renamed, condition, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+def _last_known(rows: DataFrame, by: Sequence[str], at: str, units: Sequence[Callable[[str], Column]], last_row: int) -> DataFrame:
+    """The asked rows (all without ``__ask``) of a timeline with the last ``__hit`` up to them, per key.
+
+    Each unit of time, from the shortest, is windowed by itself, and what it ends with is carried over the units of the next length. A second of a key
+    has at most a million instants and a day 86,400 seconds, so no window grows with what one key has on one day.
+    """
+    asked = "__ask = 1" if "__ask" in rows.columns else "true"
+    if not units:
+        frame = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, last_row)
+        return rows.withColumn("__hit", F.last("__hit", ignorenulls=True).over(frame)).where(asked)
+    unit = f"{at}u"
+    cut = rows.withColumn(unit, units[0](at))
+    ends = cut.groupBy(*by, unit).agg(F.max("__hit").alias("__hit"))        # hits begin with their time
+    carried = _last_known(ends, by, unit, units[1:], -1).select(*by, unit, F.col("__hit").alias("__carry"))
+    inside = Window.partitionBy(*by, unit).orderBy(at).rowsBetween(Window.unboundedPreceding, last_row)
+    known = cut.withColumn("__hit", F.last("__hit", ignorenulls=True).over(inside)).where(asked).join(carried, [*by, unit], "left")
+    return known.withColumn("__hit", F.coalesce("__hit", "__carry")).drop(unit, "__carry")
+
+
 def asof_lookup(
     anchors: DataFrame,
     history: DataFrame,
@@ -73,21 +94,8 @@ def asof_lookup(
     point = F.when(F.col("__row").isNotNull(), F.struct(F.col("__t"), F.col("__row")))
     timeline = timeline.withColumn("__hit", point)
 
-    last_row = 0 if allow_exact else -1
-
-    if is_day:
-        frame = Window.partitionBy(*by).orderBy("__t").rowsBetween(Window.unboundedPreceding, last_row)
-        found = timeline.withColumn("__hit", F.last("__hit", ignorenulls=True).over(frame)).where("__ask = 1")
-    else:
-        timeline = timeline.withColumn("__day", F.to_date("__t"))
-        inside = Window.partitionBy(*by, "__day").orderBy("__t").rowsBetween(Window.unboundedPreceding, last_row)
-        days = timeline.groupBy(*by, "__day").agg(F.max("__hit").alias("__end"))
-        earlier = Window.partitionBy(*by).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
-        days = days.select(*by, "__day", F.last("__end", ignorenulls=True).over(earlier).alias("__carry"))
-        found = (timeline.withColumn("__hit", F.last("__hit", ignorenulls=True).over(inside)).where("__ask = 1")
-                 .join(days, [*by, "__day"], "left")
-                 .withColumn("__hit", F.coalesce("__hit", "__carry")))
-
+    units = [] if is_day else [lambda t: F.date_trunc("second", t), F.to_date]
+    found = _last_known(timeline, by, "__t", units, 0 if allow_exact else -1)
     found = found.select(
         *by, F.col("__t").alias("__at"),
         *[F.col("__hit")["__row"][v].alias(f"{prefix}{v}") for v in values if v not in (history_on,)],
@@ -162,19 +170,21 @@ def interval_totals(
 ) -> DataFrame:
     """Sums over ``after < day <= until`` for per-row bounds such as calendar months.
 
-    Two probes of the running total per distinct interval; no range join. No facts give 0.
+    Two probes of the running total per distinct interval; no range join. No facts give 0. Totals are exact: doubles are added as
+    whole numbers, so that taking one running total from another loses nothing.
     """
+    exact = ExactMetrics(facts, metrics)
     source = anchors if points is None else points
     spans = _not_null(source.select(*by, F.to_date(after).alias("__a"), F.to_date(until).alias("__u")).distinct(),
                       [*by, "__a", "__u"])
     probes = spans.select(*by, "__a", "__u", F.inline(F.array(
         F.struct(F.col("__a").alias("__t"), F.lit(-1).alias("__sign")),
         F.struct(F.col("__u").alias("__t"), F.lit(1).alias("__sign")))))
-    line = _timeline(probes, facts, by, "__t", fact_on, metrics)
+    line = _timeline(probes, facts, by, "__t", fact_on, exact.columns)
     running = Window.partitionBy(*by).orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
-    at = line.select(*by, "__t", "__ask", *[F.coalesce(F.sum(m).over(running), F.lit(0)).alias(m) for m in metrics]).where("__ask = 1")
-    found = probes.join(at, [*by, "__t"]).groupBy(*by, "__a", "__u").agg(
-        *[F.sum(F.col("__sign") * F.col(m)).alias(f"{prefix}{m}") for m in metrics])
+    at = line.select(*by, "__t", "__ask", *[F.coalesce(F.sum(m).over(running), F.lit(0)).alias(m) for m in exact.columns]).where("__ask = 1")
+    sums = probes.join(at, [*by, "__t"]).groupBy(*by, "__a", "__u").agg(*[F.sum(F.col("__sign") * F.col(m)).alias(m) for m in exact.columns])
+    found = sums.select(*by, "__a", "__u", *[exact.total(m, {c: F.col(c) for c in exact.columns}).alias(f"{prefix}{m}") for m in metrics])
     keyed = anchors.withColumns({"__a": F.to_date(after), "__u": F.to_date(until)})
     out = _join_back(keyed, found, [*by, "__a", "__u"]).drop("__a", "__u")
     return out.withColumns({f"{prefix}{m}": F.coalesce(f"{prefix}{m}", F.lit(0)) for m in metrics})
@@ -194,31 +204,48 @@ def interval_aggregate(
 ) -> DataFrame:
     """``sum``/``min``/``max`` over ``start <= day < end``; no facts give null.
 
-    Intervals are spread over the months they touch and equi-joined on (key, month), so that neither a
-    busy key nor a long interval lands in one partition. Facts are reduced first to one row per key and
-    day, and to one row per key and month for the months that lie wholly inside an interval. ``grain="year"``
-    does the same with years, which is less work for intervals of several years.
+    Facts are reduced to blocks of 1, 4, 16 and so on up to 4,096 days, and an interval is the join of the few blocks that make it up: at most six of each
+    length, whatever its length and place (beyond eleven years, one more for each eleven). Neither a busy key nor a long interval so lands in one
+    partition, and no fact meets an interval by itself. ``grain`` (month or year) is of no effect: blocks of all lengths are there.
     """
-    length = {"month": 1, "year": 12}[grain]
+    if grain not in ("month", "year"):
+        raise ValueError(f"unknown grain {grain!r}")
     how = {"sum": F.sum, "min": F.min, "max": F.max}
-    reduce_ = [how[kind](expr).alias(n) for n, (kind, expr) in aggregates.items()]
-    again = [how[kind](n).alias(n) for n, (kind, _) in aggregates.items()]
     names = list(aggregates)
+    again = [how[kind](n).alias(n) for n, (kind, _) in aggregates.items()]
 
-    day = (_not_null(facts.withColumn("__d", F.to_date(fact_on)), [*by, "__d"])
-           .groupBy(*by, "__d").agg(*reduce_).withColumn("__m", F.trunc("__d", grain)))
-    block = day.groupBy(*by, "__m").agg(*again)
+    facts = facts.withColumn("__d", F.unix_date(F.to_date(fact_on)))
+    blocks = _not_null(facts, [*by, "__d"]).select(*by, "__d", *[expr.alias(n) for n, (_, expr) in aggregates.items()]).withColumn(
+        "__b", F.explode(F.array(*[F.struct(F.lit(w).alias("w"), F.floor(F.col("__d") / w).cast("int").alias("i")) for w in BLOCK_DAYS])))
+    keys = [*by, "__w", "__i"]
+    blocks = blocks.select(*by, F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"), *names).groupBy(*keys).agg(*again)
 
     source = anchors if points is None else points
-    spans = _not_null(source.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")).distinct(),
-                      [*by, "__s", "__e"]).where("__s < __e")
-    touched = spans.withColumn("__m", F.explode(F.sequence(
-        F.trunc("__s", grain), F.trunc(F.date_sub("__e", 1), grain), F.expr(f"interval {length} month"))))
-    whole = (F.col("__m") >= F.col("__s")) & (F.add_months("__m", length) <= F.col("__e"))
-    keys = [*by, "__m"]
-    inner = touched.where(whole).join(block, keys).select(*by, "__s", "__e", *names)
-    edges = (touched.where(~whole).join(day, keys)
-             .where("__d >= __s and __d < __e").select(*by, "__s", "__e", *names))
-    found = inner.unionByName(edges).groupBy(*by, "__s", "__e").agg(*again)
+    spans = _not_null(source.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")), [*by, "__s", "__e"]).where("__s < __e").distinct()
+    parts = spans.withColumn("__b", F.explode(interval_blocks(F.unix_date("__s"), F.unix_date("__e")))).select(
+        *by, "__s", "__e", F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"))
+    found = parts.join(blocks, keys).groupBy(*by, "__s", "__e").agg(*again)
     keyed = anchors.withColumns({"__s": F.to_date(start), "__e": F.to_date(end)})
     return _join_back(keyed, found, [*by, "__s", "__e"]).drop("__s", "__e")
+
+
+#: Lengths of the blocks that facts are reduced to, each four of the one before.
+BLOCK_DAYS = tuple(4 ** k for k in range(7))
+
+
+def interval_blocks(start: Column, stop: Column) -> Column:
+    """The blocks (w days, number i, which begins at day w * i) that make up the days from ``start`` up to ``stop``, each day once."""
+    up = lambda w: F.ceil(start / w).cast("int")
+    down = lambda w: F.floor(stop / w).cast("int")
+    none = F.array().cast("array<int>")
+    run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
+    named = lambda numbers, w: F.transform(numbers, lambda i: F.struct(F.lit(w).alias("w"), i.alias("i")))
+    found = []
+    for k, w in enumerate(BLOCK_DAYS):
+        whole = run(up(w), down(w))
+        if k + 1 < len(BLOCK_DAYS):        # what longer blocks cover is left to them
+            longer = BLOCK_DAYS[k + 1]
+            ends = F.concat(run(up(w), up(longer) * 4), run(down(longer) * 4, down(w)))
+            whole = F.when(up(longer) < down(longer), ends).otherwise(whole)
+        found.append(named(whole, w))
+    return F.concat(*found)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitwise.functions.scalars import composite_key, holds, reasons
-from pitwise.operators.asof import asof_lookup, interval_aggregate, interval_totals
+from pitwise.operators.asof import interval_aggregate
 from pitwise.operators.joins import mark_duplicates
+from pitwise.operators.timeline import LastValue, Totals, point_in_time
 
 
 def window_rules(date: str, start: str, end: str, *, missing: str, before: str, after: str) -> list[tuple[str, Column]]:
@@ -44,57 +46,76 @@ def entity_date_key(entity: str, date: str, *places: str) -> Column:
     return composite_key(entity, F.date_format(F.col(date), "yyyy-MM-dd"), *places, placeholders={1: "missing-date"})
 
 
-def follow_up_label(
-    cohort: DataFrame,
-    activity: DataFrame,
-    valuations: DataFrame,
-    *,
-    entity: str,
-    place: str,
-    activity_place: str,
-    date: str,
-    activity_on: str,
-    metrics: Mapping[str, Column],
-    threshold_metric: str,
-    threshold: float,
-    value_on: str,
-    value: str,
-    baseline: str,
-    months: int = 24,
-    value_ties: Sequence[str] = (),
-    reasons_for: Mapping[str, str] | None = None,
-    prefix: str = "target_",
-    points: DataFrame | None = None,
-) -> DataFrame:
-    """Outcome inside ``[date, date + months]`` with the reasons why a row cannot be judged.
+class FollowUp(NamedTuple):
+    """What a follow-up label is judged by: the outcome inside ``[date, date + months]`` of an entity at a place.
 
-    Success needs enough activity at the place and an end value not below the baseline. Nothing dated after the
-    window can enter: the end value is an as-of lookup at the window end and the totals stop there.
+    ``activity`` rows carry their day in ``activity_on`` and their place under the cohort's name; ``valuations`` carry ``value`` on ``value_on``.
+    """
+    entity: str
+    place: str
+    date: str
+    activity: DataFrame
+    activity_on: str
+    metrics: Mapping[str, Column]
+    threshold_metric: str
+    threshold: float
+    valuations: DataFrame
+    value_on: str
+    value: str
+    baseline: str
+    months: int = 24
+    value_ties: Sequence[str] = ()
+    prefix: str = "target_"
+    activity_where: Column | None = None
+    valuations_where: Column | None = None
+
+    def instants(self) -> dict[str, Column]:
+        return {"before": F.date_sub(self.date, 1), "window_end": F.add_months(self.date, self.months)}
+
+    def sources(self) -> dict[str, tuple[DataFrame, Column]]:
+        """One source where both frames are the same one, so that it is read once."""
+        out = {"activity": (self.activity, F.to_date(self.activity_on))}
+        return out if self._shared() else {**out, "valuations": (self.valuations, F.to_date(self.value_on))}
+
+    def _shared(self) -> bool:
+        return self.valuations is self.activity and self.value_on == self.activity_on
+
+    def probes(self) -> list[LastValue | Totals]:
+        return [LastValue("activity" if self._shared() else "valuations", "window_end", {"__end_value": F.col(self.value)}, [F.col(t) for t in self.value_ties],
+                          dated="__end_date", where=self.valuations_where),
+                Totals("activity", "before", "window_end", {f"{self.prefix}{n}": e for n, e in self.metrics.items()}, inside=True, where=self.activity_where)]
+
+    def judge(self, answered: DataFrame, reasons_for: Mapping[str, str] | None = None) -> DataFrame:
+        """Label, eligibility and reasons from the answers of the probes.
+
+        Success needs enough activity at the place and an end value not below the baseline.
+        """
+        texts = {
+            "baseline": "missing_baseline_value", "end": "missing_follow_up_value",
+            "inside": "no_value_inside_follow_up_window", "horizon": "incomplete_follow_up_window", **(reasons_for or {})}
+        valued = self.valuations if self.valuations_where is None else self.valuations.where(self.valuations_where)
+        horizon = F.lit(valued.where(F.col(self.entity).isNotNull()).agg(F.max(F.to_date(self.value_on))).scalar())
+        work = answered.withColumn("follow_up_window_end", self.instants()["window_end"])
+        end_value, end_date, base = F.col("__end_value"), F.col("__end_date"), F.col(self.baseline)
+        failures = [(texts["baseline"], base.isNull()), (texts["end"], end_value.isNull()),
+                    (texts["inside"], end_date.isNull() | holds(end_date <= F.col(self.date))),
+                    (texts["horizon"], holds(F.col("follow_up_window_end") > horizon))]
+        success = holds(F.col(f"{self.prefix}{self.threshold_metric}") >= self.threshold) & holds(end_value >= base)
+        labelled = work.withColumns({
+            f"{self.prefix}end_value": end_value, f"{self.prefix}end_value_date": end_date, f"{self.prefix}value_delta": end_value - base,
+            f"{self.prefix}failure_reason": reasons(failures)})
+        eligible = F.col(f"{self.prefix}failure_reason").isNull()
+        return labelled.withColumns({f"{self.prefix}is_eligible": eligible, "success": F.when(eligible, success.cast("int"))}).drop("__end_value", "__end_date")
+
+
+def follow_up_label(cohort: DataFrame, follow_up: FollowUp, *, reasons_for: Mapping[str, str] | None = None, points: DataFrame | None = None) -> DataFrame:
+    """Outcome inside the follow-up window with the reasons why a row cannot be judged.
+
+    Nothing dated after the window can enter: the end value is the last one at the window end and the totals stop there. Both come from one timeline.
     """
-    texts = {
-        "baseline": "missing_baseline_value", "end": "missing_follow_up_value",
-        "inside": "no_value_inside_follow_up_window", "horizon": "incomplete_follow_up_window", **(reasons_for or {})}
-    bounds = {"follow_up_window_end": F.add_months(F.col(date), months), "__before": F.date_sub(F.col(date), 1)}
-    points = (cohort if points is None else points).select(entity, place, date).withColumns(bounds)
-    work = cohort.withColumns(bounds)
-    renamed = valuations.select(F.col(entity), F.to_date(value_on).alias("__vd"), F.col(value).alias("__v"), *value_ties)
-    work = asof_lookup(work, renamed, by=[entity], anchor_on="follow_up_window_end", history_on="__vd", values=["__v"],
-                       prefix="__end", order_ties_by=value_ties, points=points)
-    facts = activity.withColumnRenamed(activity_place, place) if activity_place != place else activity
-    work = interval_totals(work, facts, by=[entity, place], after="__before", until="follow_up_window_end",
-                           fact_on=activity_on, metrics=metrics, prefix=prefix, points=points)
-    end_value, end_date, base = F.col("__end__v"), F.col("__end__vd"), F.col(baseline)
-    horizon = F.lit(renamed.where(F.col(entity).isNotNull()).agg(F.max("__vd")).scalar())
-    failures = [(texts["baseline"], base.isNull()), (texts["end"], end_value.isNull()),
-                (texts["inside"], end_date.isNull() | holds(end_date <= F.col(date))),
-                (texts["horizon"], holds(F.col("follow_up_window_end") > horizon))]
-    success = holds(F.col(f"{prefix}{threshold_metric}") >= threshold) & holds(end_value >= base)
-    labelled = work.withColumns({
-        f"{prefix}end_value": end_value, f"{prefix}end_value_date": end_date, f"{prefix}value_delta": end_value - base,
-        f"{prefix}failure_reason": reasons(failures)})
-    eligible = F.col(f"{prefix}failure_reason").isNull()
-    return labelled.withColumns({f"{prefix}is_eligible": eligible, "success": F.when(eligible, success.cast("int"))}).drop(
-        "__before", "__end__v", "__end__vd")
+    f = follow_up
+    answered = point_in_time(cohort, by=[f.entity], within=[f.place], on=[f.date], instants=f.instants(), sources=f.sources(), probes=f.probes(), points=points)
+    return f.judge(answered, reasons_for)
 
 
 def window_scores(
@@ -117,23 +138,21 @@ def window_scores(
     """Sums of activity at the place and the highest value there within ``[date, date + years)``.
 
     With ``pool_places`` the statistics are shared by all rows of the same entity and date, as the weighted
-    label defines them; otherwise they belong to the row's own place.
+    label defines them; otherwise they belong to the row's own place. Activity and values are reduced to the same blocks of days.
     """
-    stop = F.add_months(F.col(date), 12 * years)
-    spans = cohort.select(entity, place, date).distinct().withColumns({"__end": stop, "__before": F.date_sub(F.col(date), 1), "__last": F.date_sub(stop, 1)})
-    facts = activity.withColumnRenamed(activity_place, place) if activity_place != place else activity
-    a = interval_totals(spans, facts, by=[entity, place], after="__before", until="__last", fact_on=activity_on, metrics=sums)
-    b = interval_aggregate(a, valuations.withColumnRenamed(value_place, place) if value_place != place else valuations,
-                           by=[entity, place], start=date, end="__end", fact_on=value_on,
-                           aggregates={"new_value": ("max", F.col(value))}, grain="year", points=spans)
-    keys = [entity, date] if pool_places else [entity, place, date]
-    stats = b.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums], F.max("new_value").alias("new_value"))
-    stats = stats.select(*[F.col(k).alias(f"__{k}") for k in keys], *sums, "new_value")
-    condition = None
-    for k in keys:
-        clause = cohort[k] == stats[f"__{k}"]
-        condition = clause if condition is None else condition & clause
-    joined = cohort.join(stats, condition, "left").drop(*[f"__{k}" for k in keys])
+    spans = cohort.select(entity, place, date).withColumn("__end", F.add_months(F.col(date), 12 * years))
+    counted = activity.select(entity, F.col(activity_place).alias(place), F.to_date(activity_on).alias("__day"), *[e.alias(n) for n, e in sums.items()])
+    valued = valuations.select(entity, F.col(value_place).alias(place), F.to_date(value_on).alias("__day"), F.col(value).alias("new_value"))
+    facts = counted.unionByName(valued, allowMissingColumns=True)
+    aggregates = {**{n: ("sum", F.col(n)) for n in sums}, "new_value": ("max", F.col("new_value"))}
+    if pool_places:
+        found = interval_aggregate(spans.distinct(), facts, by=[entity, place], start=date, end="__end", fact_on="__day", aggregates=aggregates)
+        stats = found.groupBy(entity, date).agg(*[F.sum(n).alias(n) for n in sums], F.max("new_value").alias("new_value"))
+        stats = stats.select(F.col(entity).alias("__entity"), F.col(date).alias("__date"), *sums, "new_value")
+        joined = cohort.join(stats, (cohort[entity] == stats["__entity"]) & (cohort[date] == stats["__date"]), "left").drop("__entity", "__date")
+    else:
+        ended = cohort.withColumn("__end", F.add_months(F.col(date), 12 * years))
+        joined = interval_aggregate(ended, facts, by=[entity, place], start=date, end="__end", fact_on="__day", aggregates=aggregates, points=spans).drop("__end")
     return joined.withColumns({n: F.coalesce(n, F.lit(0)) for n in [*sums, "new_value"]})
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from pitwise.functions.scalars import age_at, safe_divide, same_flag
 from pitwise.operators import cohort as C
-from pitwise.operators.asof import asof_lookup, lookback_totals
 from pitwise.operators.joins import keep_last, lookup, role_lookup
+from pitwise.operators.timeline import LastValue, Totals, point_in_time
 from pitwise.queries import query, read
 from pitwise.queries.pointintime import _lines, _orders
 
@@ -118,15 +118,19 @@ labelled AS (SELECT *, NULLIF(concat_ws(';',
 """
 
 
-def labelled_orders(spark, sf):
-    """Each order judged by the customer's activity at the same priority and the last finished value within 24 months."""
+def _judged_orders(spark, sf):
+    """All orders as a cohort, and what judges them: the customer's activity at the same priority and the last finished value within 24 months."""
     orders = read(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("place"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderstatus")
     cohort = orders.select("o_orderkey", "k", "day", "place", F.when(F.col("o_orderkey") % 40 != 0, F.col("price")).alias("base"))
-    return C.follow_up_label(cohort, orders, orders.where("o_orderstatus = 'F'"), entity="k", place="place", activity_place="place", date="day",
-                             activity_on="day", metrics={"orders": F.lit(1), "spend": F.col("price")}, threshold_metric="spend",
-                             threshold=500_000, value_on="day", value="price", baseline="base", value_ties=["o_orderkey"])
+    return cohort, C.FollowUp(entity="k", place="place", date="day", activity=orders, activity_on="day", metrics={"orders": F.lit(1), "spend": F.col("price")},
+                              threshold_metric="spend", threshold=500_000, valuations=orders, value_on="day", value="price", baseline="base",
+                              value_ties=["o_orderkey"], valuations_where=F.col("o_orderstatus") == "F")
+
+
+def labelled_orders(spark, sf):
+    return C.follow_up_label(*_judged_orders(spark, sf))
 
 
 @query("follow_up_label", "WITH " + LABEL_SQL + """
@@ -204,12 +208,11 @@ SELECT o_orderkey, k AS o_custkey, day, CAST(prior_value AS DOUBLE) AS prior_val
   CASE WHEN failure_reason IS NULL THEN CAST(p >= 500000 AND end_value >= base AS INTEGER) END AS success FROM z""")
 def order_point_in_time(spark, sf):
     """Flagship: prior value, 180-day totals, eligibility and follow-up outcome for every order."""
-    orders = _orders(spark, sf).withColumnRenamed("o_custkey", "k")
-    work = labelled_orders(spark, sf)
-    work = lookback_totals(work, orders, by=["k"], anchor_on="day", fact_on="day", metrics={"orders": F.lit(1), "spend": F.col("price")},
-                           windows={"180d": (-179, -1)}, points=orders)
-    work = asof_lookup(work, orders, by=["k"], anchor_on="day", history_on="day", values=["price"], prefix="prior_",
-                       order_ties_by=["o_orderkey"], allow_exact=False, points=orders)
+    cohort, judged = _judged_orders(spark, sf)
+    work = judged.judge(point_in_time(
+        cohort, by=["k"], within=["place"], on=["day"], instants={**judged.instants(), "half_year": F.date_sub("day", 180)}, sources=judged.sources(), probes=[
+            *judged.probes(), Totals("activity", "half_year", "before", {"orders_180d": F.lit(1), "spend_180d": F.col("price")}),
+            LastValue("activity", "before", {"prior_price": F.col("price")}, [F.col("o_orderkey")])]))
     return work.select("o_orderkey", F.col("k").alias("o_custkey"), "day", F.col("prior_price").cast("double").alias("prior_value"),
                        F.col("orders_180d").cast("long").alias("orders_180d"), F.col("spend_180d").cast("double").alias("spend_180d"),
                        F.round(safe_divide("base", "prior_price"), 4).alias("value_ratio"), F.col("target_failure_reason").alias("failure_reason"), "success")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions.scalars import safe_divide
 from pitwise.operators.asof import asof_lookup, cumulative_history, interval_aggregate, interval_totals, lookback_totals
+from pitwise.operators.timeline import LastValue, Totals, point_in_time
 from pitwise.queries import query, read
 
 MONEY = "decimal(18,2)"
@@ -50,12 +51,9 @@ SELECT o_orderkey, CAST(p180 AS DOUBLE) AS price_180d, CAST(p365 AS DOUBLE) AS p
 def asof_180d_value(spark, sf):
     """Value as of 180 and 365 days before each order, and the change since."""
     orders = _orders(spark, sf)
-    history = orders.select("o_custkey", "day", "price", "o_orderkey")
-    out = orders
-    for days in (180, 365):
-        cut = {"cutoff": F.date_sub("day", days)}
-        out = asof_lookup(out.withColumns(cut), history, by=["o_custkey"], anchor_on="cutoff", history_on="day", values=["price"],
-                          prefix=f"at{days}_", order_ties_by=["o_orderkey"], points=orders.withColumns(cut))
+    ago = {f"d{days}": F.date_sub("day", days) for days in (180, 365)}
+    out = point_in_time(orders, by=["o_custkey"], on=["day"], instants=ago, sources={"orders": (orders, F.col("day"))}, probes=[
+        LastValue("orders", f"d{days}", {f"at{days}_price": F.col("price")}, [F.col("o_orderkey")]) for days in (180, 365)])
     return out.select("o_orderkey", *[F.col(f"at{d}_price").cast("double").alias(f"price_{d}d") for d in (180, 365)],
                       *[(F.col("price") - F.col(f"at{d}_price")).cast("double").alias(f"change_{d}d") for d in (180, 365)])
 
@@ -167,3 +165,48 @@ def supplier_form(spark, sf):
     return out.select("s_suppkey", "day", F.col("matches_365d").cast("long").alias("matches_365d"),
                       F.round(safe_divide("wins_365d", "matches_365d"), 4).alias("win_rate_365d"),
                       F.round(safe_divide("points_365d", "matches_365d"), 4).alias("points_per_match_365d"))
+
+
+@query("exact_window_totals", """
+WITH a AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(38,2)) + CASE WHEN o_orderkey % 7 = 0 THEN 1e17::DECIMAL(38,2) ELSE 0 END AS v FROM orders),
+t AS (SELECT a.o_orderkey, SUM(f.v) AS v FROM a JOIN (SELECT o_custkey, day, SUM(v) AS v FROM a GROUP BY 1, 2) f ON a.o_custkey = f.o_custkey AND f.day > a.day AND f.day <= a.day + 90 GROUP BY 1)
+SELECT a.o_orderkey, CAST(COALESCE(t.v, 0) AS DOUBLE) AS next_90d, CAST(COALESCE(t.v, 0) AS DOUBLE) AS next_90d_by_interval FROM a LEFT JOIN t USING (o_orderkey)""")
+def exact_window_totals(spark, sf):
+    """Totals of doubles over the 90 days after each order, with amounts beside them that are 17 digits larger; no cent is lost where those lie outside."""
+    whole = F.col("o_totalprice")
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), whole.alias("price"), F.when(F.col("o_orderkey") % 7 == 0, 1e17).otherwise(0.0).alias("large"))
+    parts = orders.select("o_custkey", "day", F.explode(F.array("price", "large")).alias("amount"))      # as two rows: their sum is no double
+    out = point_in_time(orders, by=["o_custkey"], on=["day"], instants={"day": F.col("day"), "end": F.date_add("day", 90)}, sources={"parts": (parts, F.col("day"))},
+                        probes=[Totals("parts", "day", "end", {"next_90d": F.col("amount")})])
+    out = interval_totals(out.withColumn("end", F.date_add("day", 90)), parts, by=["o_custkey"], after="day", until="end", fact_on="day",
+                          metrics={"next_90d_by_interval": F.col("amount")}, points=orders.withColumn("end", F.date_add("day", 90)))
+    return out.select("o_orderkey", "next_90d", "next_90d_by_interval")
+
+
+@query("timeline_answers", """
+WITH o AS (SELECT o_orderkey, o_custkey AS k, o_orderpriority AS place, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderstatus AS status FROM orders),
+l AS (SELECT o_custkey AS k, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS DECIMAL(18,2)) AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+d AS (SELECT k, day, SUM(qty) AS qty FROM l GROUP BY 1, 2),
+pd AS (SELECT k, place, day, COUNT(*) AS n, SUM(price) AS price FROM o GROUP BY 1, 2, 3),
+h AS (SELECT k, day, arg_max(price, o_orderkey) AS price FROM o GROUP BY 1, 2), hf AS (SELECT k, day, arg_max(price, o_orderkey) AS price FROM o WHERE status = 'F' GROUP BY 1, 2),
+q AS (SELECT o_orderkey, SUM(d.qty) AS qty FROM o JOIN d ON o.k = d.k AND d.day > o.day - 91 AND d.day <= o.day - 1 GROUP BY 1),
+s AS (SELECT o_orderkey, SUM(pd.n) AS n, SUM(pd.price) AS price FROM o JOIN pd ON o.k = pd.k AND o.place = pd.place AND pd.day > o.day AND pd.day <= o.day + 365 GROUP BY 1),
+p1 AS (SELECT o.o_orderkey, h.price, h.day FROM o ASOF LEFT JOIN h ON o.k = h.k AND o.day > h.day),
+p2 AS (SELECT o.o_orderkey, hf.price FROM (SELECT *, day + 365 AS ahead FROM o) o ASOF LEFT JOIN hf ON o.k = hf.k AND o.ahead >= hf.day)
+SELECT o.o_orderkey, CAST(p1.price AS DOUBLE) AS prior_price, p1.day AS prior_day, CAST(p2.price AS DOUBLE) AS finished_price, CAST(COALESCE(q.qty, 0) AS DOUBLE) AS shipped_90d,
+  CAST(COALESCE(s.n, 0) AS BIGINT) AS next_orders, CAST(COALESCE(s.price, 0) AS DOUBLE) AS next_spend
+FROM o JOIN p1 USING (o_orderkey) JOIN p2 USING (o_orderkey) LEFT JOIN q USING (o_orderkey) LEFT JOIN s USING (o_orderkey)""")
+def timeline_answers(spark, sf):
+    """Two last values, a look-back total of another table, and totals at the same priority ahead, all from one timeline."""
+    orders = read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("place"), F.to_date("o_orderdate").alias("day"),
+                                              F.col("o_totalprice").cast(MONEY).alias("price"), "o_orderstatus")
+    lines = _lines(spark, sf).join(read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k")), "l_orderkey")
+    out = point_in_time(orders, by=["k"], within=["place"], on=["day"], instants={
+        "day": F.col("day"), "before": F.date_sub("day", 1), "from": F.date_sub("day", 91), "ahead": F.date_add("day", 365)},
+        sources={"orders": (orders, F.col("day")), "lines": (lines, F.col("day"))}, probes=[
+            LastValue("orders", "day", {"prior_price": F.col("price")}, [F.col("o_orderkey")], strict=True, dated="prior_day"),
+            LastValue("orders", "ahead", {"finished_price": F.col("price")}, [F.col("o_orderkey")], where=F.col("o_orderstatus") == "F"),
+            Totals("lines", "from", "before", {"shipped_90d": F.col("qty")}),
+            Totals("orders", "day", "ahead", {"next_orders": F.lit(1), "next_spend": F.col("price")}, inside=True)])
+    return out.select("o_orderkey", "prior_day", F.col("next_orders").cast("long").alias("next_orders"),
+                      *[F.col(c).cast("double").alias(c) for c in ("prior_price", "finished_price", "shipped_90d", "next_spend")])
