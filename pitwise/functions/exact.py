@@ -39,7 +39,7 @@ class Limbs(NamedTuple):
         return self.count + 3 * self.odd
 
     def total(self, sums: Sequence[Column]) -> Column:
-        """The double nearest to what sums of limbs stand for (within one unit in the last place, and exact where a double can hold it)."""
+        """The double nearest to what sums of limbs stand for."""
         start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
 
         def add(state: Column, limb: Column) -> Column:
@@ -49,11 +49,19 @@ class Limbs(NamedTuple):
         def settled(limbs: Column) -> Column:
             return F.aggregate(limbs, start, add, lambda s: F.concat(s["out"], F.array(s["carry"])))
 
-        exponents = [self.low + _BITS * k for k in range(self.count + 1)]
+        exponents = [self.low + _BITS * (k - 1) for k in range(self.count + 1)]
         scales = F.array(*[F.array(F.lit(2.0 ** (e // 2)), F.lit(2.0 ** (e - e // 2))) for e in exponents])      # in halves, which no double overflows
 
-        def value(limbs: Column) -> Column:       # none of which is negative, from the lowest
-            return F.aggregate(F.zip_with(limbs, scales, lambda x, by: x.cast("double") * by[0] * by[1]), F.lit(0.0), lambda a, x: a + x)
+        def value(limbs: Column) -> Column:
+            """Of limbs that are not negative: the first 53 bits as one double, and what follows, with a last bit for anything below, as another."""
+            down = F.reverse(limbs)
+            first = F.array_position(F.transform(down, lambda x: x != 0), F.lit(True)).cast("int")
+            at = lambda k: F.coalesce(F.get(down, first - 1 + k), F.lit(0).cast("long"))
+            rest = at(1) % 2048
+            more = F.exists(F.slice(down, first + 3, F.size(down)), lambda x: x != 0).cast("long")
+            head, tail = at(0).cast("double") * float(_MASK + 1) + (at(1) - rest).cast("double"), ((rest * (_MASK + 1) + at(2)) * 2 + more).cast("double")
+            scale = F.get(scales, F.size(down) - first)
+            return F.when(first == 0, F.lit(0.0)).otherwise((head + tail * 2.0 ** -33) * scale[0] * scale[1])
         limbs = F.array(*[F.coalesce(s, F.lit(0).cast("long")) for s in sums[:self.count]])
         both = F.transform(F.array(limbs), lambda x: F.struct(settled(x).alias("up"), settled(F.transform(x, lambda y: -y)).alias("down")))[0]
         number = F.transform(F.array(both), lambda b: F.when(F.element_at(b["up"], -1) < 0, -value(b["down"])).otherwise(value(b["up"])))[0]

@@ -204,9 +204,9 @@ def interval_aggregate(
 ) -> DataFrame:
     """``sum``/``min``/``max`` over ``start <= day < end``; no facts give null.
 
-    Facts are reduced to blocks of 1, 4, 16 and so on up to 4,096 days, and an interval is the join of the few blocks that make it up: at most six of each
-    length, whatever its length and place (beyond eleven years, one more for each eleven). Neither a busy key nor a long interval so lands in one
-    partition, and no fact meets an interval by itself. ``grain`` (month or year) is of no effect: blocks of all lengths are there.
+    Facts are reduced to days, and to blocks of 32, 128, 512 and 2,048 days. An interval is the join of the few blocks that make it up, at most six of each
+    length (and one more for each 2,048 days), and of the days in the pieces of fewer than 32 at its ends. Neither a busy key nor a long interval so lands in
+    one partition. ``grain`` (month or year) is of no effect: blocks of all lengths are there.
     """
     if grain not in ("month", "year"):
         raise ValueError(f"unknown grain {grain!r}")
@@ -214,38 +214,41 @@ def interval_aggregate(
     names = list(aggregates)
     again = [how[kind](n).alias(n) for n, (kind, _) in aggregates.items()]
 
-    facts = facts.withColumn("__d", F.unix_date(F.to_date(fact_on)))
-    blocks = _not_null(facts, [*by, "__d"]).select(*by, "__d", *[expr.alias(n) for n, (_, expr) in aggregates.items()]).withColumn(
-        "__b", F.explode(F.array(*[F.struct(F.lit(w).alias("w"), F.floor(F.col("__d") / w).cast("int").alias("i")) for w in BLOCK_DAYS])))
-    keys = [*by, "__w", "__i"]
-    blocks = blocks.select(*by, F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"), *names).groupBy(*keys).agg(*again)
+    dated = _not_null(facts.withColumn("__d", F.unix_date(F.to_date(fact_on))), [*by, "__d"])
+    pieces = [F.struct(F.lit(0).alias("w"), F.col("__d").alias("d"), F.floor(F.col("__d") / BLOCK_DAYS[0]).cast("int").alias("i"))] + [
+        F.struct(F.lit(w).alias("w"), F.lit(None).cast("int").alias("d"), F.floor(F.col("__d") / w).cast("int").alias("i")) for w in BLOCK_DAYS]
+    blocks = dated.select(*by, *[expr.alias(n) for n, (_, expr) in aggregates.items()], F.explode(F.array(*pieces)).alias("__b")).groupBy(
+        *by, F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"), F.col("__b.d").alias("__d")).agg(*again)
 
     source = anchors if points is None else points
     spans = _not_null(source.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")), [*by, "__s", "__e"]).where("__s < __e").distinct()
     parts = spans.withColumn("__b", F.explode(interval_blocks(F.unix_date("__s"), F.unix_date("__e")))).select(
         *by, "__s", "__e", F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"))
-    found = parts.join(blocks, keys).groupBy(*by, "__s", "__e").agg(*again)
+    met = parts.join(blocks, [*by, "__w", "__i"]).where("__w > 0 or (__d >= unix_date(__s) and __d < unix_date(__e))")
+    found = met.groupBy(*by, "__s", "__e").agg(*again)
     keyed = anchors.withColumns({"__s": F.to_date(start), "__e": F.to_date(end)})
     return _join_back(keyed, found, [*by, "__s", "__e"]).drop("__s", "__e")
 
 
 #: Lengths of the blocks that facts are reduced to, each four of the one before.
-BLOCK_DAYS = tuple(4 ** k for k in range(7))
+BLOCK_DAYS = (32, 128, 512, 2048)
 
 
 def interval_blocks(start: Column, stop: Column) -> Column:
-    """The blocks (w days, number i, which begins at day w * i) that make up the days from ``start`` up to ``stop``, each day once."""
+    """What makes up the days from ``start`` up to ``stop``: blocks (w days, number i, from day w * i on), each day once, and where w is 0 the blocks of 32 days that hold the rest."""
     up = lambda w: F.ceil(start / w).cast("int")
     down = lambda w: F.floor(stop / w).cast("int")
     none = F.array().cast("array<int>")
     run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
     named = lambda numbers, w: F.transform(numbers, lambda i: F.struct(F.lit(w).alias("w"), i.alias("i")))
-    found = []
+    least = BLOCK_DAYS[0]
+    cut = lambda day: (day % least != 0) | (up(least) >= down(least))
+    ends = F.array(F.when(cut(start), F.floor(start / least).cast("int")), F.when(cut(stop), F.floor((stop - 1) / least).cast("int")))
+    found = [named(F.array_distinct(F.array_compact(ends)), 0)]
     for k, w in enumerate(BLOCK_DAYS):
         whole = run(up(w), down(w))
         if k + 1 < len(BLOCK_DAYS):        # what longer blocks cover is left to them
             longer = BLOCK_DAYS[k + 1]
-            ends = F.concat(run(up(w), up(longer) * 4), run(down(longer) * 4, down(w)))
-            whole = F.when(up(longer) < down(longer), ends).otherwise(whole)
+            whole = F.when(up(longer) < down(longer), F.concat(run(up(w), up(longer) * 4), run(down(longer) * 4, down(w)))).otherwise(whole)
         found.append(named(whole, w))
     return F.concat(*found)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pitwise.operators.features import build_feature_splits
 from pitwise.sources.tables import schema_metadata, write_table
 
-TARGET, SORT_BY = "target_success", "transfer_date"
+TARGET, SORT_BY = "transfer_success", "transfer_date"
 
 # Columns that identify a row, date it or reveal the outcome.
 EXCLUDED = (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pitwise.functions.scalars import age_at, map_values, match_flag, parse_date, safe_divide, same_flag, season_start_year, to_number
 from pitwise.functions.text import normalize_text
 from pitwise.operators import cohort as C
-from pitwise.operators.asof import asof_lookup, lookback_totals
+from pitwise.operators.timeline import LastValue, Totals, answers, attach, point_in_time
 from pitwise.operators.joins import keep_last, lookup, role_lookup
 from pitwise.session import materialize
 from pitwise.sources import feed
@@ -89,30 +89,23 @@ def enrich(included: DataFrame, players: DataFrame, clubs: DataFrame, competitio
         "is_same_country_move": same_flag("source_country_name", "destination_country_name")})
 
 
-def add_valuations(cohort: DataFrame, valuations: DataFrame, *, order_by: str, points: DataFrame | None = None) -> DataFrame:
-    """Value at the transfer and 180 and 365 days earlier, changes, and fee against value."""
-    points = cohort if points is None else points
-    history = _dated(valuations, "date").select("player_id", "date", "market_value_in_eur", "current_club_id", "player_club_domestic_competition_id", order_by)
-    history = history.withColumnRenamed(order_by, "__order")
-    own = cohort.withColumnRenamed("market_value_in_eur", "__own")
-    out = asof_lookup(own, history, by=["player_id"], anchor_on="transfer_date", history_on="date", prefix="__v_", order_ties_by=["__order"], points=points,
-                      values=["market_value_in_eur", "current_club_id", "player_club_domestic_competition_id"])
-    known = F.col("__v_market_value_in_eur")
-    out = out.withColumnRenamed("__own", "market_value_in_eur").withColumns({
-        "pre_transfer_market_value": F.coalesce(known, F.col("market_value_in_eur")), "pre_transfer_market_value_date": F.col("__v_date"),
-        "pre_transfer_market_value_club_id": F.col("__v_current_club_id"), "pre_transfer_market_value_league_id": F.col("__v_player_club_domestic_competition_id"),
-        "pre_transfer_market_value_source": F.when(known.isNull() & F.col("market_value_in_eur").isNotNull(), "transfer_row_market_value").otherwise("valuation_history")})
-    out = out.drop("__v_market_value_in_eur", "__v_date", "__v_current_club_id", "__v_player_club_domestic_competition_id")
-    prior = history.select("player_id", F.col("date").alias("prior_date"), F.col("market_value_in_eur").alias("prior"), "__order")
-    for days in PLAYER_WINDOWS:
-        cut = {"__cut": F.date_sub("transfer_date", days)}
-        out = asof_lookup(out.withColumns(cut), prior, by=["player_id"], anchor_on="__cut", history_on="prior_date", values=["prior"], prefix="__",
-                          order_ties_by=["__order"], points=points.withColumns(cut))
-        out = out.withColumnsRenamed({"__prior": f"market_value_{days}d_prior", "__prior_date": f"market_value_{days}d_prior_date"}).drop("__cut")
-        out = out.withColumn(f"market_value_change_{days}d", F.col("pre_transfer_market_value") - F.col(f"market_value_{days}d_prior"))
+def _valuation_questions(order_by: str) -> list[LastValue]:
+    """Value, club and league at the transfer, and the values some days earlier."""
+    value, ties = F.col("market_value_in_eur"), [F.col(order_by)]
+    at_transfer = {"__v_value": value, "pre_transfer_market_value_club_id": F.col("current_club_id"), "pre_transfer_market_value_league_id": F.col("player_club_domestic_competition_id")}
+    return [LastValue("valuations", "day", at_transfer, ties, dated="pre_transfer_market_value_date"),
+            *[LastValue("valuations", f"d{w}", {f"market_value_{w}d_prior": value}, ties, dated=f"market_value_{w}d_prior_date") for w in PLAYER_WINDOWS]]
+
+
+def _valued(cohort: DataFrame) -> DataFrame:
+    """Value at the transfer (the transfer's own where there is none before it), changes, and fee against value."""
+    known, own, value = F.col("__v_value"), F.col("market_value_in_eur"), F.col("pre_transfer_market_value")
+    out = cohort.withColumns({
+        "pre_transfer_market_value": F.coalesce(known, own),
+        "pre_transfer_market_value_source": F.when(known.isNull() & own.isNotNull(), "transfer_row_market_value").otherwise("valuation_history")}).drop("__v_value")
     return out.withColumns({
-        "transfer_fee_to_market_value_ratio": safe_divide("transfer_fee", "pre_transfer_market_value"),
-        "transfer_fee_minus_market_value": F.col("transfer_fee") - F.col("pre_transfer_market_value")})
+        **{f"market_value_change_{w}d": value - F.col(f"market_value_{w}d_prior") for w in PLAYER_WINDOWS},
+        "transfer_fee_to_market_value_ratio": safe_divide("transfer_fee", "pre_transfer_market_value"), "transfer_fee_minus_market_value": F.col("transfer_fee") - value})
 
 
 def _activity():
@@ -120,11 +113,14 @@ def _activity():
     return {"matches": F.lit(1), "minutes": F.col("minutes_played"), "goals": F.col("goals"), "assists": F.col("assists")}
 
 
-def add_player_form(cohort: DataFrame, appearances: DataFrame, *, points: DataFrame | None = None) -> DataFrame:
-    out = lookback_totals(cohort, _dated(appearances, "date"), by=["player_id"], anchor_on="transfer_date", fact_on="date", metrics=_activity(),
-                          windows={f"{w}d": (1 - w, -1) for w in PLAYER_WINDOWS}, name="player_{metric}_{window}_pre", points=points)
-    return out.withColumns({f"player_{m}_per90_{w}d_pre": safe_divide(F.col(f"player_{m}_{w}d_pre") * 90, f"player_minutes_{w}d_pre")
-                            for w in PLAYER_WINDOWS for m in ("goals", "assists")})
+def _form_questions() -> list[Totals]:
+    return [Totals("activity", f"d{w}", "before", {f"player_{m}_{w}d_pre": e for m, e in _activity().items()}) for w in PLAYER_WINDOWS]
+
+
+def _rated(cohort: DataFrame) -> DataFrame:
+    """Goals and assists per 90 minutes."""
+    return cohort.withColumns({f"player_{m}_per90_{w}d_pre": safe_divide(F.col(f"player_{m}_{w}d_pre") * 90, f"player_minutes_{w}d_pre")
+                               for w in PLAYER_WINDOWS for m in ("goals", "assists")})
 
 
 def club_results(club_games: DataFrame, games: DataFrame) -> DataFrame:
@@ -137,18 +133,19 @@ def club_results(club_games: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def add_club_form(cohort: DataFrame, results: DataFrame, *, points: DataFrame | None = None) -> DataFrame:
-    """Form of both clubs over the year before the transfer day."""
+    """Form of both clubs over the year before the transfer day, from one timeline of clubs."""
     points = cohort if points is None else points
-    metrics = {"matches": F.lit(1), "wins": F.col("wins"), "points": F.col("points"), "goal_diff": F.col("goal_diff")}
+    metrics = {"__matches": F.lit(1), "__wins": F.col("wins"), "__points": F.col("points"), "__goal_diff": F.col("goal_diff")}
+    asked = points.select(F.explode(F.array(*[f"{r}_club_id" for r in ROLES])).alias("club_id"), "transfer_date")
+    form = answers(asked, by=["club_id"], on=["transfer_date"], instants={"year": F.date_sub("transfer_date", CLUB_WINDOW), "before": F.date_sub("transfer_date", 1)},
+                   sources={"results": (results, F.col("date"))}, probes=[Totals("results", "year", "before", metrics)])
     for role in ROLES:
-        key = f"{role}_club_id"
-        cohort = lookback_totals(cohort, results.withColumnRenamed("club_id", key), by=[key], anchor_on="transfer_date", fact_on="date", metrics=metrics,
-                                 windows={"year": (1 - CLUB_WINDOW, -1)}, name="__{metric}", points=points)
+        cohort = attach(cohort, form, keys={f"{role}_club_id": "club_id", "transfer_date": "transfer_date"}, totals=list(metrics))
         end = f"_{CLUB_WINDOW}d_pre"
         cohort = cohort.withColumns({
             f"{role}_matches{end}": F.col("__matches"), f"{role}_win_rate{end}": safe_divide("__wins", "__matches"),
             f"{role}_points_per_match{end}": safe_divide("__points", "__matches"),
-            f"{role}_goal_diff_per_match{end}": safe_divide("__goal_diff", "__matches")}).drop("__matches", "__wins", "__points", "__goal_diff")
+            f"{role}_goal_diff_per_match{end}": safe_divide("__goal_diff", "__matches")}).drop(*metrics)
     return cohort
 
 
@@ -175,18 +172,25 @@ def add_feed_context(cohort: DataFrame, context: DataFrame) -> DataFrame:
     return cohort
 
 
-def add_label(cohort: DataFrame, appearances: DataFrame, valuations: DataFrame, *, months: int, minutes: int, order_by: str, points: DataFrame | None = None) -> DataFrame:
-    """Success: enough minutes at the destination and an end value not below the value at the transfer."""
-    history = _dated(valuations, "date").select("player_id", "date", "market_value_in_eur", F.col(order_by).alias("__order"))
-    out = C.follow_up_label(
-        cohort.withColumnRenamed("market_value_in_eur", "__own"), _dated(appearances, "date"), history, entity="player_id", place="destination_club_id",
-        activity_place="player_club_id", date="transfer_date", activity_on="date", metrics=_activity(), threshold_metric="minutes", threshold=minutes,
-        value_on="date", value="market_value_in_eur", baseline="pre_transfer_market_value", months=months, value_ties=["__order"], prefix="target_", points=points,
-        reasons_for={"baseline": "missing_pre_transfer_market_value", "end": "missing_follow_up_market_value", "inside": "no_market_value_inside_follow_up_window"})
+def add_player_history(cohort: DataFrame, appearances: DataFrame, valuations: DataFrame, *, months: int, minutes: int, order_by: str,
+                       points: DataFrame | None = None) -> DataFrame:
+    """Values, form and follow-up label of each transfer's player, all from one timeline of players.
+
+    Success: enough minutes at the destination and an end value not below the value at the transfer.
+    """
+    history = _dated(valuations, "date").select("player_id", "date", "market_value_in_eur", "current_club_id", "player_club_domestic_competition_id", order_by)
+    activity = _dated(appearances, "date").withColumnRenamed("player_club_id", "destination_club_id")
+    judged = C.FollowUp(
+        entity="player_id", place="destination_club_id", date="transfer_date", activity=activity, activity_on="date", metrics=_activity(), threshold_metric="minutes",
+        threshold=minutes, valuations=history, value_on="date", value="market_value_in_eur", baseline="pre_transfer_market_value", months=months, value_ties=[order_by])
+    instants = {**judged.instants(), "day": F.col("transfer_date"), **{f"d{w}": F.date_sub("transfer_date", w) for w in PLAYER_WINDOWS}}
+    answered = point_in_time(cohort, by=["player_id"], within=["destination_club_id"], on=["transfer_date"], instants=instants, sources=judged.sources(),
+                             probes=[*judged.probes(), *_valuation_questions(order_by), *_form_questions()], points=points)
+    out = judged.judge(_rated(_valued(answered)), {
+        "baseline": "missing_pre_transfer_market_value", "end": "missing_follow_up_market_value", "inside": "no_market_value_inside_follow_up_window"})
     return out.withColumnsRenamed({
-        "__own": "market_value_in_eur", "target_end_value": "target_end_market_value", "target_end_value_date": "target_end_market_value_date",
-        "target_value_delta": "target_market_value_delta_24m", "success": "transfer_success",
-        **{f"target_{m}": f"target_destination_{m}_24m" for m in TARGET_METRICS}})
+        "target_end_value": "target_end_market_value", "target_end_value_date": "target_end_market_value_date",
+        "target_value_delta": "target_market_value_delta_24m", "success": "transfer_success", **{f"target_{m}": f"target_destination_{m}_24m" for m in TARGET_METRICS}})
 
 
 def finalize(labelled: DataFrame, order_by: str) -> DataFrame:
@@ -221,14 +225,13 @@ def build_modeling_dataset(
     audited = materialize(audit_transfers(transfers, tables["clubs"], start=start, end=end, leagues=leagues, order_by=order_by))
     points = C.included(audited)
     cohort = enrich(points, tables["players"], tables["clubs"], tables["competitions"])
-    cohort = add_valuations(cohort, valuations, order_by=order_by, points=points)
-    cohort = add_player_form(cohort, tables["appearances"], points=points)
+    cohort = add_player_history(cohort, tables["appearances"], valuations, months=months, minutes=minutes, order_by=order_by, points=points)
     cohort = add_club_form(cohort, club_results(tables["club_games"], tables["games"]), points=points)
     context = materialize(feed_context(payloads, leagues))
     if context.isEmpty():
         raise ValueError("the feed holds no usable rows")
     cohort = add_feed_context(cohort, context)
-    labelled = materialize(add_label(cohort, tables["appearances"], valuations, months=months, minutes=minutes, order_by=order_by, points=points))
+    labelled = materialize(cohort)
 
     counts = labelled.agg(F.count(F.lit(1)).alias("n"), F.count("source_api_cached_matches").alias("s"), F.count("destination_api_cached_matches").alias("d"),
                           F.count_if(F.col("target_is_eligible")).alias("eligible"),

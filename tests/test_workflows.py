@@ -40,7 +40,7 @@ def test_prepare_features_keeps_ids_names_and_dates_out(spark, tmp_path):
     from pitwise.plans.features import EXCLUDED, prepare_features
     from pitwise.plans.modelling import LEAKING
     rows = [(f"t{i}", f"2020-{1 + i % 12:02d}-{1 + i % 28:02d}", i, f"name {i}", f"club {i % 7}", float(i % 13), "left" if i % 3 else "right", "why", i % 2) for i in range(60)]
-    df = spark.createDataFrame(rows, "transfer_key string, transfer_date string, player_id int, player_name string, source_club_name string, fee double, foot string, target_failure_reason string, target_success int")
+    df = spark.createDataFrame(rows, "transfer_key string, transfer_date string, player_id int, player_name string, source_club_name string, fee double, foot string, target_failure_reason string, transfer_success int")
     from pyspark.sql import functions as F
     df = df.withColumn("transfer_date", F.to_date("transfer_date")).withColumn("order_key", F.substring("transfer_key", 2, 9).cast("long"))
     out = prepare_features(df, str(tmp_path), tie_by="order_key")
@@ -49,3 +49,20 @@ def test_prepare_features_keeps_ids_names_and_dates_out(spark, tmp_path):
     sizes = {n: spark.read.parquet(out["paths"][n]).count() for n in ("train", "val", "test", "features_train", "features_val", "features_test")}
     assert sizes == {"train": 42, "val": 9, "test": 9, "features_train": 42, "features_val": 9, "features_test": 9}
     assert Preprocessor.load(out["paths"]["preprocessor"]).feature_columns == out["preprocessor"].feature_columns
+
+
+def test_features_of_the_modelling_table_with_defaults(spark, tmp_path):
+    import football
+    from pyspark.sql import functions as F
+    from pitwise.plans import features, transfers
+    from pitwise.sources import feed
+    from pitwise.sources.tables import load_tables
+    raw, feeds = football.build(tmp_path)
+    table = transfers.build_modeling_dataset(load_tables(spark, raw), feed.read_feed(spark, feed.feed_paths(spark, feeds)))["modeling_dataset"]
+    assert features.TARGET in table.columns
+    out = features.prepare_features(table.withColumn("position_in_file", F.col("player_id").cast("long")), str(tmp_path / "out"), tie_by="position_in_file")
+    chosen = set(out["preprocessor"].feature_columns)
+    assert features.TARGET not in chosen and not chosen & set(features.EXCLUDED) and not [c for c in chosen if c.startswith("target_")]
+    assert {"age_at_transfer", "pre_transfer_market_value", "player_minutes_180d_pre"} <= chosen
+    total = sum(spark.read.parquet(out["paths"][n]).count() for n in ("train", "val", "test"))
+    assert total == table.count()
