@@ -79,14 +79,19 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         for batch in pieces(batches):
             for raw in batch.column(0).to_pylist():
                 ids = tokens(raw, buckets)
-                for i in range(0, len(ids), _CHUNK):        # a very long text is cut, with the neighbours of the cut on both sides lost
-                    held += [ids[i:i + _CHUNK], np.zeros(REACH, np.int64)]
-                    size += min(_CHUNK, len(ids) - i)
-                    if size >= _CHUNK:
-                        flush()
-                        size = 0
+                if len(ids) > _CHUNK:       # a very long text goes piece by piece, each with the neighbours that its ends have
+                    padded = np.concatenate((np.zeros(REACH, np.int64), ids, np.zeros(REACH, np.int64)))
+                    for i in range(0, len(ids), _CHUNK):
+                        add_contexts(padded[i:i + _CHUNK + 2 * REACH], places, signs, total)
+                    continue
+                held += [ids, np.zeros(REACH, np.int64)]
+                size += len(ids)
+                if size >= _CHUNK:
+                    flush()
+                    size = 0
         flush()
         rows = total.reshape(BUCKETS, WIDTH)
+        rows[_PAD] = 0
         used = np.flatnonzero(rows.any(axis=1))
         if len(used):
             values = pa.array(rows[used].astype(np.int64).ravel(), pa.int64())

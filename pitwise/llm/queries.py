@@ -79,7 +79,7 @@ def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_mix_to_targets")
 def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text"), labelled_domains(spark, sf_dir), DOMAIN_WEIGHTS)
+    mixed = mixing.mix_ids(read(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), DOMAIN_WEIGHTS)
     return mixed.select("doc_id", "n_tokens", *[F.get("posterior", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAIN_WEIGHTS)], "rate", "copies")
 
 
@@ -123,19 +123,19 @@ def op6_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = labelled_sample(read(spark, sf_dir, "labels"), "toxic", fold(5) != 0, MAX_LABELLED_TOXIC)
     scores = toxicity.toxicity_scores(read(spark, sf_dir, "documents"), labelled)
-    return scores.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scores.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-@query("op8_find_licenses", licenses.report_sql())
+@query("op8_find_licenses", licenses.report_sql(best=True))
 def op8_find_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_report(read(spark, sf_dir, "documents"))
+    return licenses.license_report(read(spark, sf_dir, "documents"), best=True)
 
 
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = labelled_sample(read(spark, sf_dir, "labels"), "quality", fold(4) != 2, MAX_LABELLED)
     scores = quality.quality_scores(read(spark, sf_dir, "documents"), labelled)
-    return scores.select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scores.select("doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 @query("op10_secrets")

@@ -223,6 +223,14 @@ def test_lines_of_equal_rows_and_clashing_names(spark):
     assert got == [(1, text), (2, text), (4, "x"), (5, None)] and lines.drop_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_long_texts_lose_no_neighbours(spark, monkeypatch):
+    rng = random.Random(3)
+    docs = frame(spark, [(1, " ".join(words(rng, 900, 50))), (2, " ".join(words(rng, 40, 50))), (3, None)])
+    whole = quality.word_vectors(docs)
+    monkeypatch.setattr(quality, "_CHUNK", 100)
+    assert np.array_equal(whole, quality.word_vectors(docs))
+
+
 # -- mixing ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("weights, reachable", [([0.2, 0.5, 0.3], True), ([0.9, 0.05, 0.05], True), ([0.0, 0.0, 1.0], False)])
@@ -264,6 +272,63 @@ def test_mix_of_documents(spark):
         mixing.mix(frame(spark, texts).withColumn("Rate", F.lit(1)), labelled, {"good": 1.0})
 
 
+@pytest.mark.parametrize("toxic, spread", [(0.01, 0.05), (0.12, 0.5), (0.3, 0.05)])
+def test_whole_domain_keeps_every_document_and_no_row_decides_the_budget(spark, toxic, spread):
+    rng = np.random.default_rng(9)
+    p = np.where(rng.random(2000) < toxic, rng.uniform(0.9, 1.0, 2000), rng.uniform(0, spread, 2000))
+    p[:3] = 0.4999999, 0.5, 0.5000001
+    n = rng.integers(1, 2000, 2000)
+    scored = spark.createDataFrame([(int(a), [float(1 - b), float(b)], float(u)) for a, b, u in zip(n, p, rng.random(2000))], "n_tokens long, posterior array<double>, draw double")
+    history, start = mixing.fit_rates(scored, [0.97, 0.03], whole=0, max_steps=30)
+    rows = mixing.with_rates(scored, history, start, 0).collect()
+    clean = [r for r in rows if r.posterior[0] >= r.posterior[1]]
+    assert len(rows) == 2000 and all(r.copies >= 1 and r.rate >= 1 for r in clean) and all(r.rate >= 0 for r in rows)
+    assert max(r.rate for r in rows) < 25
+    totals = np.array([[r.rate * r.n_tokens * q for q in r.posterior] for r in rows]).sum(axis=0)
+    assert totals.sum() <= 2 * n.sum()
+    if toxic <= 0.3 and spread == 0.05:
+        assert totals[1] / totals.sum() == pytest.approx(0.03, abs=0.005)
+
+
+def test_rates_with_a_least_equal_plain_projected_gradient(spark):
+    rng = np.random.default_rng(4)
+    n, p = rng.integers(1, 400, 200).astype(float), rng.dirichlet((2, 0.5), 200)
+    table = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, posterior array<double>")
+    history, start = mixing.fit_rates(table, [0.9, 0.1], max_steps=60, whole=0)
+    rate = np.array([r.rate for r in table.withColumn("rate", mixing._rate(history, start, F.col("posterior"), 0)[0]).collect()])
+    least, own = (p[:, 0] >= p[:, 1]).astype(float), (p[:, 0] >= p[:, 1])
+    budget = max(n.sum(), (n * p[:, 0])[own].sum() / 0.9)
+    target, d = np.array([0.9, 0.1]) * budget, 1 / np.einsum("d,dk,dk->k", n, p, p)
+    best, step = np.maximum(least, 1.0 * budget / n.sum()), 1 / np.linalg.eigvalsh(np.einsum("d,di,dj->ij", n, p, p) * np.sqrt(np.outer(d, d))).max()
+    for _ in range(20_000):
+        best = np.maximum(least, best - step * (p @ (d * (p.T @ (n * best) - target))))
+    loss = lambda r: float(d @ (p.T @ (n * r) - target) ** 2)
+    assert (rate >= least).all() and loss(rate) <= loss(best) * 1.02 + 1e-4 * budget
+
+
+def test_calibration_finds_scales():
+    rng = np.random.default_rng(1)
+    w, v = rng.normal(0, 2, 1500), rng.normal(0, 2, 1500)
+    y = rng.random(1500) < 1 / (1 + np.exp(-(-1 + 0.5 * w + 1.5 * v)))
+    scale = mixing.calibrate([(int(k), [[float(a), float(b)]]) for k, a, b in zip(y, w, v)], 2)[0]
+    assert scale == pytest.approx((-1, 0.5, 1.5), abs=0.25)
+    assert mixing.calibrate([], 3) == [mixing.PLAIN] * 2 and sum(mixing._odds([[3.0, 1.0], [0.0, 2.0]], [mixing.PLAIN] * 2)) == pytest.approx(1)
+
+
+def test_domains_are_told_by_shape_where_words_say_nothing(spark):
+    rng = random.Random(8)
+    texts = [(i, " ".join(f"w{rng.randrange(10**6)}" + (" |#%" if i % 4 == 0 else "") for _ in range(30))) for i in range(500)] + [(900, None), (901, "")]
+    labelled = spark.createDataFrame([(i, "poor" if i % 4 == 0 else "good") for i in range(300)], "doc_id long, domain string")
+    model, scales, figures = mixing.fit_domains(frame(spark, texts), labelled, ["good", "poor"])
+    assert figures["rows"] > 40 and figures["accuracy"] == 1
+    got = {r.doc_id: r.posterior for r in mixing.domain_posteriors(frame(spark, texts), labelled, ["good", "poor"]).collect()}
+    assert all((got[i][1] > 0.5) == (i % 4 == 0) for i in range(300, 500)) and len(got) == 502
+    mixed = mixing.mix_ids(frame(spark, texts), labelled, {"good": 0.95, "poor": 0.05})
+    totals = {r.domain: r for r in mixing.domain_totals(mixed, {"good": 0.95, "poor": 0.05}).collect()}
+    assert abs(totals["poor"].miss) < 0.01 and totals["good"].share == pytest.approx(1 - totals["poor"].share)
+    assert mixed.columns == ["doc_id", "n_tokens", "posterior", "rate", "copies"]
+
+
 # -- urls --------------------------------------------------------------------------------------
 
 RULES = [urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
@@ -353,6 +418,27 @@ def test_licenses_equal_brute_force(spark):
     assert got == {i: brute(t) for i, t in texts} and got[2][0] == "MIT" and got[6][1] == 1.0
 
 
+def test_best_licenses_equal_brute_force(spark):
+    pool = [t for _, t in licenses.TEMPLATES]
+    rng = random.Random(2)
+    texts = [(i, rng.choice(("\n", "\n\n")).join(rng.choice(pool) if rng.random() < 0.6 else "some prose of its own here" for _ in range(rng.randrange(1, 5)))) for i in range(60)]
+    known = licenses.prepared(licenses.TEMPLATES)
+    for r in licenses.license_report(frame(spark, texts), best=True).collect():
+        text, found = dict(texts)[r.doc_id], set()
+        for unit, parts in (("line", text.split("\n")), ("paragraph", text.split("\n\n")), ("text", [text])):
+            for i, part in enumerate(parts):
+                w = word_list(part)
+                grams = {(a, b) for a, b in zip(w, w[1:])}
+                dice = {}
+                for t in known:
+                    own = {tuple(x.decode() for x in (g if isinstance(g, tuple) else g.split(b" "))) for g in t.bigrams}
+                    if grams:
+                        dice[t.license] = max(dice.get(t.license, 0), 2 * len(grams & own) / (len(grams) + len(own)))
+                top = max(dice.values(), default=0)
+                found |= {(name, unit, i) for name, d in dice.items() if d >= 0.8 and d >= top - 1e-12}
+        assert (r.n_matches, r.licenses) == (len(found), ",".join(sorted({f[0] for f in found})))
+
+
 def test_best_licenses_of_a_unit(spark):
     gpl = "This work is licensed under the GNU General Public License, version 3."
     cc = "This work is licensed under a Creative Commons Attribution 4.0 International License"
