@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwise.llm import decontam, lines, minhash, mixing, quality
-from pitwise.llm.common import fold, labelled_sample, read
+from pitwise.llm.common import fold, free_name, labelled_sample, read
 from pitwise.llm.queries import MAX_LABELLED, labelled_domains
 
 #: Target shares of the tokens in the mix.
@@ -48,10 +48,12 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the rate that fits the target weights and how many copies of them to take; those of which none is taken go.
 
-    The budget is so large that each document that is more likely good than toxic is taken once at least.
+    Each document that is more likely good than toxic is taken once at least, whatever the share of toxic tokens, and none of them decides how often others are taken.
+    Where documents have columns of these names already, the new ones have an underscore in front.
     """
-    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), WEIGHTS, whole="good")
-    return mixed.where("copies > 0").select(*docs.columns, "rate", "copies")
+    own = {c: free_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("n_tokens", "posterior", "rate", "copies", "draw")}
+    mixed = mixing.mix(docs.withColumnsRenamed(own), labelled_domains(spark, sf_dir), WEIGHTS, whole="good").where("copies > 0")
+    return mixed.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns], *[F.col(c).alias(free_name(docs, c)) for c in ("rate", "copies")])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
