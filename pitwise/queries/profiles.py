@@ -99,12 +99,13 @@ WITH c AS (SELECT 'o_orderstatus' AS column_name, o_orderstatus AS v FROM orders
   UNION ALL SELECT 'o_custkey', CASE WHEN o_custkey % 4 <> 0 THEN CAST(o_custkey AS VARCHAR) END FROM orders),
 n AS (SELECT column_name, v, COUNT(*) AS n FROM c WHERE v IS NOT NULL GROUP BY 1, 2),
 t AS (SELECT column_name, COUNT(v) AS nn, COUNT(*) - COUNT(v) AS miss, COUNT(*) AS tot, COUNT(DISTINCT v) AS d FROM c GROUP BY 1),
-m AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY n DESC, v) = 1)
-SELECT 'orders' AS table_name, column_name, nn AS non_null_count, miss AS missing_count, ROUND(miss * 100.0 / tot, 4) AS missing_pct, d AS distinct_count,
-  m.v AS mode_value, m.n AS mode_count, ROUND(m.n * 100.0 / nn, 4) AS mode_pct FROM t JOIN m USING (column_name)""")
+k AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, v) AS r FROM n QUALIFY r <= 5), m AS (SELECT * FROM k WHERE r = 1),
+top AS (SELECT column_name, '[' || string_agg('{"value":"' || v || '","count":' || n || ',"pct":' || ROUND(n * 100.0 / nn, 4) || '}', ',' ORDER BY r) || ']' AS top_values FROM k JOIN t USING (column_name) GROUP BY 1)
+SELECT top_values, 'orders' AS table_name, column_name, nn AS non_null_count, miss AS missing_count, ROUND(miss * 100.0 / tot, 4) AS missing_pct, d AS distinct_count,
+  m.v AS mode_value, m.n AS mode_count, ROUND(m.n * 100.0 / nn, 4) AS mode_pct FROM t JOIN m USING (column_name) JOIN top USING (column_name)""")
 def categorical_profile_query(spark, sf):
     o = read(spark, sf, "orders").withColumn("o_custkey", F.when(F.col("o_custkey") % 4 != 0, F.col("o_custkey")))
-    return P.categorical_profile(o, ["o_orderstatus", "o_orderpriority", "o_custkey"], "orders").drop("top_values")
+    return P.categorical_profile(o, ["o_orderstatus", "o_orderpriority", "o_custkey"], "orders")
 
 
 @query("top_frequencies", """
@@ -122,13 +123,14 @@ WITH v AS (SELECT 'o_totalprice' AS column_name, o_totalprice AS v FROM orders U
 s AS (SELECT column_name, MIN(v) AS lo, MAX(v) AS hi, COUNT(DISTINCT v) AS d FROM v GROUP BY 1),
 f AS (SELECT column_name, 'exact_frequency' AS kind, row_number() OVER (PARTITION BY column_name ORDER BY v) AS bin, v AS bin_start, COUNT(*) AS count
    FROM v JOIN s USING (column_name) WHERE d <= 10 GROUP BY column_name, v),
-w AS (SELECT column_name, greatest(1, least(8, CAST(ceil((v - lo) / ((hi - lo) / 8)) AS INTEGER))) AS bin, COUNT(*) AS count FROM v JOIN s USING (column_name) WHERE d > 10 GROUP BY 1, 2)
-SELECT column_name, kind, CAST(bin AS INTEGER) AS bin, count FROM f UNION ALL
-SELECT s.column_name, 'equal_width_bins', g.bin, COALESCE(w.count, 0) FROM s CROSS JOIN (SELECT CAST(unnest(range(1, 9)) AS INTEGER) AS bin) g
-  LEFT JOIN w ON w.column_name = s.column_name AND w.bin = g.bin WHERE s.d > 10""")
+w AS (SELECT column_name, greatest(1, least(8, CAST(ceil((v - lo) / ((hi - lo) / 8)) AS INTEGER))) AS bin, COUNT(*) AS count FROM v JOIN s USING (column_name) WHERE d > 10 GROUP BY 1, 2),
+e AS (SELECT s.column_name, 'equal_width_bins' AS kind, g.bin, CASE WHEN g.bin = 1 THEN lo - (hi - lo) * 0.001 ELSE lo + (g.bin - 1) * ((hi - lo) / 8) END AS a, lo + g.bin * ((hi - lo) / 8) AS b,
+   COALESCE(w.count, 0) AS count FROM s CROSS JOIN (SELECT CAST(unnest(range(1, 9)) AS INTEGER) AS bin) g LEFT JOIN w ON w.column_name = s.column_name AND w.bin = g.bin WHERE s.d > 10)
+SELECT column_name, kind, CAST(bin AS INTEGER) AS bin, ROUND(bin_start, 4) AS bin_start, ROUND(bin_start, 4) AS bin_end, count FROM f UNION ALL
+SELECT column_name, kind, bin, """ + ", ".join(f"ROUND(CASE WHEN {x} = 0 THEN {x} WHEN abs({x}) >= 1 THEN ROUND({x}, 3) ELSE ROUND({x} * pow(10.0, 2 - floor(log10(abs({x})))), 0) / pow(10.0, 2 - floor(log10(abs({x})))) END, 4)" for x in "ab") + ", count FROM e")
 def histogram_query(spark, sf):
     o = read(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
-    return P.histogram(o, ["o_totalprice", "year", "o_custkey"]).select("column_name", "kind", "bin", "count")
+    return P.histogram(o, ["o_totalprice", "year", "o_custkey"])
 
 
 @query("value_shares", "SELECT CAST(quality AS INTEGER) AS value, COUNT(*) AS count, ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 4) AS pct FROM labels GROUP BY 1")

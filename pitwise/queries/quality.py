@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pitwise.operators import profile as P
 from pitwise.operators import quality as Q
-from pitwise.operators.joins import parent_consistency
+from pitwise.operators.joins import block_pairs, parent_consistency
 from pitwise.queries import query, read
 from pitwise.queries.cleaning import GAPS, gappy
 
@@ -47,14 +47,20 @@ def quality_checks(spark, sf):
     return out.select(*RECORD)
 
 
-@query("quality_samples", """
+@query("quality_samples", r"""
 WITH x AS (SELECT 'quantity_between' AS check_name, CAST(l_quantity AS VARCHAR) AS v, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE NOT (l_quantity BETWEEN 1 AND 45)
-  UNION ALL SELECT 'flag_in_set', l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')),
-r AS (SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, v) AS rn FROM x)
-SELECT check_name, '[' || string_agg('"' || v || '"', ',' ORDER BY rn) || ']' AS sample_unexpected_values FROM r WHERE rn <= 5 GROUP BY 1""")
+  UNION ALL SELECT 'discount_not_negative', CAST(l_discount AS VARCHAR), l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_discount < 0
+  UNION ALL SELECT 'flag_in_set', l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
+  UNION ALL SELECT 'line_number_format', CAST(l_linenumber AS VARCHAR), l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE NOT regexp_matches(CAST(l_linenumber AS VARCHAR), '^[1-6]$')
+  UNION ALL SELECT 'price_per_unit', '{\"l_extendedprice\":' || l_extendedprice || ',\"l_quantity\":' || l_quantity || '}', l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    WHERE l_quantity > 10 AND l_extendedprice / l_quantity < 1000),
+r AS (SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, v) AS rn FROM x),
+s AS (SELECT check_name, '[' || string_agg('"' || v || '"', ',' ORDER BY rn) || ']' AS sample FROM r WHERE rn <= 5 GROUP BY 1)
+SELECT check_name, COALESCE(sample, '[]') AS sample_unexpected_values
+FROM (VALUES ('quantity_between'), ('discount_not_negative'), ('flag_in_set'), ('line_number_format'), ('price_per_unit')) AS c(check_name) LEFT JOIN s USING (check_name)""")
 def quality_samples(spark, sf):
-    """Five offending values per rule: the limit is the report."""
-    return line_checks(spark, sf).where(F.col("check_name").isin("quantity_between", "flag_in_set")).select("check_name", "sample_unexpected_values")
+    """Five offending values of every rule: the limit is the report."""
+    return line_checks(spark, sf).select("check_name", "sample_unexpected_values")
 
 
 @query("consistency_checks", "\nUNION ALL ".join([
@@ -202,8 +208,13 @@ k AS (SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT p_brand, p_size F
 SELECT 'exact_duplicates' AS check_type, CAST(d > 0 AS BIGINT) AS issue_count, d AS affected_rows FROM e
 UNION ALL SELECT 'strict_unique_fields', CAST(a > 0 AS BIGINT) + CAST(b > 0 AS BIGINT), a + b FROM s
 UNION ALL SELECT 'subset_duplicates', CAST(d > 0 AS BIGINT), d FROM k
-UNION ALL SELECT 'fuzzy_duplicate_candidates', COUNT(*), COUNT(*) FROM part WHERE p_partkey < 0""")
+UNION ALL SELECT 'fuzzy_duplicate_candidates', COUNT(*), COUNT(*) FROM part x JOIN part y ON x.p_brand = y.p_brand AND x.p_size = y.p_size AND x.p_partkey < y.p_partkey
+  WHERE x.p_name <> y.p_name AND 1 - CAST(levenshtein(x.p_name, y.p_name) AS DOUBLE) / greatest(length(x.p_name), length(y.p_name)) >= 0.5""")
 def uniqueness_summary(spark, sf):
+    """Exact, strict, key and similar-name findings over the parts; similar are different names of one brand and size that share half of their letters in order."""
     part = read(spark, sf, "part")
+    blocked = part.select("p_partkey", "p_name", F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("block"))
+    similar = block_pairs(blocked, block="block", order_by="p_partkey", columns=["p_partkey", "p_name"], where=lambda x, y: (x("p_name") != y("p_name")) & (
+        1 - F.levenshtein(x("p_name"), y("p_name")) / F.greatest(F.length(x("p_name")), F.length(y("p_name"))) >= 0.5))
     return Q.uniqueness_summary(Q.exact_duplicates(part.select("p_name", "p_brand"), "part"), Q.unique_fields(part, "part", ["p_partkey", "p_name"]),
-                                Q.unique_key(part, "part", ["p_brand", "p_size"]), part.where("p_partkey < 0"))
+                                Q.unique_key(part, "part", ["p_brand", "p_size"]), similar)
