@@ -294,7 +294,7 @@ def test_rates_with_a_least_equal_plain_projected_gradient(spark):
     rng = np.random.default_rng(4)
     n, p = rng.integers(1, 400, 200).astype(float), rng.dirichlet((2, 0.5), 200)
     table = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, posterior array<double>")
-    history, start = mixing.fit_rates(table, [0.9, 0.1], max_steps=60, whole=0)
+    history, start = mixing.fit_rates(table, [0.9, 0.1], max_steps=200, whole=0)
     rate = np.array([r.rate for r in table.withColumn("rate", mixing._rate(history, start, F.col("posterior"), 0)[0]).collect()])
     least, own = (p[:, 0] >= p[:, 1]).astype(float), (p[:, 0] >= p[:, 1])
     budget = max(n.sum(), (n * p[:, 0])[own].sum() / 0.9)
