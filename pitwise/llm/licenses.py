@@ -132,7 +132,7 @@ uw AS (SELECT doc_id, unit, pos, {words.format("part")} AS w FROM unit),
 ug AS (SELECT DISTINCT doc_id, unit, pos, g FROM (SELECT doc_id, unit, pos, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM uw)),
 un AS (SELECT doc_id, unit, pos, count(*) AS a FROM ug GROUP BY ALL),
 both_of AS (SELECT doc_id, unit, pos, t, license, count(*) AS c FROM ug JOIN tg USING (g) GROUP BY ALL),
-dice AS (SELECT doc_id, unit, pos, license, max(2.0 * c / (a + b)::DOUBLE) AS d FROM both_of JOIN un USING (doc_id, unit, pos) JOIN tn USING (t) WHERE 2.0 * c / (a + b)::DOUBLE >= {threshold} GROUP BY ALL{
+dice AS (SELECT doc_id, unit, pos, license, max(2.0 * c / (a + b)::DOUBLE) AS d FROM both_of JOIN un USING (doc_id, unit, pos) JOIN tn USING (t) WHERE 2.0 * c / (a + b)::DOUBLE >= {threshold} GROUP BY doc_id, unit, pos, license{
         " QUALIFY d >= max(d) OVER (PARTITION BY doc_id, unit, pos) - 1e-12" if best else ""}),
 found AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names, max(d) AS best FROM dice GROUP BY doc_id)
 SELECT documents.doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, best AS best_dice FROM documents LEFT JOIN found USING (doc_id)"""
