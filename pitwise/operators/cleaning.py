@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pitwise.functions.scalars import is_numeric, parse_datetime
-from pitwise.operators.ordering import fitted_quantiles, forward_fill
+from pitwise.operators.counts import CountStore, count_store
+from pitwise.operators.ordering import forward_fill
 from pitwise.session import materialize
 
 
@@ -51,13 +52,24 @@ def fitted_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {r["column"]: r["value"] for r in modes(df, columns).collect()} if columns else {}
 
 
-def impute_values(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
-    """Fill value per column: exact median for numbers, mode for the rest, ``Unknown`` without any value."""
+def _kinds(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Number columns, and the others, which are counted by their text."""
     types = {f.name: f.dataType for f in df.schema}
     numeric = [c for c in columns if is_numeric(types[c]) and not isinstance(types[c], T.BooleanType)]
-    other = [c for c in columns if c not in numeric]
-    medians = {c: q["median"] for c, q in fitted_quantiles(df, numeric, {"median": 0.5}).items()}
-    found = fitted_modes(df, other)
+    return numeric, [c for c in columns if c not in numeric]
+
+
+def impute_values(df: DataFrame, columns: Sequence[str], store: CountStore | None = None) -> dict[str, object]:
+    """Fill value per column: exact median for numbers, mode for the rest, ``Unknown`` without any value.
+
+    Medians and modes come from one kept table of counts; ``store`` is one that holds these columns already.
+    """
+    numeric, other = _kinds(df, columns)
+    if not columns:
+        return {}
+    store = store or count_store(df, numeric, other)
+    medians = {c: q["median"] for c, q in store.fitted({"median": 0.5}, numeric).items()}
+    found = {c: f["mode"] for c, f in store.texts.items() if f["n"]}
     return {**medians, **{c: found.get(c, "Unknown") for c in other}}
 
 
@@ -101,24 +113,24 @@ def clippable(df: DataFrame) -> list[str]:
             and "id" not in f.name.lower() and "is_" not in f.name.lower()]
 
 
-def clip_bounds(df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, min_distinct: int = 5) -> dict[str, tuple[float, float]]:
-    """Interquartile bounds of columns that vary enough."""
+def clip_bounds(df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, min_distinct: int = 5,
+                store: CountStore | None = None) -> dict[str, tuple[float, float]]:
+    """Interquartile bounds of columns that vary enough; distinct values and quartiles come from the same kept counts."""
     if not columns:
         return {}
-    distinct = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
-    varied = [c for c in columns if distinct[c] >= min_distinct]
-    fitted = fitted_quantiles(df, varied, {"q1": 0.25, "q3": 0.75})
+    store = store or count_store(df, columns)
+    varied = [c for c in columns if c in store.numbers and store.numbers[c]["distinct"] >= min_distinct]
     bounds = {}
-    for c, q in fitted.items():
+    for c, q in store.fitted({"q1": 0.25, "q3": 0.75}, varied).items():
         spread = q["q3"] - q["q1"]
         if spread:
             bounds[c] = (q["q1"] - multiplier * spread, q["q3"] + multiplier * spread)
     return bounds
 
 
-def clip_iqr(df: DataFrame, multiplier: float = 1.5, columns: Sequence[str] | None = None) -> DataFrame:
-    """Clip to the interquartile bounds on both sides; clipped columns become double."""
-    bounds = clip_bounds(df, list(columns) if columns is not None else clippable(df), multiplier)
+def clip_iqr(df: DataFrame, multiplier: float = 1.5, columns: Sequence[str] | None = None, store: CountStore | None = None) -> DataFrame:
+    """Clip to the interquartile bounds on both sides; clipped columns become double. ``store`` holds counts of these columns."""
+    bounds = clip_bounds(df, list(columns) if columns is not None else clippable(df), multiplier, store=store)
     return df.withColumns({
         c: F.when(F.col(c).isNotNull(), F.greatest(F.least(F.col(c).cast("double"), F.lit(high)), F.lit(low)))
         for c, (low, high) in bounds.items()})
@@ -133,7 +145,8 @@ def drop_duplicate_rows(df: DataFrame, order_by: str) -> DataFrame:
 def clean_table(df: DataFrame, *, order_by: str, drop_threshold: float = 0.40, multiplier: float = 1.5) -> DataFrame:
     """Distinct rows, dates, sparse columns, gaps, outliers, in this order.
 
-    Each step fits a few statistics on the whole table, so the distinct rows are checkpointed once.
+    The distinct rows are kept, since statistics of the whole table are fitted on them. One table of counts gives the medians, the modes
+    and, with the gaps moved to their fill values, the bounds of the clipped columns.
     """
     work = materialize(drop_duplicate_rows(df, order_by))
     work = standardize_dates(work, order_by=order_by, columns=[c for c in date_columns(work) if c != order_by])
@@ -141,5 +154,8 @@ def clean_table(df: DataFrame, *, order_by: str, drop_threshold: float = 0.40, m
     shares = null_shares(body)
     work = work.drop(*[c for c in body.columns if shares[c] > drop_threshold])
     gaps = [c for c in work.columns if c != order_by and shares[c] > 0]
-    work = fill_with(work, impute_values(work, gaps))
-    return clip_iqr(work, multiplier, [c for c in clippable(work) if c != order_by])
+    clips = [c for c in clippable(work) if c != order_by]
+    numeric, other = _kinds(work, gaps)
+    store = count_store(work, list(dict.fromkeys([*numeric, *clips])), other)
+    fills = impute_values(work, gaps, store)
+    return clip_iqr(fill_with(work, fills), multiplier, clips, store.with_missing_as(fills))

@@ -75,7 +75,7 @@ def _bucketed(counts: DataFrame, buckets: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts) if parts else counts.withColumn("bucket", F.lit(0.0))
 
 
-def _buckets(distinct: int, small: int, edges: int | None) -> int:
+def buckets_for(distinct: int, small: int = SMALL, edges: int | None = None) -> int:
     """How many buckets keep about ``small`` distinct values each; 0 for one window over all."""
     return (edges or max(2, -(-distinct // max(small, 1)))) if distinct > small else 0
 
@@ -83,7 +83,7 @@ def _buckets(distinct: int, small: int, edges: int | None) -> int:
 def settled_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), small: int = SMALL, edges: int | None = None) -> tuple[DataFrame, int]:
     """Value counts and the number of buckets they need (one sketch pass); counts in buckets are kept, since they are read several times."""
     row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    buckets = _buckets(max(row), small, edges)
+    buckets = buckets_for(max(row), small, edges)
     counts = value_counts(df, columns, by)
     return (materialize(counts) if buckets else counts), buckets
 

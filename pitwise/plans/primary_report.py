@@ -305,11 +305,12 @@ def distribution(tables: Tables) -> dict[str, DataFrame]:
     for name, df in _filled(tables).items():
         numbers = [c for c in NUMERIC.get(name, ()) if c in df.columns]
         labels = [c for c in CATEGORICAL.get(name, ()) if c in df.columns]
+        store = P.field_counts(df, numbers, labels)
         if numbers:
-            shapes = P.histogram_json(P.histogram(df, numbers))
-            numeric.append(P.numeric_profile(df, numbers, name).join(shapes, "column_name"))
+            shapes = P.histogram_json(P.histogram(df, numbers, store=store))
+            numeric.append(P.numeric_profile(df, numbers, name, store).join(shapes, "column_name"))
         if labels:
-            categorical.append(P.categorical_profile(df, labels, name))
+            categorical.append(P.categorical_profile(df, labels, name, store=store))
     a, b = _union(numeric), _union(categorical)
     return {"numeric_profiles": a, "categorical_profiles": b, "summary": Q.profile_summary(a, b) if a is not None and b is not None else None}
 
@@ -326,7 +327,9 @@ def relationships(tables: Tables) -> dict[str, DataFrame]:
     pairs, parts = [], []
     filled = _filled(tables)
     for name, df in filled.items():
-        pairs += [P.correlation_pair(df, a, b, table=name) for a, b in CORRELATIONS.get(name, ()) if {a, b} <= set(df.columns)]
+        chosen = [(a, b) for a, b in CORRELATIONS.get(name, ()) if {a, b} <= set(df.columns)]
+        if chosen:
+            pairs.append(P.correlation_pairs(df, chosen, table=name))
     clubs = filled.get("clubs")
     if clubs is not None and {"squad_size", "foreigners_number", "foreigners_percentage"} <= set(clubs.columns):
         (size, foreign, share), known = _numbers("squad_size", "foreigners_number", "foreigners_percentage")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pitwise.operators import ordering as O
 from pitwise.operators import profile as P
+from pitwise.operators import quality as Q
 from pitwise.queries import query, read
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -192,6 +193,62 @@ def corr_pairs(spark, sf):
     return P.correlation_pair(lines, "l_quantity", "price", table="lineitem")
 
 
+_STRENGTH = """CASE WHEN greatest(abs(s), abs(p)) >= 0.9 THEN 'very_high' WHEN greatest(abs(s), abs(p)) >= 0.7 THEN 'high' WHEN greatest(abs(s), abs(p)) >= 0.5 THEN 'moderate'
+    WHEN greatest(abs(s), abs(p)) >= 0.3 THEN 'weak' ELSE 'very_weak' END"""
+RELATED_SQL = f"""
+l AS (SELECT *, CASE WHEN l_partkey % 3 <> 0 THEN l_extendedprice END AS price, CASE WHEN l_orderkey % 4 <> 1 THEN l_tax * l_quantity END AS due FROM lineitem),
+t AS (SELECT 'l_quantity' AS a, 'price' AS b, l_quantity AS x, price AS y FROM l UNION ALL SELECT 'price', 'due', price, due FROM l
+  UNION ALL SELECT 'l_discount', 'due', l_discount, due FROM l UNION ALL SELECT 'l_quantity', 'l_linenumber', l_quantity, l_linenumber FROM l),
+v AS (SELECT * FROM t WHERE x IS NOT NULL AND y IS NOT NULL),
+r AS (SELECT *, rank() OVER (PARTITION BY a, b ORDER BY x) + (COUNT(*) OVER (PARTITION BY a, b, x) - 1) / 2.0 AS rx,
+  rank() OVER (PARTITION BY a, b ORDER BY y) + (COUNT(*) OVER (PARTITION BY a, b, y) - 1) / 2.0 AS ry FROM v),
+c AS (SELECT a, b, COUNT(*) AS n, corr(x, y) AS p, corr(rx, ry) AS s FROM r GROUP BY a, b)"""
+
+
+def _related_lines(spark, sf):
+    lines = read(spark, sf, "lineitem")
+    price, due = F.when(F.col("l_partkey") % 3 != 0, F.col("l_extendedprice")), F.when(F.col("l_orderkey") % 4 != 1, F.col("l_tax") * F.col("l_quantity"))
+    return lines.withColumns({"price": price, "due": due})
+
+
+def _related(lines):
+    return P.correlation_pairs(lines, [("l_quantity", "price"), ("price", "due"), ("l_discount", "due"), ("l_quantity", "l_linenumber")], table="lineitem")
+
+
+@query("relationship_pairs", f"""
+WITH {RELATED_SQL}
+SELECT 'lineitem' AS table_name, a AS left_column, b AS right_column, n AS shared_rows, ROUND(p, 4) AS pearson, ROUND(s, 4) AS spearman,
+  CASE WHEN abs(s) > abs(p) THEN 'spearman' ELSE 'pearson' END AS stronger_method, ROUND(CASE WHEN abs(s) > abs(p) THEN s ELSE p END, 4) AS stronger_value,
+  CASE WHEN CASE WHEN abs(s) > abs(p) THEN s ELSE p END >= 0 THEN 'positive' ELSE 'negative' END AS direction, {_STRENGTH} AS strength FROM c""")
+def relationship_pairs(spark, sf):
+    """Four pairs with different gaps, each on its own complete rows, from one pass."""
+    return _related(_related_lines(spark, sf))
+
+
+@query("relationship_summary", f"""
+WITH {RELATED_SQL},
+d AS (SELECT COUNT(*) FILTER (l_extendedprice < l_quantity * 900) AS cheap, COUNT(*) FILTER (due < 0) AS negative FROM l)
+SELECT 'lineitem' AS table_name, COUNT(*) AS correlation_pairs_profiled, COUNT(*) FILTER (greatest(abs(ROUND(p, 4)), abs(ROUND(s, 4))) >= 0.6) AS strong_pairs,
+  CAST(2 AS BIGINT) AS dependency_checks_run, any_value(CAST(cheap > 0 AS BIGINT) + CAST(negative > 0 AS BIGINT)) AS failed_dependency_checks FROM c, d""")
+def relationship_summary_query(spark, sf):
+    """Strong pairs and failed dependency checks of one table."""
+    lines = _related_lines(spark, sf)
+    rules = [Q.predicate("price_covers_quantity", ["l_extendedprice", "l_quantity"], F.col("l_extendedprice") < F.col("l_quantity") * 900),
+             Q.predicate("due_not_negative", ["due"], F.col("due") < 0, applicable=F.col("due").isNotNull())]
+    return Q.relationship_summary(_related(lines), Q.run_checks(lines, rules, table="lineitem", dimension="relationships"))
+
+
+@query("corr_matrix_complete", """
+WITH v AS (SELECT l_quantity AS q, CASE WHEN l_partkey % 3 <> 0 THEN l_extendedprice END AS p, CASE WHEN l_orderkey % 4 <> 1 THEN l_tax * l_quantity END AS u FROM lineitem),
+w AS (SELECT * FROM v WHERE q IS NOT NULL AND p IS NOT NULL AND u IS NOT NULL), c AS (SELECT corr(q, p) AS qp, corr(q, u) AS qu, corr(p, u) AS pu FROM w),
+x AS (SELECT unnest([{'a': 'l_quantity', 'b': 'price', 'r': qp}, {'a': 'l_quantity', 'b': 'due', 'r': qu}, {'a': 'price', 'b': 'due', 'r': pu}]) AS s FROM c)
+SELECT s.a AS "left", s.b AS "right", ROUND(s.r, 4) AS r FROM x UNION ALL SELECT s.b, s.a, ROUND(s.r, 4) FROM x
+UNION ALL SELECT unnest(['l_quantity', 'price', 'due']) AS c, c, 1.0""")
+def corr_matrix_complete(spark, sf):
+    """Correlations over the rows in which no column is missing."""
+    return P.correlation_matrix(_related_lines(spark, sf), ["l_quantity", "price", "due"], complete_rows=True)
+
+
 @query("corr_matrix", """
 WITH c AS (SELECT corr(l_quantity, l_extendedprice) AS qp, corr(l_quantity, l_discount) AS qd, corr(l_quantity, l_tax) AS qt, corr(l_extendedprice, l_discount) AS pd,
   corr(l_extendedprice, l_tax) AS pt, corr(l_discount, l_tax) AS dt FROM lineitem),
