@@ -118,6 +118,7 @@ def score_best(results: DataFrame, models: Mapping, test: DataFrame, label: str)
 CELL_ROWS = 4_000        # rows of a cell about, all of which one task holds
 SAMPLE_ROWS = 20_000     # rows that the cuts between cells are taken from
 SLICE_ROWS = 512         # rows that a cell is held against at once
+STRIDE = 4               # levels of the cell tree that one join goes down
 
 
 def _cuts(sample: np.ndarray, depth: int) -> tuple[list[int], list[float]]:
@@ -161,11 +162,42 @@ def _nothing(rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.full((rows, k), np.inf), np.full((rows, k), -1, np.int64)
 
 
+def _apart(low: str, high: str, other_low: str, other_high: str) -> Column:
+    """Squared distance between two boxes; zero where they touch."""
+    gaps = [F.zip_with(u, v, lambda low, high: F.greatest(low - high, F.lit(0.0))) for u, v in ((low, other_high), (other_low, high))]
+    return F.aggregate(F.zip_with(*gaps, lambda u, v: (u + v) * (u + v)), F.lit(0.0), lambda s, v: s + v)
+
+
+def _meeting_cells(boxes: DataFrame, depth: int, size: int) -> DataFrame:
+    """``(cell_a, cell_b, apart)``: every cell with itself and all cells whose box is nearer than its ``far``.
+
+    Each cell goes down the tree with the nodes that it still meets: a step takes a node to its descendants ``STRIDE`` levels below, by a join on
+    their numbers, and leaves out those whose box is too far. So a cell is held against the tree's upper nodes and what lies below near ones, never
+    against all cells. Nodes are numbered from one, node i above 2i and 2i + 1; nodes without rows have no box.
+    """
+    ends = [F.array(*[f(F.col(c)[j]) for j in range(size)]).alias(c) for c, f in (("low", F.min), ("high", F.max))]
+    levels = sorted({depth, *range(0, depth, STRIDE)})
+    ups = boxes.select("low", "high", F.explode(F.array(*[F.struct(F.lit(at).alias("level"), F.shiftright(F.col("cell.leaf") + 1, depth - at).alias("node"))
+                                                          for at in levels])).alias("up"))
+    nodes = materialize(ups.groupBy("up.level", "up.node").agg(*ends))
+    met = boxes.select(F.col("cell").alias("cell_a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"), F.col("far").alias("far_a"), F.lit(1).cast("long").alias("node"))
+    for above, at in zip(levels, levels[1:]):
+        span = 1 << (at - above)
+        below = met.withColumn("node", F.explode(F.sequence(F.col("node") * span, F.col("node") * span + (span - 1))))
+        own = F.shiftright(F.col("cell_a.leaf") + 1, depth - at) == F.col("node")
+        near = _apart("low_a", "high_a", "low", "high") < F.col("far_a")
+        met = materialize(below.join(nodes.where(F.col("level") == at).drop("level"), "node").where(own | near).select(*met.columns))
+    theirs = boxes.select(F.col("cell").alias("cell_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"), (F.col("cell.leaf") + 1).alias("node"))
+    apart = F.when(F.col("cell_a") == F.col("cell_b"), -1.0).otherwise(_apart("low_a", "high_a", "low_b", "high_b"))
+    return met.join(theirs, "node").withColumn("apart", apart).where("apart < far_a").select("cell_a", "cell_b", "apart")
+
+
 def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, seed: int = SEED, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``(key, x, neighbours array<array<double>>)``: the ``k`` nearest rows with another key, nearest first, exactly.
 
     Rows are dealt to cells of a k-d tree whose cuts come from a bounded sample; large cells, as those of equal rows, are dealt on by a hash. A cell
-    meets every other cell whose box is nearer than the largest ``k``-th distance within the cell itself, so no nearer row is missed. A task
+    meets every other cell whose box is nearer than the largest ``k``-th distance within the cell itself, so no nearer row is missed; those are
+    found by descent through the tree (``_meeting_cells``). A task
     holds one cell and streams the cells it meets. Few dimensions leave few cells to meet, many leave all: then the work is the square of the rows.
     """
     dense = materialize(minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x")).groupBy("key").agg(F.min("x").alias("x")))
@@ -193,10 +225,7 @@ def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, see
         far = _hold(x, x, _nothing(len(x), k), 0, True, k)[0].max()
         return pa.table({"cell": table.column("cell").slice(0, 1), "low": [x.min(axis=0).tolist()], "high": [x.max(axis=0).tolist()], "far": [float(far)]})
     boxes = materialize(dealt.groupBy("cell").applyInArrow(box, "cell struct<leaf: long, salt: long>, low array<double>, high array<double>, far double"))
-    mine, theirs = (boxes.select(*[F.col(c).alias(f"{c}_{side}") for c in boxes.columns]) for side in "ab")
-    gaps = [F.zip_with(f"low_{i}", f"high_{j}", lambda low, high: F.greatest(low - high, F.lit(0.0))) for i, j in ("ab", "ba")]
-    apart = F.aggregate(F.zip_with(*gaps, lambda u, v: (u + v) * (u + v)), F.lit(0.0), lambda s, v: s + v)
-    pairs = mine.crossJoin(theirs).withColumn("apart", F.when(F.col("cell_a") == F.col("cell_b"), -1.0).otherwise(apart)).where("apart < far_a").select("cell_a", "cell_b", "apart")
+    pairs = _meeting_cells(boxes, depth, first["size"] or 0)
     streams = dealt.join(pairs, F.col("cell") == F.col("cell_b")).select(
         F.concat_ws(",", "cell_a.leaf", "cell_a.salt").alias("a"), "apart", F.concat_ws(",", "cell_b.leaf", "cell_b.salt").alias("b"), "key", "x")
     streams = streams.repartition("a").sortWithinPartitions("a", "apart", "b", "key")
@@ -260,7 +289,10 @@ def oversample_minority(df: DataFrame, *, label: str, key: str, features: str =
     rows = df.where(F.col(label) == minor)
     near = near_neighbours(rows, key, features, k=k, seed=seed)
     near = materialize(near.where(F.size("neighbours") > 0))
-    each, extra = divmod(wanted, few)
+    makers = near.count()           # rows of one key are one maker
+    if not makers:
+        return base
+    each, extra = divmod(wanted, makers)
     # the first `extra` rows in hash order make one more; the cut is one number, found without a global sort
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(1 << 40))
     near = near.withColumn("draw", draw)

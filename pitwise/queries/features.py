@@ -145,6 +145,20 @@ def oversample_between(spark, sf):
     return made.agg(F.count(F.lit(1)).alias("rows"), F.count_if(first & second & third).alias("in_bounds"))
 
 
+@query("nearest_distances", """
+WITH c AS (SELECT c_custkey AS key, c_acctbal / 100 AS x, c_nationkey * 1.0 AS y FROM customer),
+p AS (SELECT a.key, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d FROM c a JOIN c b ON a.key <> b.key)
+SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY d) AS INTEGER) AS rank, ROUND(sqrt(d), 6) AS distance FROM p QUALIFY rank <= 5""")
+def nearest_distances(spark, sf):
+    """Distances of each customer's five nearest others by balance and nation, in cells of some hundred rows."""
+    from pyspark.ml.feature import VectorAssembler
+    c = read(spark, sf, "customer").select(F.col("c_custkey").alias("key"), (F.col("c_acctbal") / 100).alias("x"), F.col("c_nationkey").cast("double").alias("y"))
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(c)
+    near = K.near_neighbours(rows, "key", "features", k=5, cell_rows=400).select("key", "x", F.posexplode("neighbours").alias("at", "n"))
+    gap = [F.col("x")[j] - F.col("n")[j] for j in (0, 1)]
+    return near.select("key", (F.col("at") + 1).alias("rank"), F.round(F.sqrt(gap[0] * gap[0] + gap[1] * gap[1]), 6).alias("distance"))
+
+
 @query("chrono_split_large_keys", """
 WITH n AS (SELECT COUNT(*) AS n FROM orders), r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1 AS p FROM orders),
 b AS (SELECT greatest(1, CAST(floor(n * 0.70::DOUBLE) AS BIGINT)) AS a, CAST(floor(n * 0.85::DOUBLE) AS BIGINT) AS b FROM n)
