@@ -154,6 +154,26 @@ def average_ranks(df: DataFrame, columns: Sequence[str], *, small: int = SMALL,
     return placed.select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
+def row_positions(df: DataFrame, by: Sequence[tuple[str, str]], *, name: str = "position", range_rows: int = SMALL) -> DataFrame:
+    """Add each row's place, from one, in an order of several columns: ``by`` holds ``(column, "asc" or "desc")``, nulls last in both directions.
+
+    Rows are cut into ranges of the whole key, numbered within their range and shifted by the rows of the ranges before; no window holds more than
+    a range, and no window without partitions more than one row per range. Rows that agree in all of ``by`` follow in the order of a hash of
+    their other columns, so that a frequent value is cut as well and a second run numbers alike; only equal rows are interchangeable.
+    """
+    keys = [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_last() for c, way in by]
+    rest = [c for c in df.columns if c not in {c for c, _ in by}]
+    placed = df.withColumn("__tie", F.xxhash64(*rest) if rest else F.lit(0).cast("long"))
+    ranges = max(1, -(-df.count() // range_rows))
+    cut = placed.repartitionByRange(ranges, *keys, "__tie") if ranges > 1 else placed
+    cut = materialize(cut.withColumn("__range", F.spark_partition_id() if ranges > 1 else F.lit(0)))          # ranges may fall anew when they are computed again
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)                            # one row per range
+    before = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select("__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__range").orderBy(*keys, "__tie")
+    return (cut.withColumn("__at", F.row_number().over(inside)).join(before, "__range")
+            .select(*df.columns, (F.col("__before") + F.col("__at")).alias(name)))
+
+
 def order_statistic(df: DataFrame, column: str, positions: Sequence[int], *, small: int = SMALL, edges: int | None = None) -> dict[int, tuple[float, int, int, int]]:
     """For each zero-based position of the sorted column: the value there as a double and exactly, the number of smaller rows, and of equal rows."""
     counts, buckets = settled_counts(df, [column], (), small, edges)

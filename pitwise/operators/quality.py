@@ -150,22 +150,24 @@ def summarize(checks: DataFrame) -> DataFrame:
 
 
 def report_lines(checks: DataFrame, named: int = 3) -> DataFrame:
-    """One sentence per dimension, naming up to three failed checks."""
+    """One verdict and sentence per dimension, naming up to three failed checks in report order: most failed rows in percent first."""
     failed = F.col("status") == "failed"
-    names = F.slice(F.array_sort(F.collect_list(F.when(failed, F.col("check_name")))), 1, named)
+    place = F.struct((-F.coalesce("failed_pct", F.lit(-1.0))).alias("pct"), "table_name", "check_name")
+    names = F.transform(F.slice(F.array_sort(F.collect_list(F.when(failed, place))), 1, named), lambda p: p["check_name"])
     grouped = checks.groupBy("dimension").agg(
         F.count(F.lit(1)).alias("checks"), F.count_if(F.col("status") == "passed").alias("passed"),
         F.count_if(failed).alias("failed"), F.count_if(F.col("status") == "skipped").alias("skipped"), names.alias("names"))
     text = F.when(F.col("failed") == 0, F.format_string("%s: all %d executed checks passed.", "dimension", F.col("checks") - F.col("skipped"))).otherwise(
         F.format_string("%s: %d of %d executed checks failed (%s).", "dimension", "failed", F.col("checks") - F.col("skipped"),
                         F.array_join("names", ", ")))
-    return grouped.select("dimension", "checks", "passed", "failed", "skipped", text.alias("report")).orderBy("dimension")
+    verdict = F.when(F.col("failed") == 0, "passed").otherwise("failed")
+    return grouped.select("dimension", verdict.alias("status"), "checks", "passed", "failed", "skipped", text.alias("report")).orderBy("dimension")
 
 
 def profile_line(dimension: str, text: Column, df: DataFrame) -> DataFrame:
     """Report line of a dimension that is described rather than judged; ``text`` is an aggregate over ``df``."""
     none = F.lit(0).cast("long")
-    return df.agg(text.alias("report")).select(F.lit(dimension).alias("dimension"), none.alias("checks"), none.alias("passed"), none.alias("failed"),
+    return df.agg(text.alias("report")).select(F.lit(dimension).alias("dimension"), F.lit("passed").alias("status"), none.alias("checks"), none.alias("passed"), none.alias("failed"),
                                                none.alias("skipped"), "report")
 
 

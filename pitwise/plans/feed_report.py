@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -67,10 +68,12 @@ def _same_key_rows(df: DataFrame, keys: Sequence[str], position: str) -> DataFra
     return mark_all_copies(df, keys, position, "__copy")
 
 
-def feed_report(payloads: DataFrame, request: Mapping[str, object], *, status_code: int = 200, now: str | None = None) -> dict[str, DataFrame]:
-    """All check records of the feed, the flat rows, coverage, profiles and the report lines.
+def feed_report(payloads: DataFrame, request: Mapping[str, object], *, status_code: int = 200, now: str | None = None,
+                fetch: Mapping[str, object] | None = None) -> dict[str, DataFrame]:
+    """All check records of the feed, the flat rows, coverage, profiles, the request's metadata and the report lines.
 
-    ``request`` holds the submitted parameters; ``now`` (ISO text) bounds the future check.
+    ``request`` holds the submitted parameters; ``now`` (ISO text) bounds the future check. ``fetch`` says how the payload came in:
+    ``endpoint``, ``source``, ``elapsed_seconds``, ``request_url`` and ``headers``, all of which may be absent.
     """
     guard(payloads, status_code)
     flat = materialize(with_row_order(feed.flatten_feed(payloads), "__row"))
@@ -146,10 +149,17 @@ def feed_report(payloads: DataFrame, request: Mapping[str, object], *, status_co
 
     checks = materialize(_union(parts))
     rows = flat.drop("__row")
+    came = {"endpoint": "", "source": "", "elapsed_seconds": 0.0, "request_url": "", **(fetch or {})}
+    named = payloads if "file_name" in payloads.columns else payloads.withColumn("file_name", F.lit(None).cast("string"))
+    metadata = feed.request_metadata(named, status_code=status_code, request_params=json.dumps(dict(request), default=str), **came)
+    twice = F.lit(copies.agg(F.count_if(same)).scalar())
+    unique = later.agg(F.count(F.lit(1)).alias("rows"), F.count_if("__later").alias("exact_duplicate_rows")).select(
+        F.lit(TABLE).alias("table_name"), "*", twice.alias("duplicate_fixture_ids"), twice.alias("duplicate_business_keys"))
     s, e = P.iqr_outliers(flat, ["home_goals", "away_goals", "status_elapsed"], row_id="fixture_id", label="home_team_name", table=TABLE, k=10)
     categories = P.categorical_profile(rows, ["status_short", "status_long", "league_name"], TABLE)
     return {"fixtures": rows, "checks": checks.orderBy("dimension", "status", F.col("failed_pct").desc_nulls_last(), "table_name", "check_name"),
             "summary": Q.summarize(checks), "report": _report(checks, s, categories, "status_short"), "field_missingness": Q.field_completeness(rows, TABLE, REQUIRED_FIELDS),
+            "request_metadata": metadata, "uniqueness_summary": unique,
             "duplicate_rows": copies.where(F.col("__exact") | same).select(*columns),
             "coverage": P.date_coverage(timed.withColumn("day", F.to_date("__at")), "day", table=TABLE), "outliers": s, "outlier_examples": e,
             "numeric_profiles": P.numeric_profile(rows, ["home_goals", "away_goals", "status_elapsed"], TABLE),

@@ -285,3 +285,13 @@ def three_year_labels(tables: Mapping[str, DataFrame], *, weighted: bool = True)
     criteria.append((F.col("new_value") > F.col("__own"), heavy))
     out = C.score_label(out, criteria, need, name="transfer_success")
     return out.drop(*[f"__{n}_{m}" for n in ("position", "sub_position") for m in ("goals", "assists")]).withColumnRenamed("__own", "market_value_in_eur")
+
+
+# File names of the two kinds of labels.
+LABEL_NAMES = {"weighted": "labeled_transfers.csv", "plain": "transfers_labeled.csv"}
+
+
+def label_job(tables: Mapping[str, DataFrame], output_dir: str, *, fmt: str = "csv") -> dict[str, str]:
+    """Write the weighted and the plain three-year labels and return their paths."""
+    bundle = {kind: three_year_labels(tables, weighted=kind == "weighted") for kind in LABEL_NAMES}
+    return write_bundle(bundle, output_dir, LABEL_NAMES, fmt=fmt)

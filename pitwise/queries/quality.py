@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pitwise.operators import profile as P
 from pitwise.operators import quality as Q
 from pitwise.operators.joins import block_pairs, parent_consistency
+from pitwise.operators.ordering import row_positions
 from pitwise.queries import query, read
 from pitwise.queries.cleaning import GAPS, gappy
 
@@ -85,13 +86,38 @@ def quality_summary(spark, sf):
 
 
 @query("quality_report", f"""
-WITH c AS ({LINE_RULES_SQL}), n AS (SELECT dimension, string_agg(check_name, ', ' ORDER BY check_name) AS names FROM (SELECT * FROM c WHERE status = 'failed' ORDER BY check_name LIMIT 3) GROUP BY 1)
-SELECT dimension, COUNT(*) AS checks, COUNT(*) FILTER (status = 'passed') AS passed, COUNT(*) FILTER (status = 'failed') AS failed, COUNT(*) FILTER (status = 'skipped') AS skipped,
+WITH c AS ({LINE_RULES_SQL}), n AS (SELECT dimension, string_agg(check_name, ', ' ORDER BY failed_pct DESC, table_name, check_name) AS names
+  FROM (SELECT * FROM c WHERE status = 'failed' ORDER BY failed_pct DESC, table_name, check_name LIMIT 3) GROUP BY 1)
+SELECT dimension, CASE WHEN COUNT(*) FILTER (status = 'failed') = 0 THEN 'passed' ELSE 'failed' END AS status, COUNT(*) AS checks, COUNT(*) FILTER (status = 'passed') AS passed,
+  COUNT(*) FILTER (status = 'failed') AS failed, COUNT(*) FILTER (status = 'skipped') AS skipped,
   dimension || ': ' || COUNT(*) FILTER (status = 'failed') || ' of ' || COUNT(*) || ' executed checks failed (' || any_value(names) || ').' AS report FROM c JOIN n USING (dimension) GROUP BY 1""")
 def quality_report(spark, sf):
     return Q.report_lines(line_checks(spark, sf))
 
 
+REQUIRED_SQL = "\nUNION ALL ".join([_record("completeness", "orders", f"{c}_required", f"{c} IS NULL", source=GAPS) for c in ("o_orderkey", "price", "day")])
+
+
+@query("report_order", f"""
+WITH c AS ({LINE_RULES_SQL} UNION ALL {REQUIRED_SQL} UNION ALL SELECT 'accuracy', 'lineitem', 'missing_column', 'skipped', COUNT(*), NULL, NULL FROM lineitem)
+SELECT *, row_number() OVER (ORDER BY status, failed_pct DESC NULLS LAST, table_name, check_name) AS report_rank FROM c""")
+def report_order(spark, sf):
+    """Records of two tables with their place in the report: status, share of failed rows from the largest, table, name."""
+    lines = Q.run_checks(read(spark, sf, "lineitem"), [*line_rules(), Q.not_null("l_comment", name="missing_column")], table="lineitem", dimension="accuracy")
+    orders = Q.run_checks(gappy(spark, sf), [Q.not_null(c) for c in ("o_orderkey", "price", "day")], table="orders", dimension="completeness")
+    records = lines.select(*RECORD).unionByName(orders.select(*RECORD))
+    return row_positions(records, [("status", "asc"), ("failed_pct", "desc"), ("table_name", "asc"), ("check_name", "asc")], name="report_rank")
+
+
+@query("row_order", f"""
+SELECT o_orderkey, row_number() OVER (ORDER BY day DESC NULLS LAST, priority ASC NULLS LAST, price DESC NULLS LAST, o_orderkey) AS position FROM {GAPS}""")
+def row_order(spark, sf):
+    """Every order's place by date (latest first), priority and price, missing ones last, ties by key; ranges of 5,000 rows."""
+    rows = gappy(spark, sf).select("o_orderkey", "day", "priority", "price")
+    placed = row_positions(rows, [("day", "desc"), ("priority", "asc"), ("price", "desc"), ("o_orderkey", "asc")], range_rows=5_000)
+    return placed.select("o_orderkey", "position")
+
+
 @query("scalar_checks", """
 WITH s AS (SELECT COUNT(DISTINCT l_linestatus) AS states, MAX(l_tax) AS top_tax FROM lineitem)
 SELECT 'one_status' AS check_name, CASE WHEN states = 1 THEN 'passed' ELSE 'failed' END AS status, CAST(1 AS BIGINT) AS applicable_rows, CAST(states <> 1 AS BIGINT) AS failed_rows FROM s

@@ -87,3 +87,22 @@ def json_properties(spark, sf):
     return t.select("event_id", F.element_at(feed.lower_keys(params), "k").cast("long").alias("k"),
                     F.element_at(feed.normalize_errors("props"), 1).alias("error_text"),
                     F.concat_ws("=", F.upper("event_type"), F.element_at(params, "k")).alias("parameter"))
+
+
+@query("error_forms", """
+WITH e AS (SELECT event_id, event_id % 5 AS form, event_type, json_extract_string(props, '$.k') AS k FROM events)
+SELECT event_id, CASE form WHEN 0 THEN 'k: ' || k WHEN 1 THEN event_type || '; e' || event_id WHEN 2 THEN event_type ELSE '' END AS errors,
+  CAST(CASE form WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS INTEGER) AS n_errors,
+  CASE form WHEN 0 THEN k WHEN 1 THEN event_type END AS k, CAST(CASE form WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS INTEGER) AS n_parameters FROM e""")
+def error_forms(spark, sf):
+    """Errors and parameters as an object, a list, a scalar, empty and missing, made from the events."""
+    form, kind = F.col("event_id") % 5, F.col("event_type")
+    quote = F.lit('"')
+    listed = F.concat(F.lit('["'), kind, F.lit('", " ", null, "e'), F.col("event_id").cast("string"), F.lit('"]'))
+    merged = F.concat(F.lit('[{"a": "1", "k": "old"}, {"k": "'), kind, F.lit('"}]'))
+    t = read(spark, sf, "events").select(
+        "event_id", F.when(form == 0, F.col("props")).when(form == 1, listed).when(form == 2, F.concat(quote, kind, quote)).when(form == 3, "[]").alias("errors"),
+        F.when(form == 0, F.col("props")).when(form == 1, merged).when(form == 2, F.concat(quote, kind, quote)).when(form == 3, "{}").alias("parameters"))
+    errors, params = feed.normalize_errors("errors"), feed.normalize_parameters("parameters")
+    return t.select("event_id", F.array_join(errors, "; ").alias("errors"), F.size(errors).alias("n_errors"),
+                    F.try_element_at(params, F.lit("k")).alias("k"), F.size(params).alias("n_parameters"))

@@ -104,3 +104,17 @@ def test_forward_fill_over_sparse_positions(spark):
 def test_seeded_sample_is_reproducible(frame):
     a, b, c = (sorted(r["id"] for r in O.seeded_sample(frame.repartition(n), key="id", n=20, seed=s).collect()) for n, s in ((2, 1), (7, 1), (2, 2)))
     assert a == b and a != c and len(a) == 20
+
+
+@pytest.mark.parametrize("range_rows", [1_000_000, 40])
+def test_row_positions(spark, range_rows):
+    """Mixed directions, nulls last both ways, a value that half of the rows hold, and rows that agree in the whole key."""
+    rows = [(i, None if i % 11 == 0 else 7 if i % 2 else i % 5, None if i % 7 == 0 else "xyz"[i % 3]) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, a int, b string")
+    got = {r["k"]: r["position"] for r in O.row_positions(df.repartition(3), [("a", "desc"), ("b", "asc"), ("k", "desc")], range_rows=range_rows).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2] is None, r[2] or "", -r[0]))
+    assert [got[r[0]] for r in want] == list(range(1, 401))
+    tied = [O.row_positions(df.repartition(n), [("a", "asc")], range_rows=range_rows) for n in (2, 5)]
+    first, second = ({r["k"]: r["position"] for r in t.collect()} for t in tied)
+    assert first == second and sorted(first.values()) == list(range(1, 401))
+    assert O.row_positions(df.limit(0), [("a", "asc")]).count() == 0

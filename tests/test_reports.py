@@ -1,5 +1,7 @@
 """Quality reports over the small world."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,13 +68,22 @@ def test_feed_report(world):
     assert {r["dimension"] for r in report["report"].collect()} == {
         "accuracy", "completeness", "consistency", "distribution", "outliers", "relationships", "timeliness", "uniqueness"}
     assert report["coverage"].first()["unique_days"] == 2 and report["duplicate_rows"].count() == 0
+    lines = {r["dimension"]: r["status"] for r in report["report"].collect()}
+    assert lines.pop("consistency") == "failed" and set(lines.values()) == {"passed"}
+    came = report["request_metadata"].first()
+    assert came["status_code"] == 200 and json.loads(came["request_params"])["season"] == 2018 and came["fixture_rows"] == report["fixtures"].count()
+    u = report["uniqueness_summary"].first()
+    assert (u["table_name"], u["rows"], u["exact_duplicate_rows"], u["duplicate_fixture_ids"], u["duplicate_business_keys"]) == ("api_fixtures", came["fixture_rows"], 0, 0, 0)
 
 
 def test_feed_report_finds_planted_errors(world):
     bad = world[1].where("file_name like '%_b.json'").withColumn("response", F.concat("response", F.transform(F.slice("response", 1, 1), lambda x: x), F.transform(
         F.slice("response", 1, 1), lambda x: x.withField("fixture.id", F.lit(-5).cast("long")).withField("goals.home", F.lit(-1).cast("long")).withField("fixture.timestamp", F.lit(0).cast("long"))
         .withField("fixture.status.long", F.lit(None).cast("string"))))).withColumn("results", F.lit("7"))
-    got = verdicts(feed_report.feed_report(bad, {"season": 2018}, now="2019-03-01")["checks"])
+    report = feed_report.feed_report(bad, {"season": 2018}, now="2019-03-01", fetch={"endpoint": "/fixtures", "headers": {"X-RateLimit-Remaining": "9"}})
+    got = verdicts(report["checks"])
+    u, came = report["uniqueness_summary"].first(), report["request_metadata"].first()
+    assert (u["exact_duplicate_rows"], u["duplicate_fixture_ids"]) == (1, 2) and (came["endpoint"], came["minute_requests_remaining"]) == ("/fixtures", "9")
     failed = {k[1] for k, v in got.items() if v[0] == "failed"}
     assert failed == {"results_matches_response_count", "fixture_ids_are_positive", "goals_are_non_negative", "fixture_timestamp_matches_fixture_date",
                       "status_fields_are_populated_together", "no_exact_duplicate_rows", "fixture_id_is_unique", "fixture_business_key_is_unique",

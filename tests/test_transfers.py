@@ -113,3 +113,12 @@ def test_three_year_labels(world, weighted):
     assert got[(101, "2019-03-11")] == 1 and got[(102, "2019-05-10")] == (0 if weighted else 1)
     # player 100 has late minutes, goals and value inside three years
     assert got[(100, "2019-01-10")] == 1
+
+
+def test_label_job_writes_both_kinds(world, tmp_path, spark):
+    paths = T.label_job(world[0], str(tmp_path))
+    assert {k: p.rsplit("/", 1)[1] for k, p in paths.items()} == T.LABEL_NAMES
+    for kind, path in paths.items():
+        back = spark.read.option("header", True).csv(path)
+        want = sorted((str(r["player_id"]), str(r["transfer_success"])) for r in T.three_year_labels(world[0], weighted=kind == "weighted").collect())
+        assert sorted((r["player_id"], r["transfer_success"]) for r in back.collect()) == want
