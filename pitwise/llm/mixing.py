@@ -9,6 +9,7 @@ documents) match the targets. Each step is one aggregation to one number per dom
 from __future__ import annotations
 
 import math
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,12 +77,12 @@ LEAST_HELD = 40         # fewer held-out documents calibrate nothing
 STEPS = 200             # of the calibration
 
 
-def _shape(text: Column, words: Column) -> Column:
+def _shape(text: Column, words: Column, different: Column | None = None) -> Column:
     """Five numbers from 0 to 15: words, their mean length, the share of different ones, and signs and capitals among the characters."""
     text = F.coalesce(text, F.lit(""))
     n, chars = F.size(words), F.length(text)
     rate = lambda pattern: F.floor(2 * F.log2(1000 * F.regexp_count(text, F.lit(pattern)) / F.greatest(chars, F.lit(1)) + 1))
-    values = [F.floor(F.log2(n + F.lit(1.0))), F.floor(chars / F.greatest(n, F.lit(1))), F.floor(10 * F.size(F.array_distinct(words)) / F.greatest(n, F.lit(1))),
+    values = [F.floor(F.log2(n + F.lit(1.0))), F.floor(chars / F.greatest(n, F.lit(1))), F.floor(10 * F.size(F.array_distinct(words) if different is None else different) / F.greatest(n, F.lit(1))),
               rate(r"[!-/:-@\[-`{-~]"), rate("[A-Z]")]
     return F.array(*[F.least(v, F.lit(BUCKETS - 1)).cast("int") for v in values])
 
@@ -109,13 +110,38 @@ def _numbers(values: list[float]) -> Column:
     return F.split(F.lit(",".join(f"{v:.4f}" for v in values)), ",").cast("array<double>")
 
 
+SLOTS = 1024            # of the typical words, dealt by CRC-32, so that a word of a text is held against few of them
+
+
+def _slot(word: str) -> int:
+    return zlib.crc32(word.encode()) % SLOTS
+
+
+def _places(different: Column, words: list[str]) -> Column:
+    """Places in ``words``, which are in the order of their slots, of those among a text's different words, in the text's order."""
+    slots: list[list[str]] = [[] for _ in range(SLOTS)]
+    for w in words:
+        slots[_slot(w)].append(w)
+    starts = [0]
+    for held in slots:
+        starts.append(starts[-1] + len(held))
+    table = F.array(*[F.split(F.lit(" ".join(held)), " ") for held in slots])          # constants of the plan; words hold no spaces and are not empty
+    first = F.split(F.lit(" ".join(map(str, starts))), " ").cast("array<int>")
+
+    def place(w: Column) -> Column:
+        slot = F.pmod(F.crc32(w), F.lit(SLOTS)).cast("int")
+        at = F.array_position(F.get(table, slot), w).cast("int")
+        return F.when(at > 0, F.get(first, slot) + at - 1)
+    return F.filter(F.transform(different, place), lambda p: p.isNotNull())
+
+
 def _scored(docs: DataFrame, model: tuple) -> DataFrame:
     """Documents with n_tokens and _scores: one log weight for each domain."""
     words, priors, shapes = model
-    ids = docs.withColumn("_words", _words(F.col("text")))
-    known = F.split(F.lit(" ".join(w for w, _ in words)), " ")         # a constant of the plan; words hold no spaces
-    places = F.transform(F.array_intersect("_words", known), lambda w: F.array_position(known, w).cast("int") - 1)
-    ids = ids.withColumn("_places", places if words else F.array().cast("array<int>")).withColumn("_shape", _shape(F.col("text"), F.col("_words")))
+    words = sorted(words, key=lambda w: _slot(w[0]))
+    ids = docs.withColumn("_words", _words(F.col("text"))).withColumn("_different", F.array_distinct("_words"))
+    places = _places(F.col("_different"), [w for w, _ in words]) if words else F.array().cast("array<int>")
+    ids = ids.withColumn("_places", places).withColumn("_shape", _shape(F.col("text"), F.col("_words"), F.col("_different")))
 
     def by_words(k: int) -> Column:     # weights are against the first domain
         total = F.lit(float(priors[k] - priors[0]))

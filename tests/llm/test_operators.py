@@ -487,3 +487,12 @@ def test_labelled_sample_is_bounded(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality")).union(spark.createDataFrame([(None, 1), (3, None), (4, 1)], "doc_id long, quality int"))
     got = labelled_sample(rows, "quality", F.lit(True), 500)
     assert 350 < got.count() < 650 and labelled_sample(rows, "quality", F.lit(True), 10**6).count() == 5000
+
+
+def test_places_of_typical_words(spark):
+    """Every different word of a text that is typical is found once, at its place, whatever the slot; unknown words and words of the same slot are not."""
+    words = sorted([f"w{i}" for i in range(3000)] + ["naïve", "日本", "$"], key=mixing._slot)
+    texts = [(1, ["w5", "x5", "naïve", "w2999", "日本"]), (2, []), (3, ["$", "w0 ", "W1"]), (4, words)]
+    df = spark.createDataFrame(texts, "doc_id long, d array<string>")
+    got = {r.doc_id: r.p for r in df.select("doc_id", mixing._places(F.col("d"), words).alias("p")).collect()}
+    assert got == {i: [words.index(w) for w in d if w in words] for i, d in texts}
