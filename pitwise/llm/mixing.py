@@ -335,10 +335,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     """
     _check_free(docs, "rate", "copies")
     domains = list(weights)
-    scored = score_documents(docs, labelled, domains, seed)
-    table = materialize(scored.select("n_tokens", "posterior"))
+    scored = materialize(score_documents(docs, labelled, domains, seed))      # kept: a filter on rates would score a document anew at each step of the fold
     own = None if whole is None else domains.index(whole)
-    return with_rates(scored, *fit_rates(table, [weights[d] for d in domains], budget, whole=own), own)
+    return with_rates(scored, *fit_rates(scored.select("n_tokens", "posterior"), [weights[d] for d in domains], budget, whole=own), own)
 
 
 def mix_ids(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None, seed: int = 0) -> DataFrame:
