@@ -27,7 +27,11 @@ def _not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def _join_back(anchors: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on plain equality; ``found`` is unique per key and holds no null keys."""
+    """Left join on plain equality; ``found`` is unique per key and holds no null keys.
+
+    Both sides are merged: ``found`` has a row for each distinct point of the anchors, which the size of small files that it comes from does not show,
+    so that the planner would pass it whole through the driver.
+    """
     clash = sorted((set(found.columns) - set(keys)) & set(anchors.columns))
     if clash:
         raise ValueError(f"result columns already exist, choose a prefix: {', '.join(clash)}")
@@ -37,7 +41,7 @@ def _join_back(anchors: DataFrame, found: DataFrame, keys: Sequence[str]) -> Dat
     for i, k in enumerate(keys):
         clause = anchors[k] == renamed[f"__k{i}"]
         condition = clause if condition is None else condition & clause
-    return anchors.join(renamed, condition, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+    return anchors.join(renamed.hint("merge"), condition, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def _last_known(rows: DataFrame, by: Sequence[str], at: str, units: Sequence[Callable[[str], Column]], last_row: int) -> DataFrame:
@@ -204,9 +208,10 @@ def interval_aggregate(
 ) -> DataFrame:
     """``sum``/``min``/``max`` over ``start <= day < end``; no facts give null.
 
-    Facts are reduced to days, and to blocks of 32, 128, 512 and 2,048 days. An interval is the join of the few blocks that make it up, at most six of each
-    length (and one more for each 2,048 days), and of the days in the pieces of fewer than 32 at its ends. Neither a busy key nor a long interval so lands in
-    one partition. ``grain`` (month or year) is of no effect: blocks of all lengths are there.
+    An interval is cut at the blocks of the greatest length, a power of four of days, that is not longer than itself: the rest of the block that it begins in,
+    the part of the one that it ends in, and at most three whole ones between. Facts and these points are reduced to days, and each day gets what its block
+    holds from it on and up to it, by two running windows. Facts are blocked only by lengths that some interval has. A busy key costs one window over the
+    distinct days of a block, and all joins are on plain equality. ``grain`` (month or year) is of no effect.
     """
     if grain not in ("month", "year"):
         raise ValueError(f"unknown grain {grain!r}")
@@ -214,23 +219,47 @@ def interval_aggregate(
     names = list(aggregates)
     again = [how[kind](n).alias(n) for n, (kind, _) in aggregates.items()]
 
-    dated = _not_null(facts.withColumn("__d", F.unix_date(F.to_date(fact_on))), [*by, "__d"])
-    pieces = [F.struct(F.lit(0).alias("w"), F.col("__d").alias("d"), F.floor(F.col("__d") / BLOCK_DAYS[0]).cast("int").alias("i"))] + [
-        F.struct(F.lit(w).alias("w"), F.lit(None).cast("int").alias("d"), F.floor(F.col("__d") / w).cast("int").alias("i")) for w in BLOCK_DAYS]
-    blocks = dated.select(*by, *[expr.alias(n) for n, (_, expr) in aggregates.items()], F.explode(F.array(*pieces)).alias("__b")).groupBy(
-        *by, F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"), F.col("__b.d").alias("__d")).agg(*again)
-
     source = anchors if points is None else points
-    spans = _not_null(source.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")), [*by, "__s", "__e"]).where("__s < __e").distinct()
-    parts = spans.withColumn("__b", F.explode(interval_blocks(F.unix_date("__s"), F.unix_date("__e")))).select(
-        *by, "__s", "__e", F.col("__b.w").alias("__w"), F.col("__b.i").alias("__i"))
-    met = parts.join(blocks, [*by, "__w", "__i"]).where("__w > 0 or (__d >= unix_date(__s) and __d < unix_date(__e))")
+    asked = _not_null(source.select(*by, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")), [*by, "__s", "__e"]).where("__s < __e")
+    spans = asked.distinct()
+    parts = spans.withColumn("__p", F.explode(span_parts(F.unix_date("__s"), F.unix_date("__e")))).select(*by, "__s", "__e", "__p.*")
+    lengths = asked.agg(F.collect_set(block_length(F.datediff("__e", "__s")))).scalar()
+
+    dated = _not_null(facts.withColumn("__d", F.unix_date(F.to_date(fact_on))), [*by, "__d"])
+    dated = dated.select(*by, F.explode(lengths).alias("__w"), "__d", *[expr.alias(n) for n, (_, expr) in aggregates.items()], F.lit(0).alias("__ask"))
+    line = dated.unionByName(parts.select(*by, "__w", "__d", F.lit(1).alias("__ask")), allowMissingColumns=True).groupBy(*by, "__w", "__d").agg(
+        *again, F.max("__ask").alias("__ask")).withColumn("__i", F.floor(F.col("__d") / F.col("__w")))
+    block = Window.partitionBy(*by, "__w", "__i").rowsBetween(Window.unboundedPreceding, 0)
+    up, down = block.orderBy("__d"), block.orderBy(F.col("__d").desc())
+    at = line.select(*by, "__w", "__d", "__ask", *[how[kind](n).over(w).alias(f"{side}{n}") for side, w in (("__to_", up), ("__from_", down)) for n, (kind, _) in aggregates.items()])
+    at = at.where("__ask = 1").drop("__ask").hint("merge")        # as many rows as spans, however small the files they come from
+    met = parts.join(at, [*by, "__w", "__d"]).select(*by, "__s", "__e", *[F.when(F.col("__on"), F.col(f"__from_{n}")).otherwise(F.col(f"__to_{n}")).alias(n) for n in names])
     found = met.groupBy(*by, "__s", "__e").agg(*again)
     keyed = anchors.withColumns({"__s": F.to_date(start), "__e": F.to_date(end)})
     return _join_back(keyed, found, [*by, "__s", "__e"]).drop("__s", "__e")
 
 
-#: Lengths of the blocks that facts are reduced to, each four of the one before.
+def block_length(days: Column) -> Column:
+    """The greatest power of four up to ``days``, 4 ** 10 at most."""
+    length = F.lit(1)
+    for k in range(1, 11):
+        length = F.when(days >= 4 ** k, 4 ** k).otherwise(length)
+    return length
+
+
+def span_parts(start: Column, stop: Column) -> Column:
+    """What makes up the days from ``start`` up to ``stop``: (w, d, on), of the block of w days that holds day d the days from d on, or up to d where ``on`` is false. Each day once."""
+    w = block_length(stop - start)
+    first, last = (F.floor(day / w).cast("int") for day in (start, stop - 1))
+    part = lambda day, on: F.struct(w.alias("__w"), day.cast("int").alias("__d"), F.lit(on).alias("__on"))
+    whole = F.when(first + 1 < last, F.transform(F.sequence(first + 1, last - 1), lambda i: part(i * w, True)))
+    return F.concat(F.array(part(start, True)), F.coalesce(whole, F.array().cast(WHOLE_PARTS)), F.when(first < last, F.array(part(stop - 1, False))).otherwise(F.array().cast(WHOLE_PARTS)))
+
+
+WHOLE_PARTS = "array<struct<__w: int, __d: int, __on: boolean>>"
+
+
+#: Lengths of the blocks that ``interval_blocks`` cuts days into, each four of the one before.
 BLOCK_DAYS = (32, 128, 512, 2048)
 
 

@@ -129,3 +129,28 @@ def test_chain_with_points_equals_chain_without(spark):
         args = dict(by=["k"], anchor_on="at", history_on="t", values=["v"], prefix=f"p{i}_", order_ties_by=["pos"], allow_exact=bool(i))
         plain, with_points = asof_lookup(plain, history, **args), asof_lookup(with_points, history, points=anchors, **args)
     assert sorted(map(str, plain.collect())) == sorted(map(str, with_points.collect()))
+
+
+def test_interval_aggregate_passes_nothing_large_through_the_driver(spark):
+    """A point for each anchor comes out of small files; neither the facts nor the points may be broadcast."""
+    days = spark.range(400).select((F.col("id") % 7).alias("k"), F.expr("date_add(date'1996-01-01', cast(id * 5 as int))").alias("t"), F.col("id").alias("v"))
+    anchors = days.select("k", "t", F.add_months("t", 36).alias("stop"))
+    out = interval_aggregate(anchors, days, by=["k"], start="t", end="stop", fact_on="t", aggregates={"s": ("sum", F.col("v"))})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_interval_aggregate_meets_each_day_once_at_any_length(spark):
+    """Intervals of 1 to 5,000 days, with some that hold nothing, against a loop over the facts; days before 1970 as well."""
+    draw = random.Random(5)
+    zero = dt.date(1965, 3, 1)
+    facts = [(draw.choice("ab"), zero + dt.timedelta(draw.randrange(5000)), draw.randrange(100)) for _ in range(400)]
+    asked = [(i, draw.choice("abc"), zero + dt.timedelta(draw.randrange(5000)), draw.choice([0, 1, 2, 3, 4, 15, 16, 17, 63, 64, 65, 255, 256, 700, 1023, 1024, 1096, 4096, 5000])) for i in range(300)]
+    rows = [(i, k, s, s + dt.timedelta(n)) for i, k, s, n in asked]
+    out = interval_aggregate(
+        spark.createDataFrame(rows, "id int, k string, s date, e date"), spark.createDataFrame(facts, "k string, t date, v int"), by=["k"], start="s", end="e", fact_on="t",
+        aggregates={"total": ("sum", F.col("v")), "low": ("min", F.col("v")), "high": ("max", F.col("v"))})
+    got = {r["id"]: (r["total"], r["low"], r["high"]) for r in out.collect()}
+    for i, k, s, e in rows:
+        held = [v for f, t, v in facts if f == k and s <= t < e]
+        assert got[i] == ((sum(held), min(held), max(held)) if held else (None, None, None))
