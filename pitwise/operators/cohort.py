@@ -148,7 +148,7 @@ def window_scores(
     if pool_places:
         found = interval_aggregate(spans.distinct(), facts, by=[entity, place], start=date, end="__end", fact_on="__day", aggregates=aggregates)
         stats = found.groupBy(entity, date).agg(*[F.sum(n).alias(n) for n in sums], F.max("new_value").alias("new_value"))
-        stats = stats.select(F.col(entity).alias("__entity"), F.col(date).alias("__date"), *sums, "new_value")
+        stats = stats.select(F.col(entity).alias("__entity"), F.col(date).alias("__date"), *sums, "new_value").hint("merge")     # as many rows as the cohort: not for the driver
         joined = cohort.join(stats, (cohort[entity] == stats["__entity"]) & (cohort[date] == stats["__date"]), "left").drop("__entity", "__date")
     else:
         ended = cohort.withColumn("__end", F.add_months(F.col(date), 12 * years))

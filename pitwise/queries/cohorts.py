@@ -169,7 +169,7 @@ def _scored(spark, sf, pool: bool):
     stats = C.window_scores(orders, orders, orders.where("o_orderstatus = 'F'"), entity="k", place="place", date="day", activity_on="day",
                             activity_place="place", sums={"n": F.lit(1), "p": F.col("price")}, value_on="day", value_place="place",
                             value="price", pool_places=pool)
-    return lookup(stats, limits, on={"place": "limit_place"}, take={"min_n": "min_n", "min_p": "min_p"})
+    return lookup(stats, F.broadcast(limits), on={"place": "limit_place"}, take={"min_n": "min_n", "min_p": "min_p"})
 
 
 @query("weighted_label", "WITH " + SCORE_SQL + """
