@@ -32,6 +32,19 @@ def edit_similarity(left, right) -> Column:
     return F.when(longest == 0, 1.0).otherwise(1 - F.levenshtein(left, right) / longest)
 
 
+def without_letters(c, left_out: Column, most: int) -> Column:
+    """The different texts that are left of a text without up to ``left_out`` letters, itself included; ``left_out`` is at most ``most``."""
+    def shorter(text: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
+        return F.when(F.length(text) > 0, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    step = found = F.array(col(c))
+    for n in range(1, most + 1):
+        step = F.when(left_out >= n, F.array_distinct(F.flatten(F.transform(step, shorter)))).otherwise(F.array().cast("array<string>"))
+        found = F.concat(found, step)
+    return F.array_distinct(found)
+
+
 def possible_at(left, right, threshold: float) -> Column:
     """Cheap upper bound: the ratio cannot reach the threshold if the lengths are too far apart."""
     a, b = F.length(col(left)), F.length(col(right))

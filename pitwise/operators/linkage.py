@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from pitwise.functions.similarity import letter_counts, letters_allow, possible_at, sequence_ratio
+from pitwise.functions.similarity import edit_similarity, letter_counts, letters_allow, possible_at, sequence_ratio, without_letters
 from pitwise.functions.text import entity_key, normalize_text
 from pitwise.operators.cleaning import fitted_modes
 from pitwise.operators.joins import block_pairs, large_blocks, outer_with_side
@@ -30,6 +30,51 @@ def fuzzy_duplicates(df: DataFrame, *, block: str, key: str, name: str, threshol
     return found, large_blocks(named, block=block, columns=["key", "name"], above=large)
 
 
+#: Texts of a block that are compared each with each; of larger blocks, those that agree when up to ``MAX_EDITS`` letters are left out.
+COMPARED_TEXTS = 400
+MAX_EDITS = 2
+
+
+def edit_pairs(df: DataFrame, *, block: str, key: str, text: str, threshold: float = 0.88, compared: int = COMPARED_TEXTS) -> DataFrame:
+    """``(block, left_key, right_key, similarity)``: all pairs of members of a block whose edit similarity reaches the threshold, the earlier by (key, text) first.
+
+    Equal texts of a block are compared once. In blocks of up to ``compared`` texts each one meets each other. In larger ones two texts of at most d edits
+    meet in a text that is left of both without d letters at most, so that the work follows the texts and not their pairs. Texts
+    that may differ in more than ``MAX_EDITS`` letters, which are long ones, have too many of those: they still meet each other. No pair is lost.
+    """
+    members = df.select(F.col(block).alias("block"), F.col(key).alias("key"), F.col(text).alias("text")).where("block is not null and text is not null").distinct()
+    texts = members.select("block", "text").distinct()
+    edits = lambda length: F.floor((1 - threshold + 1e-9) * length)
+    sizes = texts.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select(F.col("block").alias("b"), (F.col("n") > compared).alias("large"))
+    texts = texts.join(sizes, F.col("block") == F.col("b")).drop("b").withColumn("length", F.length("text"))
+    longest = max(n for n in range(1000) if int((1 - threshold + 1e-9) * n) <= MAX_EDITS)        # of a pair that may differ in MAX_EDITS letters
+
+    def alike(x, y):
+        return edit_similarity(x, y) >= threshold
+
+    def met(rows: DataFrame, least: int) -> DataFrame:
+        """Every pair of texts whose longer one has more than ``least`` letters."""
+        def near(x, y):
+            long = F.greatest(F.length(x("text")), F.length(y("text")))
+            return (long > least) & (F.abs(F.length(x("text")) - F.length(y("text"))) <= edits(long)) & alike(x("text"), y("text"))
+        return block_pairs(rows, block="block", order_by="text", columns=["text"], where=near).select("block", F.col("left_text").alias("a"), F.col("right_text").alias("b"))
+
+    short = texts.where(F.col("large") & (F.col("length") <= longest))
+    left = F.least(edits(F.col("length") + MAX_EDITS), F.lit(MAX_EDITS)).cast("int")
+    cut = short.select("block", "text", F.explode(without_letters("text", left, MAX_EDITS)).alias("cut")).select("block", "text", F.xxhash64("block", "cut").alias("h"))
+    one, two = (cut.select(F.col("h").alias(f"h{i}"), F.col("block").alias(f"block{i}"), F.col("text").alias(c)) for i, c in ((1, "a"), (2, "b")))
+    same_cut = one.join(two.hint("merge"), (F.col("h1") == F.col("h2")) & (F.col("block1") == F.col("block2")) & (F.col("a") < F.col("b"))).where(alike(F.col("a"), F.col("b")))
+    found = met(texts.where(~F.col("large")), -1).unionByName(same_cut.select(F.col("block1").alias("block"), "a", "b").distinct()).unionByName(
+        met(texts.where(F.col("large") & (F.col("length") >= longest - MAX_EDITS)), longest))
+
+    sides = [members.select(F.col("block").alias(f"block{i}"), F.col("text").alias(f"text{i}"), F.struct("key", "text").alias(f"m{i}")).hint("merge") for i in (1, 2)]
+    both = found.join(sides[0], (F.col("block") == F.col("block1")) & (F.col("a") == F.col("text1"))).join(sides[1], (F.col("block") == F.col("block2")) & (F.col("b") == F.col("text2")))
+    different = both.select("block", F.least("m1", "m2").getField("key").alias("left_key"), F.greatest("m1", "m2").getField("key").alias("right_key"), edit_similarity("a", "b").alias("similarity"))
+    copies = block_pairs(members.select(F.struct("block", "text").alias("copies"), "key"), block="copies", order_by="key", columns=["key"])
+    equal = copies.select(F.col("copies.block").alias("block"), "left_key", "right_key", F.lit(1.0).alias("similarity"))
+    return different.unionByName(equal).withColumnRenamed("block", block)
+
+
 def map_entity(df: DataFrame, candidates: DataFrame, *, name: str, country: str, candidate_id: str, candidate_names: Sequence[str],
                candidate_country: str, threshold: float = 0.55) -> DataFrame:
     """The one candidate for the most frequent name and country of ``df``.

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitwise.functions.similarity import edit_similarity
 from pitwise.functions.text import normalize_text
 from pitwise.operators import joins as J
 from pitwise.operators import linkage as L
@@ -107,10 +106,8 @@ SELECT block, left_key, right_key, ROUND(1 - CAST(levenshtein(a, b) AS DOUBLE) /
 WHERE 1 - CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b)) >= 0.88""")
 def edit_similar_pairs(spark, sf):
     """Similar names inside blocks by edit distance."""
-    pairs = J.block_pairs(blocked_customers(spark, sf).withColumn("norm", normalize_text("c_name")), block="block", order_by="c_custkey",
-                          columns=["c_custkey", "norm"], where=lambda x, y: 1 - F.abs(F.length(x("norm")) - F.length(y("norm"))) / F.greatest(F.length(x("norm")), F.length(y("norm"))) >= 0.88)
-    scored = pairs.withColumn("similarity", edit_similarity("left_norm", "right_norm")).where("similarity >= 0.88")
-    return scored.select("block", F.col("left_c_custkey").alias("left_key"), F.col("right_c_custkey").alias("right_key"), F.round("similarity", 4).alias("similarity"))
+    found = L.edit_pairs(blocked_customers(spark, sf).withColumn("norm", normalize_text("c_name")), block="block", key="c_custkey", text="norm", threshold=0.88)
+    return found.withColumn("similarity", F.round("similarity", 4))
 
 
 @query("fuzzy_pairs")

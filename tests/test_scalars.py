@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import scalars as S
 from pitwise.functions.similarity import edit_similarity, sequence_ratio
+from pitwise.operators import linkage as L
 from pitwise.functions.text import entity_key, normalize_text
 from pitwise.plans.feed_report import ALIASES, STOPWORDS
 
@@ -93,3 +94,40 @@ def test_strength_and_seasons(spark):
     df = spark.createDataFrame([("18/19",), ("1x",), (None,)], "t string")
     assert [r["x"] for r in df.select(S.season_from_prefix("t").alias("x")).collect()] == [2018, None, None]
     assert [tuple(r["x"]) for r in df.select(S.season_pair("t").alias("x")).collect()][0] == (18, 19)
+
+
+@pytest.mark.parametrize("compared", [5, 1000])
+def test_edit_pairs_lose_none(spark, monkeypatch, compared):
+    """Blocks above and below the size that is compared in full, short and long names, equal ones and a missing one, against all pairs; a large block is not compared in full."""
+    import random
+    draw = random.Random(7)
+    names = ["", "a", "customer 00000001", "customer 00000001"]
+    for base in ("customer 000012345", "ab", "smith and sons ltd", "a name of twenty four ch", "a name of rather more than thirty letters"):
+        for _ in range(14):
+            text = list(base)
+            for _ in range(draw.randrange(4)):
+                at = draw.randrange(len(text) + 1)
+                text[at:at + draw.randrange(2)] = draw.choice(["", "x", "7"])
+            names.append("".join(text))
+    rows = [(i, draw.choice("pq"), n) for i, n in enumerate(names)] + [(900, "p", None), (901, None, "a")]
+    df = spark.createDataFrame(rows, "id int, block string, name string")
+    met, pairs = [], L.block_pairs
+    monkeypatch.setattr(L, "block_pairs", lambda rows, **k: met.append(rows.count()) or pairs(rows, **k))
+    got = {(r["block"], r["left_key"], r["right_key"]): round(r["similarity"], 6) for r in L.edit_pairs(df, block="block", key="id", text="name", compared=compared).collect()}
+
+    def distance(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, line[0] = line[0], i
+            for j, y in enumerate(b, 1):
+                last, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, last + (x != y))
+        return line[-1]
+    want = {}
+    for i, b, x in rows:
+        for j, c, y in rows:
+            if i < j and b and b == c and x is not None and y is not None:
+                s = 1 - distance(x, y) / max(len(x), len(y)) if x or y else 1.0
+                if s >= 0.88:
+                    want[(b, i, j)] = round(s, 6)
+    assert got == want and len(want) > 50
+    assert (met[0] == 0) == (compared == 5)
