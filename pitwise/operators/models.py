@@ -195,19 +195,21 @@ def _meeting_cells(boxes: DataFrame, depth: int, size: int) -> DataFrame:
 def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, seed: int = SEED, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``(key, x, neighbours array<array<double>>)``: the ``k`` nearest rows with another key, nearest first, exactly.
 
-    Rows are dealt to cells of a k-d tree whose cuts come from a bounded sample; large cells, as those of equal rows, are dealt on by a hash. A cell
+    Rows of equal features are one point with a weight: their first neighbours are each other, the next ones are those of the point. So the search
+    follows the distinct points, however many rows share them. Points are dealt to cells of a k-d tree whose cuts come from a bounded sample; large cells are dealt on by a hash. A cell
     meets every other cell whose box is nearer than the largest ``k``-th distance within the cell itself, so no nearer row is missed; those are
     found by descent through the tree (``_meeting_cells``). A task
-    holds one cell and streams the cells it meets. Few dimensions leave few cells to meet, many leave all: then the work is the square of the rows.
+    holds one cell and streams the cells it meets. Few dimensions leave few cells to meet, many leave all: then the work is the square of the points.
     """
     dense = materialize(minority.select(F.col(key).alias("key"), vector_to_array(features).alias("x")).groupBy("key").agg(F.min("x").alias("x")))
-    first = dense.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("size")).first()
-    n = first["n"]
+    points = materialize(dense.groupBy("x").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("rows")).select("key", F.concat("x", F.array(F.col("rows").cast("double"))).alias("x")))
+    first = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("size")).first()
+    n, size = first["n"], (first["size"] or 1) - 1       # the weight comes last
     cells = max(1, -(-n // cell_rows))
     share = int(min(1.0, SAMPLE_ROWS / max(n, 1)) * (1 << 30))
-    drawn = dense.where(F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < share).select("x").collect() if cells > 1 else []
+    drawn = points.where(F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < share).select("x").collect() if cells > 1 else []
     depth = (cells - 1).bit_length() if drawn else 0
-    dims, cuts = _cuts(np.array([r["x"] for r in drawn]), depth)
+    dims, cuts = _cuts(np.array([r["x"][:size] for r in drawn]), depth)
     kinds = f"key {dense.schema['key'].dataType.simpleString()}, x array<double>"
 
     def place(batches):
@@ -216,16 +218,16 @@ def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, see
             for _ in range(depth):
                 node = 2 * node + 1 + (x[np.arange(len(x)), np.array(dims)[node]] > np.array(cuts)[node])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], names=["key", "x", "leaf"])
-    placed = materialize(dense.mapInArrow(place, f"{kinds}, leaf long"))
+    placed = materialize(points.mapInArrow(place, f"{kinds}, leaf long"))
     salts = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * cell_rows)).alias("salts"))
     dealt = materialize(placed.join(salts, "leaf").select("key", "x", F.struct("leaf", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), "salts").alias("salt")).alias("cell")))
 
     def box(table: pa.Table) -> pa.Table:
-        x = _matrix(table.column("x").combine_chunks())
+        x = _matrix(table.column("x").combine_chunks())[:, :size]
         far = _hold(x, x, _nothing(len(x), k), 0, True, k)[0].max()
         return pa.table({"cell": table.column("cell").slice(0, 1), "low": [x.min(axis=0).tolist()], "high": [x.max(axis=0).tolist()], "far": [float(far)]})
     boxes = materialize(dealt.groupBy("cell").applyInArrow(box, "cell struct<leaf: long, salt: long>, low array<double>, high array<double>, far double"))
-    pairs = _meeting_cells(boxes, depth, first["size"] or 0)
+    pairs = _meeting_cells(boxes, depth, size)
     streams = dealt.join(pairs, F.col("cell") == F.col("cell_b")).select(
         F.concat_ws(",", "cell_a.leaf", "cell_a.salt").alias("a"), "apart", F.concat_ws(",", "cell_b.leaf", "cell_b.salt").alias("b"), "key", "x")
     streams = streams.repartition("a").sortWithinPartitions("a", "apart", "b", "key")
@@ -263,12 +265,16 @@ def near_neighbours(minority: DataFrame, key: str, features: str, *, k: int, see
                 best = _nothing(len(own), k)
             elif apart >= best[0].max():
                 continue
-            best = _hold(own, x, best, met, a == now and apart < 0, k)
+            best = _hold(own[:, :size], x[:, :size], best, met, a == now and apart < 0, k)
             rows = {p: (x[p - met] if p >= met else rows[p]) for p in np.unique(best[1]).tolist() if p >= 0}     # only rows that are near to some row stay
             met += len(x)
         if now is not None:
             yield done(mine_keys, own, best, rows)
-    return streams.mapInArrow(nearest, f"{kinds}, neighbours array<array<double>>")
+    found = streams.mapInArrow(nearest, f"{kinds}, neighbours array<array<double>>")
+    times = lambda v, rows: F.array_repeat(F.slice(v, 1, size), F.least(rows, F.lit(k)).cast("int"))
+    same, others = times(F.col("x"), F.get("x", F.lit(size)) - 1), F.flatten(F.transform("neighbours", lambda v: times(v, F.get(v, F.lit(size)))))
+    around = found.select(F.slice("x", 1, size).alias("__x"), F.slice(F.concat(same, others), 1, k).alias("neighbours"))
+    return dense.join(around, F.col("x") == F.col("__x")).select("key", "x", "neighbours")
 
 
 def oversample_minority(df: DataFrame, *, label: str, key: str, features: str = "features", ratio: float = 0.5, k: int = 5, seed: int = SEED) -> DataFrame:

@@ -165,3 +165,17 @@ def test_grid_and_best(spark):
     assert {r["model"] for r in best.collect()} == set(grid)
     scored = K.score_best(results, models, df.where("key % 3 = 0"), "y")
     assert min(r["f1_score"] for r in scored.collect()) > 0.9
+
+
+def test_neighbours_of_rows_that_share_points(spark, monkeypatch):
+    """Few points hold most rows: each row's neighbours are its copies and then the nearest others, and cells are made of points, not of rows."""
+    draw = np.random.default_rng(3)
+    x = np.concatenate([draw.integers(0, 3, (300, 2)), draw.integers(0, 40, (60, 2))]).astype(float)
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame([(i, *v) for i, v in enumerate(x.tolist())], "key long, a double, b double"))
+    cells, meeting = [], K._meeting_cells
+    monkeypatch.setattr(K, "_meeting_cells", lambda boxes, *a: cells.append(boxes.count()) or meeting(boxes, *a))
+    got = {r["key"]: (r["x"], r["neighbours"]) for r in K.near_neighbours(df, "key", "features", k=5, cell_rows=20).collect()}
+    assert len(got) == len(x) and cells[0] <= 8
+    for i, (own, near) in got.items():
+        d = np.sort(np.delete(((x - x[i]) ** 2).sum(axis=1), i))[:5]
+        assert own == x[i].tolist() and np.allclose(((np.array(near) - x[i]) ** 2).sum(axis=1), d)
