@@ -10,6 +10,7 @@ from pitwise.functions.similarity import edit_similarity, letter_counts, letters
 from pitwise.functions.text import entity_key, normalize_text
 from pitwise.operators.cleaning import fitted_modes
 from pitwise.operators.joins import block_pairs, large_blocks, outer_with_side
+from pitwise.session import materialize
 
 
 def fuzzy_duplicates(df: DataFrame, *, block: str, key: str, name: str, threshold: float = 0.88, large: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -43,10 +44,11 @@ def edit_pairs(df: DataFrame, *, block: str, key: str, text: str, threshold: flo
     that may differ in more than ``MAX_EDITS`` letters, which are long ones, have too many of those: they still meet each other. No pair is lost.
     """
     members = df.select(F.col(block).alias("block"), F.col(key).alias("key"), F.col(text).alias("text")).where("block is not null and text is not null").distinct()
+    members = materialize(members)
     texts = members.select("block", "text").distinct()
     edits = lambda length: F.floor((1 - threshold + 1e-9) * length)
     sizes = texts.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select(F.col("block").alias("b"), (F.col("n") > compared).alias("large"))
-    texts = texts.join(sizes, F.col("block") == F.col("b")).drop("b").withColumn("length", F.length("text"))
+    texts = materialize(texts.join(sizes, F.col("block") == F.col("b")).drop("b").withColumn("length", F.length("text")))
     longest = max(n for n in range(1000) if int((1 - threshold + 1e-9) * n) <= MAX_EDITS)        # of a pair that may differ in MAX_EDITS letters
 
     def alike(x, y):
