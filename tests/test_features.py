@@ -167,6 +167,23 @@ def test_grid_and_best(spark):
     assert min(r["f1_score"] for r in scored.collect()) > 0.9
 
 
+def test_linear_models_are_fitted_on_few_tasks(spark, monkeypatch):
+    df = points(spark).repartition(6)
+    monkeypatch.setattr(K, "ROWS_PER_TASK", 10)
+    make, tasks = K.make_classifier, []
+
+    class Watched:
+        def __init__(self, family, inner):
+            self.family, self.inner = family, inner
+
+        def fit(self, data):
+            tasks.append((self.family, data.rdd.getNumPartitions()))
+            return self.inner.fit(data)
+    monkeypatch.setattr(K, "make_classifier", lambda family, *a, **p: Watched(family, make(family, *a, **p)))
+    results, _ = K.train_grid(df, df, "y", families={"linear_svm": [{"c": 1.0, "max_iter": 5}], "decision_tree": [{"min_split": 5}]}, depth=2)
+    assert results.count() == 4 and tasks == [("linear_svm", 1), ("decision_tree", 6)]
+
+
 def test_neighbours_of_rows_that_share_points(spark, monkeypatch):
     """Few points hold most rows: each row's neighbours are its copies and then the nearest others, and cells are made of points, not of rows."""
     draw = np.random.default_rng(3)
